@@ -100,11 +100,11 @@ def _word_any(terms):
 
 
 @register("p5_keyword_filter_words", f"""
-with h as (select doc_id, lower('' || ' ' || text) as hay from documents)
+with h as (select pos as doc_id, lower(title || ' ' || description) as hay from listings)
 select doc_id, array_to_string(list_filter([{', '.join(f"case when {_word_any(x)} then {q(g)} end" for g, x in K.KEYWORDS.items())}], lambda x: x is not null), ',') as keyword_groups
-from h where not {_word_any(K.KEYWORD_EXCLUDES)} and ({' or '.join(_word_any(x) for x in K.KEYWORDS.values())})""")
+from h where not {_word_any(K.KEYWORD_EXCLUDES)} and ({' or '.join(_word_any(x) for x in K.KEYWORDS.values())})""", L)
 def p5_keyword_filter_words(t):
-    docs = t.documents.select("doc_id", F.lit("").alias("title"), F.col("text").alias("description"))
+    docs = t.listings.select(F.col("pos").alias("doc_id"), "title", "description")
     return filters.keyword_filter(docs, mode="word").select(
         "doc_id", F.array_join("keyword_groups", ",").alias("keyword_groups"))
 
