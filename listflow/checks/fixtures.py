@@ -113,6 +113,14 @@ select doc_id as draft_id, substr(text, 1, 80) as hook_line,
   'Doc ' || cast(doc_id as string) || case when doc_id % 7 = 0 then ' | Mag' else '' end as meta_title,
   case when doc_id % 4 = 0 then substr(text, 1, 160) else 'August 22 in Ballard, item ' || cast(doc_id as string) end as meta_description,
   case when doc_id % 6 = 0 then 'Bad Slug' else 'doc-item-' || cast(doc_id as string) end as slug_stem
+from documents""",
+    "draft_events": """
+select doc_id as event_id, cast('2026-08-22 09:00:00' as {TS}) as start_dt,
+  case when doc_id % 5 = 0 then 'Fremont' else 'Ballard' end as neighborhood,
+  regexp_extract(text, '^[^ ]+ [^ ]+', 0) as title, 'Venue ' || cast(doc_id % 40 as string) as venue_name,
+  case when doc_id % 3 = 0 then cast(doc_id as string) || ' Pike St, Seattle' end as venue_address,
+  case when doc_id % 2 = 0 then '$' || cast(doc_id % 90 as string) end as price,
+  case when doc_id % 4 = 1 then 'https://reg.example/' || cast(doc_id as string) else ' ' end as register_url
 from documents""",
     "verdicts": (
         """
