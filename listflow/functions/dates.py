@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from listflow import constants as K
+from listflow.functions.binding import let
 
 try:
     from dateutil import parser as _prose
@@ -17,7 +18,9 @@ except ImportError:  # pragma: no cover
     _prose = None
 
 _MONTH_WORD = "(?:" + "|".join(f"{m}|{m[:3]}" for m in K.MONTHS) + "|sept)"
-_CLOCK = r"(\d{1,2})(?::(\d{2}))?\s*([ap])\.?m\.?"
+_CLOCK = r"(0?[1-9]|1[0-2])(?::([0-5]\d))?\s*([ap])\.?m\.?"
+_DAY_NUMBER = r"(0?[1-9]|[12]\d|3[01])"
+_MONTH_NUMBER = r"(0?[1-9]|1[0-2])"
 _WEEKDAY = "(?:(?:" + "|".join(f"{d}|{d[:3]}" for d in K.WEEKDAYS) + r")\.?,?\s+)?"
 _AT = r"(?:,?\s+(?:at\s+|@\s*)?" + _CLOCK + ")?$"
 
@@ -59,22 +62,38 @@ def _hour24(hour: Column, half: Column) -> Column:
     return F.when(h.between(1, 12), h % 12 + F.when(F.lower(half) == "p", 12).otherwise(0))
 
 
+def _groups(t: Column, shape: str, n: int) -> Column:
+    """The shape's groups as an array, from one match; only for text that fits the shape."""
+    return F.split(F.regexp_replace(t, shape, "\u0001".join(f"${i}" for i in range(1, n + 1))), "\u0001")
+
+
+def _read(t: Column, shape: str, n: int, build) -> Column:
+    """``build`` over the groups when the text fits the shape, else null."""
+    return F.when(F.rlike(t, F.lit(shape)), let(
+        _groups(t, shape, n), lambda g: build(lambda i: F.get(g, F.lit(i - 1)))))
+
+
+_ISO = (r"^(\d{4})-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])"
+        r"(?:[T ]([01]\d|2[0-3]):([0-5]\d)(?::([0-5]\d)(?:[.,]\d+)?)?"
+        r"\s*(Z|z|[+-]\d{2}:?\d{2})?)?$")
+
+
 def _iso(t: Column) -> Column:
-    shape = (r"^(\d{4})-(\d{2})-(\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?"
-             r"\s*(Z|z|[+-]\d{2}:?\d{2})?)?$")
-    g = lambda i: F.regexp_extract(t, shape, i)
-    zero = lambda i: F.coalesce(_int(g(i)), F.lit(0))
-    local = _make(_int(g(1)), _int(g(2)), _int(g(3)), zero(4), zero(5), zero(6))
-    zone = F.regexp_replace(F.upper(g(7)), ":", "")
-    minutes = F.when(zone == "Z", 0).otherwise(
-        F.when(F.startswith(zone, F.lit("-")), -1).otherwise(1)
-        * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")))
-    utc = local - F.make_dt_interval(F.lit(0), F.lit(0), minutes, F.lit(0))
-    return F.when(zone == "", local).otherwise(pacific_from_utc(utc))
+    def build(g):
+        zero = lambda i: F.coalesce(_int(g(i)), F.lit(0))
+        local = _make(_int(g(1)), _int(g(2)), _int(g(3)), zero(4), zero(5), zero(6))
+        zone = F.regexp_replace(F.upper(g(7)), ":", "")
+        minutes = F.when(zone == "Z", 0).otherwise(
+            F.when(F.startswith(zone, F.lit("-")), -1).otherwise(1)
+            * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")))
+        utc = local - F.make_dt_interval(F.lit(0), F.lit(0), minutes, F.lit(0))
+        return F.when(zone == "", local).otherwise(pacific_from_utc(utc))
+
+    return _read(t, _ISO, 7, build)
 
 
 def _epoch(t: Column) -> Column:
-    number = F.when(F.rlike(t, F.lit(r"^\d{9,13}$")), t.try_cast("bigint"))
+    number = F.when(F.rlike(t, F.lit(_EPOCH)), t.try_cast("bigint"))
     seconds = F.when(F.length(t) >= 12, F.floor(number / 1000)).otherwise(number)
     start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return pacific_from_utc(
@@ -87,41 +106,43 @@ def _month_number(word: Column) -> Column:
     return F.nullif(at, F.lit(0)).cast("int")
 
 
-def _clocked(year, month, day, t, shape, first) -> Column:
-    g = lambda i: F.regexp_extract(t, shape, i)
-    clock = g(first) != ""
-    hour = F.when(clock, _hour24(g(first), g(first + 2))).otherwise(F.lit(0))
+def _clocked(year, month, day, g, first) -> Column:
+    hour = F.when(g(first) != "", _hour24(g(first), g(first + 2))).otherwise(F.lit(0))
     return _make(year, month, day, hour, F.coalesce(_int(g(first + 1)), F.lit(0)))
 
 
+_EPOCH = r"^\d{9,13}$"
+_MONTH_FIRST = (rf"(?i)^{_WEEKDAY}({_MONTH_WORD})\.?\s+{_DAY_NUMBER}(?:st|nd|rd|th)?"
+                rf"(?:,?\s+(\d{{4}}))?{_AT}")
+_DAY_FIRST = rf"(?i)^{_WEEKDAY}{_DAY_NUMBER}\s+({_MONTH_WORD})\.?,?\s+(\d{{4}}){_AT}"
+_NUMERIC = rf"(?i)^{_MONTH_NUMBER}/{_DAY_NUMBER}(?:/(\d{{4}}|\d{{2}}))?{_AT}"
+_NUMERIC24 = rf"^{_MONTH_NUMBER}/{_DAY_NUMBER}/(\d{{4}})\s+([01]?\d|2[0-3]):([0-5]\d)$"
+_SLASHED = rf"^(\d{{4}})/{_MONTH_NUMBER}/{_DAY_NUMBER}$"
+_TIME = rf"(?i)^{_CLOCK}$"
+_TIME24 = r"^([01]?\d|2[0-3]):([0-5]\d)$"
+_KNOWN = "|".join(f"(?:{x})" for x in (
+    _ISO, _EPOCH, _MONTH_FIRST, _DAY_FIRST, _NUMERIC, _NUMERIC24, _SLASHED, _TIME, _TIME24))
+
+
 def _prose_native(t: Column, anchor: Column) -> Column:
     """Month-name, numeric and time-only shapes that event calendars print."""
-    month_first = rf"(?i)^{_WEEKDAY}({_MONTH_WORD})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?(?:,?\s+(\d{{4}}))?{_AT}"
-    day_first = rf"(?i)^{_WEEKDAY}(\d{{1,2}})\s+({_MONTH_WORD})\.?,?\s+(\d{{4}}){_AT}"
-    numeric = rf"(?i)^(\d{{1,2}})/(\d{{1,2}})(?:/(\d{{4}}|\d{{2}}))?{_AT}"
-    numeric24 = r"^(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})$"
-    slashed = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
-    clock = rf"(?i)^{_CLOCK}$"
-    clock24 = r"^(\d{1,2}):(\d{2})$"
-    g = lambda shape, i: F.regexp_extract(t, shape, i)
-    this_year = F.year(anchor)
-    short_year = _int(g(numeric, 3))
-    year = F.when(F.length(g(numeric, 3)) == 2,
-                  short_year + F.when(short_year >= 69, 1900).otherwise(2000)).otherwise(short_year)
+    this_year, zero = F.year(anchor), F.lit(0)
+
+    def numeric(g):
+        y = _int(g(3))
+        full = F.when(F.length(g(3)) == 2, y + F.when(y >= 69, 1900).otherwise(2000)).otherwise(y)
+        return _clocked(F.coalesce(full, this_year), _int(g(1)), _int(g(2)), g, 4)
+
+    today = lambda hour, minute: _make(this_year, F.month(anchor), F.dayofmonth(anchor), hour, minute)
     return F.coalesce(
-        _clocked(F.coalesce(_int(g(month_first, 3)), this_year), _month_number(g(month_first, 1)),
-                 _int(g(month_first, 2)), t, month_first, 4),
-        _clocked(_int(g(day_first, 3)), _month_number(g(day_first, 2)), _int(g(day_first, 1)),
-                 t, day_first, 4),
-        _clocked(F.coalesce(year, this_year), _int(g(numeric, 1)), _int(g(numeric, 2)),
-                 t, numeric, 4),
-        _make(_int(g(numeric24, 3)), _int(g(numeric24, 1)), _int(g(numeric24, 2)),
-              _int(g(numeric24, 4)), _int(g(numeric24, 5))),
-        _make(_int(g(slashed, 1)), _int(g(slashed, 2)), _int(g(slashed, 3)), F.lit(0), F.lit(0)),
-        _make(this_year, F.month(anchor), F.dayofmonth(anchor),
-              _hour24(g(clock, 1), g(clock, 3)), F.coalesce(_int(g(clock, 2)), F.lit(0))),
-        _make(this_year, F.month(anchor), F.dayofmonth(anchor), _int(g(clock24, 1)),
-              _int(g(clock24, 2))),
+        _read(t, _MONTH_FIRST, 6, lambda g: _clocked(
+            F.coalesce(_int(g(3)), this_year), _month_number(g(1)), _int(g(2)), g, 4)),
+        _read(t, _DAY_FIRST, 6, lambda g: _clocked(_int(g(3)), _month_number(g(2)), _int(g(1)), g, 4)),
+        _read(t, _NUMERIC, 6, numeric),
+        _read(t, _NUMERIC24, 5, lambda g: _make(_int(g(3)), _int(g(1)), _int(g(2)), _int(g(4)), _int(g(5)))),
+        _read(t, _SLASHED, 3, lambda g: _make(_int(g(1)), _int(g(2)), _int(g(3)), zero, zero)),
+        _read(t, _TIME, 3, lambda g: today(_hour24(g(1), g(3)), F.coalesce(_int(g(2)), zero))),
+        _read(t, _TIME24, 2, lambda g: today(_int(g(1)), _int(g(2)))),
     )
 
 
@@ -155,24 +176,28 @@ def parse_event_dt(c: Column, as_of: Column, roll_forward: bool = False,
     ``roll_forward`` a year-less date more than 45 days back moves to the next year.
     """
     anchor = midnight(as_of)
-    t = F.regexp_replace(F.regexp_replace(c, " ", " "), r"(?U)^\s+|\s+$", "")
+    t = F.regexp_replace(F.regexp_replace(c, "\u00a0", " "), r"(?U)^\s+|\s+$", "")
     t = F.regexp_replace(
         t, r"(?i)^\s*(?:starts?|begins?|ends?|on|from|at|date|time)\s*[:\-]?\s+", "")
     t = F.nullif(F.regexp_replace(t, r"^[\s,;]+|[\s,;]+$", ""), F.lit(""))
     t = F.regexp_replace(t, r"\s+", " ")
-    known = F.coalesce(_iso(t), _epoch(t), _prose_native(t, anchor))
+    known = let(t, lambda x: F.coalesce(_iso(x), _epoch(x), _prose_native(x, anchor)))
     if free_text:
-        left = F.when(known.isNull(), t)
+        left = F.when(~F.rlike(t, F.lit(_KNOWN)), t)
         known = F.coalesce(
             known, _rest(left, F.date_format(anchor, "yyyy-MM-dd HH:mm:ss")).try_cast("timestamp_ntz"))
     if not roll_forward:
         return known
-    stale = ~F.rlike(c, F.lit(r"\b\d{4}\b")) & (known < anchor - F.expr("interval 45 days"))
-    next_year = _make(F.year(known) + 1, F.month(known),
-                      F.when((F.month(known) == 2) & (F.dayofmonth(known) == 29), 28)
-                      .otherwise(F.dayofmonth(known)),
-                      F.hour(known), F.minute(known), F.second(known).cast("decimal(16,6)"))
-    return F.when(stale, next_year).otherwise(known)
+
+    def forward(x: Column) -> Column:
+        day = F.when((F.month(x) == 2) & (F.dayofmonth(x) == 29), 28).otherwise(F.dayofmonth(x))
+        next_year = _make(F.year(x) + 1, F.month(x), day, F.hour(x), F.minute(x),
+                          F.second(x).cast("decimal(16,6)"))
+        return F.when(x < anchor - F.expr("interval 45 days"), next_year).otherwise(x)
+
+    yearless = ~F.rlike(c, F.lit(r"\b\d{4}\b"))
+    return let(F.struct(known.alias("at"), yearless.alias("yearless")),
+               lambda x: F.when(x["yearless"], let(x["at"], forward)).otherwise(x["at"]))
 
 
 _RANGE = r"(?i)\s+(?:-|to|until|thru|through|till)\s+|\s*[‐-―−]\s*"

@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType
 
 
 def _join(base: str | None, href: str | None) -> str | None:
-    if base is None or href is None:
+    if base is None or not href or href.startswith(("#", "javascript:", "mailto:", "tel:")):
         return None
     try:
         return urljoin(base, href) or None
@@ -31,27 +31,23 @@ def absolute_url(base: Column, href: Column) -> Column:
     (dot segments, document-relative paths) go to Python, nulls standing in for other rows.
     """
     h = F.regexp_replace(F.coalesce(href, F.lit("")), r"(?U)^\s+|\s+$", "")
-    junk = (h == "") | F.rlike(h, F.lit(r"^(?:#|javascript:|mailto:|tel:)"))
-    plain = ~F.rlike(h, F.lit(r"/\.{1,2}(?:/|$|[?#])|^\.|[?#]$"))
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
-    native = (
-        F.when(junk, F.lit(None).cast("string"))
-        .when(plain & F.rlike(h, F.lit(r"^https?://[^/]")), h)
-        .when(plain & F.rlike(h, F.lit(r"^//[^/]")) & (scheme != ""), F.concat(scheme, h))
-        .when(plain & F.rlike(h, F.lit(r"^/[^/]|^/$")) & (origin != ""), F.concat(origin, h))
-    )
-    rest = _resolve(F.when(~junk & native.isNull(), base), F.when(~junk & native.isNull(), h))
-    return F.coalesce(native, rest)
+    prefix = (
+        F.when(F.rlike(h, F.lit(r"^https?://[^/]")), F.lit(""))
+        .when(F.rlike(h, F.lit(r"^//[^/]")), F.nullif(F.regexp_extract(
+            base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.lit("")))
+        .when(F.rlike(h, F.lit(r"^/(?:[^/]|$)")), F.nullif(F.regexp_extract(
+            base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1), F.lit(""))))
+    plain = ~F.rlike(h, F.lit(r"/\.{1,2}(?:/|$|[?#])|[?#]$"))
+    native = F.when(plain, F.concat(prefix, h))
+    return F.coalesce(native, _resolve(F.when(native.isNull(), base), F.when(native.isNull(), h)))
 
 
 def url_key(c: Column) -> Column:
     """URL for matching: lower host, no scheme, query, fragment or trailing slash."""
     bare = F.regexp_replace(F.trim(c), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     bare = F.regexp_replace(F.regexp_replace(bare, r"(?s)[?#].*$", ""), r"/$", "")
-    host = F.regexp_extract(bare, r"^[^/]*", 0)
-    return F.nullif(
-        F.concat(F.lower(host), F.substr(bare, F.length(host) + 1)), F.lit(""))
+    path = F.regexp_replace(bare, r"^[^/]*", "")
+    return F.nullif(F.concat(F.lower(F.regexp_extract(bare, r"^[^/]*", 0)), path), F.lit(""))
 
 
 def host_of(c: Column) -> Column:

@@ -161,7 +161,7 @@ def assign_slots(articles: DataFrame, queue: DataFrame, as_of: str,
         .withColumn("_day", F.explode(F.transform(
             F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.date_add(F.to_date("publish_at"), d))))
         .join(days, ["publication", "_day"], "left_semi")
-        .select("publication", "publish_at").distinct()
+        .select(F.col("publication").alias("_for"), "publish_at").distinct()
     )
-    return choice.groupBy("publication").cogroup(near.groupBy("publication")).applyInPandas(
+    return choice.groupBy("publication").cogroup(near.groupBy("_for")).applyInPandas(
         _assign, _ASSIGNED)
