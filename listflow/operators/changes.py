@@ -87,7 +87,8 @@ def gather_reasons(listings: DataFrame, fingerprints: DataFrame, scores: DataFra
     """
     excluded, groups = filters.keyword_columns(
         F.col("title"), F.col("description"), K.KEYWORDS, K.KEYWORD_EXCLUDES)
-    timely = filters.in_lead(F.col("start_dt"), as_of, min_days, max_days)
+    timely = F.coalesce(
+        filters.in_lead(F.col("start_dt"), as_of, min_days, max_days), F.lit(False))
     wanted = ~excluded & (F.size(groups) > 0)
     early = with_keys(listings.filter(~timely | ~wanted)).withColumn(
         "reject_reason", F.when(~timely, "window").otherwise("keyword"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listflow import constants as K
 from listflow.functions import dates, geo, text
+from listflow.functions.binding import let
 
 
 def normalize_listing(df: DataFrame) -> DataFrame:
@@ -54,9 +55,8 @@ def collect_window(df: DataFrame, as_of: str, days: int = 10,
 
 def in_lead(start: Column, as_of: str, min_days: int = 0, max_days: int = 10) -> Column:
     now = dates.as_ntz(as_of)
-    return F.coalesce(
-        start.between(now + F.make_dt_interval(F.lit(min_days)),
-                      now + F.make_dt_interval(F.lit(max_days))), F.lit(False))
+    return start.between(now + F.make_dt_interval(F.lit(min_days)),
+                         now + F.make_dt_interval(F.lit(max_days)))
 
 
 def lead_window(df: DataFrame, as_of: str, min_days: int = 0, max_days: int = 10) -> DataFrame:
@@ -67,12 +67,12 @@ def lead_window(df: DataFrame, as_of: str, min_days: int = 0, max_days: int = 10
 def keyword_columns(title: Column, description: Column, lexicon: dict[str, list[str]],
                     excludes: list[str], mode: str = "substring") -> tuple[Column, Column]:
     """(excluded, array of matched group names) for the folded title and description."""
+    hit = text.contains_any if mode == "substring" else text.contains_any_word
     hay = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "),
                            F.coalesce(description, F.lit(""))))
-    hit = text.contains_any if mode == "substring" else text.contains_any_word
-    groups = F.array_compact(F.array(*[F.when(hit(hay, terms), F.lit(name))
-                                       for name, terms in lexicon.items()]))
-    return hit(hay, excludes), groups
+    groups = lambda h: F.array_compact(F.array(*[
+        F.when(hit(h, terms), F.lit(name)) for name, terms in lexicon.items()]))
+    return let(hay, lambda h: hit(h, excludes)), let(hay, groups)
 
 
 def keyword_filter(df: DataFrame, lexicon: dict[str, list[str]] | None = None,
@@ -81,7 +81,7 @@ def keyword_filter(df: DataFrame, lexicon: dict[str, list[str]] | None = None,
     excluded, groups = keyword_columns(
         F.col("title"), F.col("description"), lexicon or K.KEYWORDS,
         K.KEYWORD_EXCLUDES if excludes is None else excludes, mode)
-    return (df.filter(~excluded).withColumn("keyword_groups", groups)
+    return (df.withColumn("keyword_groups", F.when(~excluded, groups))
             .filter(F.size("keyword_groups") > 0))
 
 

@@ -7,11 +7,14 @@ read in place: rules are projections over the draft, and only small columns are
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listflow import constants as K
 from listflow.functions import structs, text
+from listflow.functions.binding import let
 
 
 def bodies(sections: Column) -> Column:
@@ -51,20 +54,32 @@ def lexicon_hits(texts: DataFrame, lexicon: dict[str, list[str]] | None = None,
                  body: str = "text", mode: str = "word") -> DataFrame:
     """(key, category, term, n) for every listed term a text holds.
 
-    The lexicon rides along as a literal array, so there is no join and no shuffle; a cheap
-    substring test guards each term's count.
+    The lexicon rides along as a literal array, so there is no join and no shuffle. Only terms
+    whose first word (or, in substring mode, whose text) occurs at all are counted.
     """
+    terms = [(c, x) for c, listed in (lexicon or K.DRAFT_LEXICON).items() for x in listed]
+    probe = (lambda x: re.findall(r"[^\W_]+", x.lower())[0]) if mode == "word" else (lambda x: x)
+    pattern = text.word_pattern if mode == "word" else (lambda x: rf"\Q{x}\E")
     entries = F.array(*[
-        F.struct(F.lit(c).alias("category"), F.lit(x).alias("term"),
-                 F.lit(x.split()[0]).alias("probe"),
-                 F.lit(text.word_pattern(x) if mode == "word" else rf"\Q{x}\E").alias("pattern"))
-        for c, terms in (lexicon or K.DRAFT_LEXICON).items() for x in terms])
-    low = texts.select(key, F.lower(body).alias("_t"))
-    present = F.filter(entries, lambda e: F.contains(F.col("_t"), e["probe"]))
-    counted = F.transform(present, lambda e: F.struct(
-        e["category"].alias("category"), e["term"].alias("term"),
-        F.regexp_count(F.col("_t"), e["pattern"]).alias("n")))
-    return (low.select(key, F.explode(F.filter(counted, lambda h: h["n"] > 0)).alias("h"))
+        F.struct(F.lit(c).alias("category"), F.lit(x).alias("term"), F.lit(probe(x)).alias("probe"),
+                 F.lit(pattern(x)).alias("pattern")) for c, x in terms])
+    probes = F.array(*[F.lit(p) for p in sorted({probe(x) for _, x in terms})])
+
+    def occurring(t: Column) -> Column:
+        if mode == "word":
+            return F.array_intersect(probes, F.split(t, r"[^\p{L}\p{N}]+"))
+        return F.filter(probes, lambda p: F.contains(t, p))
+
+    def count(x: Column) -> Column:
+        return F.transform(
+            F.filter(entries, lambda e: F.array_contains(x["found"], e["probe"])),
+            lambda e: F.struct(e["category"].alias("category"), e["term"].alias("term"),
+                               F.regexp_count(x["t"], e["pattern"]).alias("n")))
+
+    counted = let(F.lower(body), lambda t: let(
+        F.struct(t.alias("t"), occurring(t).alias("found")),
+        lambda x: F.when(F.size(x["found"]) > 0, count(x))))
+    return (texts.select(key, F.explode(F.filter(counted, lambda h: h["n"] > 0)).alias("h"))
             .select(key, "h.*"))
 
 
@@ -118,9 +133,12 @@ def spaced(c: Column) -> Column:
 
 def occurrences(spaced_text: Column, spaced_phrase: Column) -> Column:
     """How often a folded phrase occurs as whole words."""
-    removed = F.replace(spaced_text, spaced_phrase, F.lit(""))
-    n = (F.length(spaced_text) - F.length(removed)) / F.length(spaced_phrase)
-    return F.when(F.trim(spaced_phrase) == "", 0).otherwise(n).cast("int")
+    def count(x: Column) -> Column:
+        removed = F.replace(x["t"], x["p"], F.lit(""))
+        n = (F.length(x["t"]) - F.length(removed)) / F.length(x["p"])
+        return F.when((F.trim(x["p"]) == "") | ~F.contains(x["t"], x["p"]), 0).otherwise(n).cast("int")
+
+    return let(F.struct(spaced_text.alias("t"), spaced_phrase.alias("p")), count)
 
 
 def seo_metrics(drafts: DataFrame, events: DataFrame) -> DataFrame:
@@ -129,29 +147,28 @@ def seo_metrics(drafts: DataFrame, events: DataFrame) -> DataFrame:
     The primary phrase is the event title, compared on folded words.
     """
     joined = drafts.join(_event_columns(events), "event_id", "left")
-    prose = F.concat_ws(" ", "hook_line", body_text(F.col("sections")))
-    base = joined.withColumns({
+    folded = joined.withColumns({
         "_p": spaced(F.col("ev_title")), "_a": spaced(F.col("ev_area")),
-        "_prose": spaced(prose), "_body": spaced(body_text(F.col("sections"))),
+        "_hook": spaced(F.col("hook_line")), "_body": spaced(body_text(F.col("sections"))),
         "_keys": F.filter(F.split(F.lower(F.col("ev_title")), r"[^\p{L}\p{N}]+"), lambda w: w != ""),
-        "_sentences": F.split(prose, r"[.!?]+"),
     })
+    base = folded.withColumn("phrase_count", occurrences(F.concat("_hook", "_body"), F.col("_p")))
     in_heading = lambda s: occurrences(spaced(s["heading"]), F.col("_p")) > 0
-    body_words = F.filter(F.split("_body", " +"), lambda w: w != "")
-    hits = F.size(F.filter(body_words, lambda w: F.array_contains(F.col("_keys"), w)))
+    share = let(F.filter(F.split("_body", " +"), lambda w: w != ""), lambda ws: F.try_divide(
+        F.size(F.filter(ws, lambda w: F.array_contains(F.col("_keys"), w))), F.size(ws)))
+    sentences = F.split(F.concat_ws(" ", "hook_line", body_text(F.col("sections"))), r"[.!?]+")
     return base.withColumns({
-        "phrase_count": occurrences(F.col("_prose"), F.col("_p")),
-        "keyword_share": F.round(F.try_divide(hits, F.size(body_words)), 6),
+        "keyword_share": F.round(share, 6),
         "headings_with_phrase": F.size(F.filter("sections", in_heading)),
         "area_count": occurrences(F.col("_body"), F.col("_a")),
-        "twice_in_sentence": F.exists(
-            "_sentences", lambda s: occurrences(spaced(s), F.col("_p")) >= 2),
+        "twice_in_sentence": F.when(F.col("phrase_count") < 2, F.lit(False)).otherwise(F.exists(
+            sentences, lambda s: occurrences(spaced(s), F.col("_p")) >= 2)),
         "phrase_in_title": occurrences(
             spaced(F.substring("meta_title", 1, 40)), F.col("_p")) > 0,
         "phrase_in_description": occurrences(
             spaced(F.col("meta_description")), F.col("_p")) > 0,
-        "phrase_in_hook": occurrences(spaced(F.col("hook_line")), F.col("_p")) > 0,
-    }).drop("_p", "_a", "_prose", "_body", "_keys", "_sentences")
+        "phrase_in_hook": occurrences(F.col("_hook"), F.col("_p")) > 0,
+    }).drop("_p", "_a", "_hook", "_body", "_keys")
 
 
 def parse_links(drafts: DataFrame) -> DataFrame:

@@ -45,11 +45,15 @@ def match_keys(listings: DataFrame, id_col: str = "pos") -> DataFrame:
 def collapse_copies(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(distinct records by everything the rules read, id -> representative id).
 
-    Identical copies are merged by a map-side aggregate, so a group of copies that holds a
-    third of all rows is one node afterwards.
+    The keys are computed once and kept in the shared folder. Identical copies are merged by a
+    map-side aggregate, so a group of copies that holds a third of all rows is one node
+    afterwards.
     """
-    signed = keyed.withColumn("sig", F.sha2(F.to_json(F.struct(*_SIGNATURE)), 256))
-    reps = signed.groupBy("sig", *_SIGNATURE, "untimed").agg(F.min("id").alias("id"))
+    signed = cut_lineage(keyed.withColumn(
+        "sig", F.sha2(F.to_json(F.struct(*_SIGNATURE)), 256)), "keys")
+    reps = signed.groupBy("sig").agg(
+        F.min("id").alias("id"), *[F.first(c).alias(c) for c in [*_SIGNATURE, "untimed"]])
+    reps = cut_lineage(reps, "nodes")
     return reps.drop("sig"), (
         signed.select("id", "sig")
         .join(reps.select("sig", F.col("id").alias("rep")), "sig").drop("sig"))
@@ -58,18 +62,20 @@ def collapse_copies(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _hub_edges(members: DataFrame, keys: list[str], gap_minutes: int) -> DataFrame:
     """Link members of a block whose starts chain within the gap; an untimed start links all.
 
-    Starts are first reduced to one row per distinct value. The day is part of every block, so
-    the ordered window only ever sees the distinct starts of one day.
+    Starts are first reduced to one row per distinct value, and blocks of one record dropped.
+    The day is part of every block, so the ordered window only ever sees the distinct starts of
+    one day; the hub of a run is the first record of its first start.
     """
     starts = members.groupBy(*keys, "start").agg(
-        F.min("id").alias("first_id"), F.max("untimed").alias("untimed"))
+        F.min("id").alias("first_id"), F.max("untimed").alias("untimed"), F.count("*").alias("n"))
     ordered = Window.partitionBy(*keys).orderBy("start")
-    fresh = F.col("start") - F.lag("start").over(ordered) > _minutes(gap_minutes)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.lag("start").over(ordered)
+    apart = before.isNull() | (F.col("start") - before > _minutes(gap_minutes)) & ~F.max("untimed").over(whole)
     runs = (
-        starts.withColumn("_any", F.max("untimed").over(Window.partitionBy(*keys)))
-        .withColumn("_new", F.when(fresh & ~F.col("_any"), 1).otherwise(0))
-        .withColumn("_run", F.sum("_new").over(ordered))
-        .withColumn("hub", F.min("first_id").over(Window.partitionBy(*keys, "_run")))
+        starts.withColumns({"_opens": apart, "_size": F.sum("n").over(whole)}).filter("_size > 1")
+        .withColumn("hub", F.last(F.when(F.col("_opens"), F.col("first_id")), True).over(so_far))
         .select(*keys, "start", "hub")
     )
     return (members.join(runs, [*keys, "start"])
@@ -104,11 +110,12 @@ def match_auto(nodes: DataFrame) -> DataFrame:
         (F.max("start") - F.min("start")).alias("spread"))
     limited = ((F.col("no_venue") == 0) & (F.col("v0") == F.col("v1")) & ~F.col("any_untimed")
                & (F.col("spread") > _minutes(K.NEVER_MERGE_MINUTES)))
-    groups = groups.filter("n > 1").select(*keys, "hub", limited.alias("limited"))
-    placed = members.join(groups, keys)
-    free = placed.filter(~F.col("limited") & (F.col("id") != F.col("hub"))).select(
-        F.col("hub").alias("src"), F.col("id").alias("dst"))
-    tight = placed.filter("limited").drop("hub", "limited")
+    groups = cut_lineage(groups.filter("n > 1").select(*keys, "hub", limited.alias("limited")), "groups")
+    free = members.join(groups.filter("not limited"), keys).filter("id <> hub").select(
+        F.col("hub").alias("src"), F.col("id").alias("dst")).distinct()
+    if groups.filter("limited").isEmpty():
+        return free
+    tight = members.join(groups.filter("limited").select(*keys), keys)
     titles = tight.groupBy(*keys, "title").agg(F.min("id").alias("hub"))
     same_title = tight.join(titles, [*keys, "title"]).filter(F.col("id") != F.col("hub")).select(
         F.col("hub").alias("src"), F.col("id").alias("dst"))
@@ -149,9 +156,13 @@ def never_merge(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.filter(~F.coalesce(bad, F.lit(False))).select("src", "dst")
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _unsettled(edges: DataFrame) -> int:
+    """Nodes that keep the edges from being stars: two parents, or a parent that has one."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("id"), F.lit(1).alias("up")),
+        F.struct(F.col("v").alias("id"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+    per = ends.groupBy("id").agg(F.sum("up").alias("up"), F.min("up").alias("low"))
+    return per.filter("up > 1 or (up = 1 and low = 0)").agg(F.count("*")).first()[0]
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -163,9 +174,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = (edges.filter("src <> dst")
          .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     e = cut_lineage(e, "edges")
-    seen = _mark(e)
     for _ in range(max_rounds):
-        if not seen[0]:
+        if not _unsettled(e):
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -174,10 +184,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = (large.join(low2, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
         e = cut_lineage(small, "edges")
-        now = _mark(e)
-        if now == seen:
-            break
-        seen = now
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
@@ -209,7 +215,6 @@ def _attach_undated(nodes: DataFrame, dated: DataFrame) -> DataFrame:
 def resolve_entities(listings: DataFrame, id_col: str = "pos") -> DataFrame:
     """(id, group_id) for every record; records that match nothing form their own group."""
     nodes, copies = collapse_copies(match_keys(listings, id_col))
-    nodes = cut_lineage(nodes, "nodes")
     edges = match_auto(nodes).unionByName(match_standard(nodes))
     linked = connected_components(edges)
     dated = (

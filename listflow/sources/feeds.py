@@ -44,8 +44,7 @@ def _plain(c: Column) -> Column:
 
 def _child(key: str) -> Column:
     """Raw text of the first non-blank child of that key."""
-    hit = F.filter("children", lambda c: (c["key"] == key) & ~text.is_blank(c["text"]))
-    return F.try_element_at(hit, F.lit(1))["text"]
+    return F.try_element_at(F.filter("filled", lambda c: c["key"] == key), F.lit(1))["text"]
 
 
 def _child_attr(keys: list[str], name: str, where=None) -> Column:
@@ -53,7 +52,7 @@ def _child_attr(keys: list[str], name: str, where=None) -> Column:
     def first(key):
         ok = lambda c: (c["key"] == key) & attribute(c["attrs"], name).isNotNull() & (
             where(c) if where else F.lit(True))
-        return attribute(F.try_element_at(F.filter("children", ok), F.lit(1))["attrs"], name)
+        return attribute(F.try_element_at(F.filter("tagged", ok), F.lit(1))["attrs"], name)
 
     return F.coalesce(*[first(k) for k in keys])
 
@@ -81,7 +80,9 @@ def feed_entries(feeds: DataFrame, as_of: str, use_published_as_start: bool = Fa
         F.regexp_extract(head, r"(?is)<title[^>]*>(.*?)</title>", 1).alias("feed_title"),
         F.regexp_extract(head, r"(?is)<link[^>]*>(.*?)</link>", 1).alias("feed_link"),
         F.posexplode(F.regexp_extract_all("body", F.lit(_ITEM), 1)).alias("entry_pos", "item"))
-    read = items.withColumn("children", _children(F.col("item"))).drop("item")
+    read = items.withColumn("children", _children(F.col("item"))).drop("item").withColumns({
+        "filled": F.filter("children", lambda c: ~text.is_blank(c["text"])),
+        "tagged": F.filter("children", lambda c: c["attrs"] != "")})
     now = dates.as_ntz(as_of)
     alternate = lambda c: F.coalesce(attribute(c["attrs"], "rel"), F.lit("alternate")) == "alternate"
     published = [_child(k) for k in ("published", "pubdate", "updated", "dc_date")]
