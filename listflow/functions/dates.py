@@ -168,6 +168,10 @@ def _rest(text: pd.Series, anchor: pd.Series) -> pd.Series:
     return pd.Series([_parse_rest(t, a) for t, a in zip(text, anchor)], dtype=object)
 
 
+#: Not moved or repeated by the optimizer: each row crosses to Python at most once.
+_rest = _rest.asNondeterministic()
+
+
 def parse_event_dt(c: Column, as_of: Column, roll_forward: bool = False,
                    free_text: bool = True) -> Column:
     """Published date text to Pacific wall-clock time, or null.
@@ -219,11 +223,14 @@ def split_dt_range(c: Column) -> Column:
 
 def finish_range(start: Column, end: Column, end_text: Column) -> Column:
     """End of a displayed range: a bare end time takes the start's date, past midnight the next."""
-    same_day = _make(F.year(start), F.month(start), F.dayofmonth(start), F.hour(end),
-                     F.minute(end))
-    moved = F.when(same_day < start, same_day + F.expr("interval 1 day")).otherwise(same_day)
-    bare = (end < start) & ~F.rlike(end_text, F.lit(r"\b\d{4}\b"))
-    return F.when(bare, moved).otherwise(end)
+    def finish(x: Column) -> Column:
+        s, e = x["start"], x["end"]
+        same_day = midnight(s) + (e - midnight(e))
+        moved = F.when(same_day < s, same_day + F.expr("interval 1 day")).otherwise(same_day)
+        return F.when((e < s) & x["bare"], moved).otherwise(e)
+
+    bare = ~F.rlike(end_text, F.lit(r"\b\d{4}\b"))
+    return let(F.struct(start.alias("start"), end.alias("end"), bare.alias("bare")), finish)
 
 
 def details_when(c: Column) -> Column:

@@ -39,6 +39,10 @@ def _unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+#: Not moved or repeated by the optimizer: each row crosses to Python at most once.
+_unescape = _unescape.asNondeterministic()
+
+
 def unescape(c: Column) -> Column:
     """HTML entities to characters. Only values holding '&' travel to Python."""
     return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)

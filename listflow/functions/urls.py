@@ -24,6 +24,10 @@ def _resolve(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([_join(b, h) for b, h in zip(base, href)], dtype=object)
 
 
+#: Not moved or repeated by the optimizer: each row crosses to Python at most once.
+_resolve = _resolve.asNondeterministic()
+
+
 def absolute_url(base: Column, href: Column) -> Column:
     """Resolve a link against its page; fragments and non-web schemes become null.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from listflow import constants as K
 from listflow.functions import dates, structs, text, urls
+from listflow.functions.binding import let
 from listflow.operators import filters
 from listflow.sources.listings import conform
 
@@ -42,9 +43,29 @@ def _plain(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("<![CDATA[")), inner).otherwise(text.unescape(c))
 
 
+def _parsed(item: Column) -> Column:
+    """An item's children, and among them the ones with text and the ones with attributes."""
+    return let(_children(item), lambda cs: F.struct(
+        cs.alias("children"), F.filter(cs, lambda c: ~text.is_blank(c["text"])).alias("filled"),
+        F.filter(cs, lambda c: c["attrs"] != "").alias("tagged")))
+
+
+def _first_text(entry: Column, key: str) -> Column:
+    return F.try_element_at(F.filter(entry["filled"], lambda c: c["key"] == key), F.lit(1))["text"]
+
+
+def _usable(entry: Column) -> Column:
+    """Whether an item has a title and some link."""
+    titled = ~text.is_blank(F.regexp_replace(
+        _first_text(entry, "title"), r"(?i)&(?:nbsp|#160|#xa0);", " "))
+    linked = F.exists(entry["children"], lambda c: (c["key"] == "link") & (
+        ~text.is_blank(c["text"]) | attribute(c["attrs"], "href").isNotNull()))
+    return F.coalesce(titled & linked, F.lit(False))
+
+
 def _child(key: str) -> Column:
     """Raw text of the first non-blank child of that key."""
-    return F.try_element_at(F.filter("filled", lambda c: c["key"] == key), F.lit(1))["text"]
+    return _first_text(F.col("e"), key)
 
 
 def _child_attr(keys: list[str], name: str, where=None) -> Column:
@@ -52,7 +73,7 @@ def _child_attr(keys: list[str], name: str, where=None) -> Column:
     def first(key):
         ok = lambda c: (c["key"] == key) & attribute(c["attrs"], name).isNotNull() & (
             where(c) if where else F.lit(True))
-        return attribute(F.try_element_at(F.filter("tagged", ok), F.lit(1))["attrs"], name)
+        return attribute(F.try_element_at(F.filter("e.tagged", ok), F.lit(1))["attrs"], name)
 
     return F.coalesce(*[first(k) for k in keys])
 
@@ -80,9 +101,8 @@ def feed_entries(feeds: DataFrame, as_of: str, use_published_as_start: bool = Fa
         F.regexp_extract(head, r"(?is)<title[^>]*>(.*?)</title>", 1).alias("feed_title"),
         F.regexp_extract(head, r"(?is)<link[^>]*>(.*?)</link>", 1).alias("feed_link"),
         F.posexplode(F.regexp_extract_all("body", F.lit(_ITEM), 1)).alias("entry_pos", "item"))
-    read = items.withColumn("children", _children(F.col("item"))).drop("item").withColumns({
-        "filled": F.filter("children", lambda c: ~text.is_blank(c["text"])),
-        "tagged": F.filter("children", lambda c: c["attrs"] != "")})
+    # Testing inside the explode keeps the optimizer from repeating the parse in a pushed filter.
+    read = items.withColumn("e", F.explode(F.filter(F.array(_parsed(F.col("item"))), _usable))).drop("item")
     now = dates.as_ntz(as_of)
     alternate = lambda c: F.coalesce(attribute(c["attrs"], "rel"), F.lit("alternate")) == "alternate"
     published = [_child(k) for k in ("published", "pubdate", "updated", "dc_date")]
@@ -104,13 +124,12 @@ def feed_entries(feeds: DataFrame, as_of: str, use_published_as_start: bool = Fa
     plain = raw_parts.withColumns({
         c: _plain(F.col(c)) for c in ("_title", "_link", "_id", "_content", "_summary", "_media",
                                       "_published", *[f"_{g}" for g in K.FEED_ALIASES])})
-    kept = plain.filter(~text.is_blank(F.col("_link")) & ~text.is_blank(F.col("_title")))
     base = F.col("feed_url")
     in_body = F.coalesce(*[F.nullif(F.regexp_extract(c, _IMG_SRC, 1), F.lit(""))
                            for c in ("_summary", "_content")])
     consumed = F.array(*[F.lit(k) for k in K.FEED_BODY_KEYS + ["enclosure", "content_encoded"]
                          + [k for ks in K.FEED_ALIASES.values() for k in ks]])
-    listing = kept.select(
+    listing = plain.select(
         source_label(F.col("source"), base, F.col("feed_title")).alias("source"),
         F.col("_id").alias("source_id"),
         urls.absolute_url(base, text.clean_text(F.col("_link"))).alias("url"),
@@ -127,8 +146,8 @@ def feed_entries(feeds: DataFrame, as_of: str, use_published_as_start: bool = Fa
             F.lit("rss").alias("_parser"), base.alias("_feed_url"),
             F.struct(text.clean_text(F.col("feed_title")).alias("title"),
                      text.clean_text(F.col("feed_link")).alias("link")).alias("feed"),
-            F.col("children").alias("entry"),
-            F.filter("children", lambda c: ~F.array_contains(consumed, c["key"])).alias("_unmapped"),
+            F.col("e.children").alias("entry"),
+            F.filter("e.children", lambda c: ~F.array_contains(consumed, c["key"])).alias("_unmapped"),
         )).alias("raw"),
         "feed_url", "entry_pos")
     return filters.normalize_listing(conform(listing))
