@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listflow import constants as K
 from listflow.functions import geo, text
 from listflow.operators import transit
+from listflow.session import cut_lineage
 
 #: Aliases accepted on read, nested then flat; the result always has the first flat name.
 ALIASES = {
@@ -160,6 +161,7 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
         .withColumn("neighborhood", F.coalesce("neighborhood", "_area"))
         .drop("lat4", "lon4", "_area")
     )
+    located = cut_lineage(located, "located")
     pictures = photos.select("venue_url", F.col("photo_url").alias("_photo"))
     shown = stock_image(located.join(pictures, "venue_url", "left"), library, aliases)
     no_image = F.col("image_url").isNull()
@@ -175,7 +177,7 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
         "image_url": F.when(no_image, F.when(venue_photo, F.col("_photo")).otherwise(stock)).otherwise(
             F.col("image_url")),
     }).drop("_photo", "stock_url", "stock_alt")
-    sites = pictured.filter("lat is not null and lon is not null").select("lat", "lon").distinct()
+    sites = located.filter("lat is not null and lon is not null").select("lat", "lon").distinct()
     ranked = transit.nearest_stops(sites, stops).withColumn("_site", F.struct("lat", "lon"))
     near = transit.transit_arrays(ranked, "_site").select(
         F.col("_site.lat").alias("lat"), F.col("_site.lon").alias("lon"),

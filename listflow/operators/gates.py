@@ -203,9 +203,7 @@ def seo_score_cap(drafts: DataFrame, events: DataFrame, posts: DataFrame,
             if k not in ("slug_tokens", "hook_length", "disclaimer")}
     links = audit_links(drafts, posts).select(
         "draft_id", "invented_targets", "repeated_targets", "bad_anchors")
-    joined = measured.join(_event_columns(events).select("event_id", "ev_start", "ev_area"), "event_id",
-                           "left") if "ev_start" not in measured.columns else measured
-    joined = joined.join(links, "draft_id", "left")
+    joined = measured.join(links, "draft_id", "left")
     n = F.coalesce(F.size("sections"), F.lit(0))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)) > 0
     heads = F.transform("sections", lambda s: F.coalesce(F.lower(s["heading"]), F.lit("")))

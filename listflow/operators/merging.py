@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listflow import constants as K
 from listflow.functions import keys, price, text
 from listflow.operators.changes import source_priority
+from listflow.operators.ranking import rank_within
 
 
 def _specificity(field: str) -> Column:
@@ -38,12 +39,11 @@ def _contender(members: DataFrame, field: str) -> Column:
 
 
 def field_rank(members: DataFrame, field: str) -> DataFrame:
-    """Contenders for one field with their rank inside the group."""
+    """Contenders for one field with their rank inside the group, best first."""
     stated = members.filter(_stated(members, field))
-    w = Window.partitionBy("group_id").orderBy(
-        source_priority(F.col("source")), F.desc(_specificity(field)), "pos")
-    return stated.select("group_id", "member_id", F.col(field).alias("value"),
-                         F.row_number().over(w).alias("rank"))
+    ranked = rank_within(stated, "group_id", [
+        source_priority(F.col("source")), -_specificity(field), F.col("pos")])
+    return ranked.select("group_id", "member_id", F.col(field).alias("value"), "rank")
 
 
 def survivorship(members: DataFrame, fields: tuple[str, ...] = K.CANONICAL_FIELDS) -> DataFrame:

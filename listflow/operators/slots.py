@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from listflow import constants as K
 from listflow.functions import dates
+from listflow.session import cut_lineage
 
 _STEP = 15
 
@@ -60,15 +61,22 @@ def slot_spacing(cands: DataFrame, queue: DataFrame) -> DataFrame:
     """Add ``gap_minutes`` to the nearest queued time (null = none within a day) and
     ``spacing_hours``: 24, 12 or 6, null when even 6 hours are not clear.
 
-    Both sides are reduced to distinct times first; a queued time is listed on its own and the
-    two neighbouring days, so the range test is an equi-join on the day.
+    Both sides are reduced to distinct times and lined up by day, a queued time also standing
+    in the two neighbouring days; the nearest ones before and after a slot are then read off
+    the order, without pairing slots and queued times.
     """
     wanted = cands.select("slot").distinct().withColumn("_day", F.to_date("slot"))
     taken = queue.filter("publish_at is not null").select(F.col("publish_at").alias("_q")).distinct()
     taken = taken.withColumn("_day", F.explode(F.transform(
         F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.date_add(F.to_date("_q"), d))))
-    gaps = (wanted.join(taken, "_day").groupBy("slot")
-            .agg(F.min(F.abs(F.timestamp_diff("MINUTE", F.col("_q"), F.col("slot")))).alias("gap_minutes")))
+    line = wanted.withColumn("_t", F.col("slot")).unionByName(
+        taken.withColumn("_t", F.col("_q")), allowMissingColumns=True)
+    day = Window.partitionBy("_day").orderBy("_t")
+    before = F.last("_q", True).over(day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.first("_q", True).over(day.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    gaps = line.withColumns({"_before": before, "_after": after}).filter("slot is not null").select(
+        "slot", F.least(F.timestamp_diff("MINUTE", F.col("_before"), F.col("slot")),
+                        F.timestamp_diff("MINUTE", F.col("slot"), F.col("_after"))).alias("gap_minutes"))
     gaps = gaps.filter(F.col("gap_minutes") < K.SPACING_HOURS[0] * 60)
     tier = F.when(F.col("gap_minutes").isNull(), K.SPACING_HOURS[0])
     for hours in K.SPACING_HOURS:
@@ -96,7 +104,7 @@ def rank_slots(articles: DataFrame, queue: DataFrame, as_of: str) -> DataFrame:
     start. Order: least widening, least relaxed spacing, best band, closest to the six-day
     mark, earlier day, closest to the band's midpoint.
     """
-    starts = articles.filter("start_dt is not null").select("start_dt").distinct()
+    starts = cut_lineage(articles.filter("start_dt is not null").select("start_dt").distinct(), "starts")
     legal = slot_spacing(slot_candidates(starts, as_of), queue).filter("spacing_hours is not null")
     w = Window.partitionBy("start_dt").orderBy(
         "widening", F.desc("spacing_hours"), "band", F.abs(F.col("offset_days") - K.ANCHOR_OFFSET),
@@ -152,6 +160,7 @@ def assign_slots(articles: DataFrame, queue: DataFrame, as_of: str,
         F.desc_nulls_last("relevance_avg"), F.asc_nulls_first("start_dt"), "article_id")
     turn = articles.filter("start_dt is not null").withColumn("turn", F.row_number().over(w)).filter(
         F.col("turn") <= per_run).select("publication", "article_id", "turn", "start_dt")
+    turn = cut_lineage(turn, "turns")
     starts = turn.select("start_dt").distinct()
     choice = turn.join(_last_resort(starts, as_of), "start_dt").join(
         slot_candidates(starts, as_of), "start_dt", "left")

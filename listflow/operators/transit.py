@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listflow import constants as K
 from listflow.functions import geo, text
+from listflow.session import cut_lineage
 
 
 def served_routes(routes: DataFrame) -> DataFrame:
@@ -139,12 +140,13 @@ def nearest_stops(points: DataFrame, stops: DataFrame, k: int = 3,
     """Nearest stops per point; the wide search runs only for points with none close by.
 
     Work is done once per distinct coordinate, so a venue that holds a third of all events
-    costs one search, and results go back to points by coordinate.
+    costs one search, and results go back to points by coordinate. The stop table and the close
+    pairs are read more than once, so each is kept in the shared folder.
     """
     site = ["lat", "lon"]
-    places = _collapse_stops(stops)
+    places = cut_lineage(_collapse_stops(stops), "stops")
     sites = points.filter("lat is not null and lon is not null").select(*site).distinct()
-    close = within_radius(sites, places, radius_m)
+    close = cut_lineage(within_radius(sites, places, radius_m), "close")
     rest = sites.join(close.select(*site).distinct(), site, "left_anti")
     pairs = close.unionByName(within_radius(rest, places, fallback_m))
     best = topk_per_point(merge_stops_by_name(pairs.repartition(*site), site), site, k)

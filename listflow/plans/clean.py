@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listflow.operators import matching, merging, work
+from listflow.session import cut_lineage
 
 
 def group_members(candidates: DataFrame) -> DataFrame:
@@ -19,8 +20,8 @@ def clean(candidates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     Every member keeps its own content hash; only the canonical id is new.
     """
-    members = group_members(candidates)
-    events = merging.canonical_events(members)
+    members = cut_lineage(group_members(candidates), "members")
+    events = cut_lineage(merging.canonical_events(members), "events")
     updates = members.join(events.select("group_id", "event_id"), "group_id").select(
         "fingerprint", "content_hash", F.col("event_id").alias("canonical_id"))
     return events, work.new_articles(events), updates

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from listflow.operators import changes, filters
+from listflow.session import cut_lineage
 
 
 def new_or_changed(listings: DataFrame, fingerprints: DataFrame, as_of: str, min_days: int = 0,
@@ -20,9 +21,13 @@ def new_or_changed(listings: DataFrame, fingerprints: DataFrame, as_of: str, min
 
 def gather(listings: DataFrame, fingerprints: DataFrame, scores: DataFrame, as_of: str,
            min_days: int = 0, max_days: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(candidates in work order, next fingerprint state, report)."""
+    """(candidates in work order, next fingerprint state, report).
+
+    The classified listings feed all three, so they are written once.
+    """
     fresh = filters.dedupe_same_source(filters.normalize_listing(listings))
-    reasons = changes.gather_reasons(fresh, fingerprints, scores, as_of, min_days, max_days)
+    reasons = cut_lineage(
+        changes.gather_reasons(fresh, fingerprints, scores, as_of, min_days, max_days), "reasons")
     candidates = changes.ordered_candidates(
         changes.to_candidates(reasons.filter("reject_reason is null")))
     scored = reasons.filter("change in ('new', 'changed')").selectExpr(
