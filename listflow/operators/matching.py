@@ -1,8 +1,8 @@
 """Same-event matching and entity resolution.
 
-Matches are expressed as hub edges (member -> smallest id of its run) instead of pairs, so a
+Matches are expressed as hub edges (member -> one record of its run) instead of pairs, so a
 group of n alike records gives n edges, and the connected components are the same as those of
-the full pair set.
+the full pair set. An edge may be listed more than once; components drop repeats.
 """
 
 from __future__ import annotations
@@ -112,7 +112,7 @@ def match_auto(nodes: DataFrame) -> DataFrame:
                & (F.col("spread") > _minutes(K.NEVER_MERGE_MINUTES)))
     groups = cut_lineage(groups.filter("n > 1").select(*keys, "hub", limited.alias("limited")), "groups")
     free = members.join(groups.filter("not limited"), keys).filter("id <> hub").select(
-        F.col("hub").alias("src"), F.col("id").alias("dst")).distinct()
+        F.col("hub").alias("src"), F.col("id").alias("dst"))
     if groups.filter("limited").isEmpty():
         return free
     tight = members.join(groups.filter("limited").select(*keys), keys)
@@ -120,7 +120,7 @@ def match_auto(nodes: DataFrame) -> DataFrame:
     same_title = tight.join(titles, [*keys, "title"]).filter(F.col("id") != F.col("hub")).select(
         F.col("hub").alias("src"), F.col("id").alias("dst"))
     close = _hub_edges(tight, keys, K.NEVER_MERGE_MINUTES)
-    return free.unionByName(same_title).unionByName(close).distinct()
+    return free.unionByName(same_title).unionByName(close)
 
 
 def match_standard(nodes: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def match_standard(nodes: DataFrame) -> DataFrame:
                 F.explode("tokens").alias("token"))
     )
     keys = ["kind", "place", "token", "day", "role"]
-    return _hub_edges(members, keys, K.MATCH_MINUTES).distinct()
+    return _hub_edges(members, keys, K.MATCH_MINUTES)
 
 
 def never_merge(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -174,9 +174,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = (edges.filter("src <> dst")
          .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     e = cut_lineage(e, "edges")
+    if e.isEmpty():
+        return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     for _ in range(max_rounds):
-        if not _unsettled(e):
-            break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -184,6 +184,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = (large.join(low2, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
         e = cut_lineage(small, "edges")
+        if not _unsettled(e):
+            break
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
