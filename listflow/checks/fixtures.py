@@ -76,7 +76,7 @@ select c_custkey as point_id, 47.50 + (c_custkey % 17) * 0.01e0 as lat, -122.40
 from customer""",
     "observations": """
 select real_id as event_id, source, pos % 23 <> 0 as fetch_ok,
-  case when pos % 29 = 0 then start_dt + interval '1' hour else start_dt end as stated_start,
+  case when pos % 29 = 0 then start_dt + interval '1' hour when real_id % 3 <> 0 then cast(cast(start_dt as date) as {TS}) else start_dt end as stated_start,
   venue_name as stated_venue, venue_address as stated_address,
   case when pos % 31 = 0 then 'donation' else price end as stated_price,
   case when pos % 37 = 0 then 'cancelled' when pos % 41 = 0 then 'sold_out' else null end as status_flag
@@ -110,7 +110,7 @@ select doc_id as draft_id, substr(text, 1, 80) as hook_line,
   text || case doc_id % 10 when 0 then ' leverage a vibrant journey' when 3 then ' you should try this'
     when 7 then ' prevents injury and builds endurance' else '' end
     || case when doc_id % 12 = 0 then ' —' else '' end as body,
-  'Doc ' || cast(doc_id as string) || case when doc_id % 7 = 0 then ' | Mag' else '' end as meta_title,
+  case when doc_id % 3 = 0 then 'Doc' else regexp_extract(text, '^[^ ]+ [^ ]+', 0) end || ' ' || cast(doc_id as string) || case when doc_id % 7 = 0 then ' | Mag' else '' end as meta_title,
   case when doc_id % 4 = 0 then substr(text, 1, 160) else 'August 22 in Ballard, item ' || cast(doc_id as string) end as meta_description,
   case when doc_id % 6 = 0 then 'Bad Slug' else 'doc-item-' || cast(doc_id as string) end as slug_stem
 from documents""",
@@ -126,14 +126,14 @@ from documents""",
         """
 select draft_id, element_at(array('voice_brand_compliance', 'structural_format_compliance', 'editorial_value',
     'factual_venue_integrity', 'seattle_local_specificity', 'ai_pattern_detection', 'seo'), n + 1) as dimension,
-  cast(7 + (draft_id * 3 + n * 5) % 4 as int) as score,
+  cast(least(10, 7 + (draft_id * 3 + n * 5) % 4 + case when draft_id % 3 = 0 then 1 else 0 end) as int) as score,
   case when draft_id % 8 = 0 then 'not in the draft' else substr(body, 3, 12) end as excerpt
 from drafts lateral view explode(sequence(0, 6)) s as n
 where not (draft_id % 15 = 0 and n = 6)""",
         """
 select draft_id, (['voice_brand_compliance', 'structural_format_compliance', 'editorial_value',
     'factual_venue_integrity', 'seattle_local_specificity', 'ai_pattern_detection', 'seo'])[n + 1] as dimension,
-  cast(7 + (draft_id * 3 + n * 5) % 4 as int) as score,
+  cast(least(10, 7 + (draft_id * 3 + n * 5) % 4 + case when draft_id % 3 = 0 then 1 else 0 end) as int) as score,
   case when draft_id % 8 = 0 then 'not in the draft' else substr(body, 3, 12) end as excerpt
 from (select *, unnest(range(7)) as n from drafts) t
 where not (draft_id % 15 = 0 and n = 6)"""),

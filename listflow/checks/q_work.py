@@ -14,8 +14,7 @@ from listflow.operators import slots, work
 A = ("articles",)
 AE = ("articles", "article_events")
 
-OUTCOMES = """select article_id, case when attempt_count = 2 and event_id % 3 = 0 then 'infra' when event_id % 5 = 0 then 'held' when event_id % 5 = 1 then 'ok'
-  when event_id % 5 = 2 then 'dropped' else 'fail' end as kind, case when event_id % 2 = 0 then 'weak' end as reason,
+OUTCOMES = """select article_id, case cast(floor(event_id / 5) as bigint) % 7 when 0 then 'infra' when 1 then 'held' when 2 then 'ok' when 3 then 'ok' when 4 then 'dropped' else 'fail' end as kind, case when event_id % 2 = 0 then 'weak' end as reason,
   case when stage = 's4_write' then null else 's4_write' end as retry_from from articles where status in ('queued', 'in_progress')"""
 
 
@@ -222,7 +221,33 @@ def w5_rank_slots(t):
         "article_id", "publish_at", "band", "offset_days", "spacing_hours", "widened", "lead_window_missed")
 
 
-@register("w6_assign_slots")
+def _turns(n):
+    """One block of CTEs per turn: each publication's next article against queue and earlier picks."""
+    out = []
+    for i in range(1, n + 1):
+        taken = " union all ".join(["select publication, publish_at from articles where status = 'scheduled'"] + [
+            f"select publication, publish_at from pick{k}" for k in range(1, i)])
+        out.append(f"""taken{i} as (select distinct publication, publish_at from ({taken}) x),
+gap{i} as (select a.publication, l.start_dt, l.slot, min(abs(date_diff('minute', l.slot, publish_at))) as gap from turns a join legal l on l.start_dt = a.start_dt
+  left join taken{i} t on t.publication = a.publication where a.turn = {i} group by all),
+sp{i} as (select distinct on (g.publication, l.slot, l.band, l.offset_days) g.publication, l.*, case when gap is null or gap >= 1440 then 24 when gap >= 720 then 12 when gap >= 360 then 6 end as spacing_hours
+  from gap{i} g join legal l on l.start_dt = g.start_dt and l.slot = g.slot),
+top{i} as (select * from (select *, row_number() over (partition by publication order by widening, spacing_hours desc, band, abs(offset_days - 6), day, off_mid, slot) as rn from sp{i} where spacing_hours is not null) where rn = 1),
+pick{i} as (select a.publication, a.article_id, coalesce(slot, case when latest >= {NOW} + interval 2 hour then latest else {NOW} + interval 2 hour end) as publish_at, band, spacing_hours, slot is null as lead_window_missed
+  from turns a left join top{i} t on t.publication = a.publication left join lr on lr.start_dt = a.start_dt where a.turn = {i})""")
+    return ", ".join(out)
+
+
+_LAST = """lim as (select start_dt, start_dt - interval 24 hour as lim from starts),
+ld as (select start_dt, lim, unnest([cast(lim as date), cast(lim as date) - 1]) as day from lim),
+lg as (select start_dt, lim, cast(day as timestamp) + to_minutes(cast(unnest(range(first, last + 1, 15)) as int)) as slot, day from ld join """ + _BANDS + """ on list_contains(days, isodow(day))),
+lr as (select start_dt, max(slot) as latest from lg where slot <= lim and not (isodow(day) = 5 and slot >= cast(day as timestamp) + interval 15 hour) group by start_dt)"""
+
+
+@register("w6_assign_slots", f"""
+with {_SLOTS}, {_LAST}, turns as (select * from (select publication, article_id, start_dt, row_number() over (partition by publication order by relevance_avg desc nulls last, start_dt asc nulls first, article_id) as turn
+  from articles join article_events using (event_id) where status in ('queued', 'in_progress')) where turn <= 5), {_turns(5)}
+""" + " union all ".join(f"select publication, article_id, cast(publish_at as varchar) as publish_at, band, spacing_hours, lead_window_missed from pick{i}" for i in range(1, 6)), AE)
 def w6_assign_slots(t):
     open_ = work.work_queue(t.articles, t.article_events)
     return slots.assign_slots(open_, queue(t), AS_OF)

@@ -53,6 +53,13 @@ def source_coverage(listings: DataFrame, expected: DataFrame) -> DataFrame:
     return per.withColumn("silent", F.col("n_listings") == 0).withColumn("all_silent", total == 0)
 
 
+def require_listings(coverage: DataFrame) -> DataFrame:
+    """The coverage itself, or an error when every expected source was silent."""
+    if coverage.filter("not silent").isEmpty():
+        raise ValueError("no expected source produced a listing")
+    return coverage
+
+
 def write_snapshot(df: DataFrame, path: str, run_id: str) -> str:
     """Write one run's version of a table and return its folder.
 

@@ -102,14 +102,15 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> str:
 
 
 def snapshot_versions(spark: SparkSession, path: str) -> list[int]:
-    """Version numbers present under a snapshot folder."""
+    """Numbers of the versions that were written to the end."""
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(folder):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
+    whole = [s.getPath() for s in fs.listStatus(folder)
+             if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return sorted(int(p.getName().split("=")[1]) for p in whole if p.getName().startswith("version="))
 
 
 def read_snapshot(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
