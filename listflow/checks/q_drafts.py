@@ -56,7 +56,7 @@ _TERMS = "[" + ", ".join(f"{{'category': {q(c)}, 'term': {q(x)}}}" for c, ts in
 
 
 @register("g2_lexicon_hits", rf"""
-with p as (select draft_id as doc_id, ' ' || replace(trim(regexp_replace(lower(body), '[^\p{{L}}\p{{N}}!-]+', ' ', 'g')), ' ', '  ') || ' ' as t from drafts),
+with p as (select draft_id as doc_id, ' ' || replace(trim(regexp_replace(regexp_replace(lower(body), '([^\p{{L}}\p{{N}}\s!-])', ' \1 ', 'g'), '\s+', ' ', 'g')), ' ', '  ') || ' ' as t from drafts),
 x as (select doc_id, t, unnest({_TERMS}) as e from p),
 n as (select doc_id, e.category as category, e.term as term, ' ' || replace(e.term, ' ', '  ') || ' ' as needle, t from x where contains(t, ' ' || replace(e.term, ' ', '  ') || ' '))
 select doc_id, category, term, cast((length(t) - length(replace(t, needle, ''))) / length(needle) as int) as n from n""", D)

@@ -109,12 +109,23 @@ r2 as (select pos, source || ':' || source_id as fingerprint, {CONTENT_HASH} as
 f1 as (select fingerprint, min(pos) as pos, arg_min(h, pos) as h from r1 group by fingerprint), f2 as (select fingerprint, min(pos) as pos, arg_min(h, pos) as h from r2 group by fingerprint)"""
 
 
-@register("st1_stream_changes", f"""
+_CHANGED = f"""
 with {_RUNS} select fingerprint, pos, 'new' as change, h as content_hash from f1
-union all select f2.fingerprint, f2.pos, case when f1.h is null then 'new' else 'changed' end, f2.h from f2 left join f1 using (fingerprint) where f1.h is null or f1.h <> f2.h""", ("listings",))
+union all select f2.fingerprint, f2.pos, case when f1.h is null then 'new' else 'changed' end, f2.h from f2 left join f1 using (fingerprint) where f1.h is null or f1.h <> f2.h"""
+
+
+@register("st1_stream_changes", _CHANGED, ("listings",))
 def st1_stream_changes(t):
+    state = scratch_path(t.spark, "state")
+    empty = t.fingerprints.filter(F.lit(False))
+    _two_runs(t, lambda s, mark: st.stream_changes(s, state, mark, empty, AS_OF))
+    return st.read_changes(t.spark, state).drop("version")
+
+
+@register("st1_stream_changes_keyed", _CHANGED, ("listings",))
+def st1_stream_changes_keyed(t):
     out = scratch_path(t.spark, "changes")
-    _two_runs(t, lambda s, mark: st.run_available(st.stream_changes(s), out, mark))
+    _two_runs(t, lambda s, mark: st.run_available(st.stream_changes_keyed(s), out, mark))
     return t.spark.read.parquet(out)
 
 

@@ -28,22 +28,57 @@ def with_event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
         "seen_at", delay)
 
 
+def change_step(as_of: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """One run over a batch: the next fingerprint state, with ``change`` and ``pos`` of the rows
+    the batch brought (null for the rest). One join gives the answer and the state."""
+    now = dates.as_ntz(as_of)
+
+    def step(current: DataFrame, batch: DataFrame) -> DataFrame:
+        c = current.drop("change", "pos").alias("c")
+        b = changes.with_keys(filters.dedupe_same_source(batch)).select(
+            "fingerprint", "content_hash", "pos").alias("b")
+        seen = F.col("b.pos").isNotNull()
+        return c.join(b, "fingerprint", "full_outer").select(
+            "fingerprint", "c.canonical_id",
+            F.coalesce("b.content_hash", "c.content_hash").alias("content_hash"),
+            F.coalesce("c.first_seen", now).alias("first_seen"),
+            F.when(seen, now).otherwise(F.col("c.last_seen")).alias("last_seen"),
+            F.when(seen, F.when(F.col("c.content_hash").isNull(), "new").when(
+                F.col("c.content_hash") != F.col("b.content_hash"), "changed")
+                .otherwise("unchanged")).alias("change"),
+            F.col("b.pos").alias("pos"))
+
+    return step
+
+
+def stream_changes(listings: DataFrame, state: str, checkpoint: str, initial: DataFrame,
+                   as_of: str) -> str:
+    """Run everything that landed against the state; :func:`read_changes` gives what was found."""
+    return stream_merge(listings, state, checkpoint, initial, change_step(as_of))
+
+
+def read_changes(spark: SparkSession, state: str) -> DataFrame:
+    """New and changed listings of every batch, with the batch's ``version``."""
+    return spark.read.parquet(state).filter("change in ('new', 'changed')").select(
+        "version", "fingerprint", "pos", "change", "content_hash")
+
+
 def _emit_change(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    first = None
+    first = found = None
     for batch in batches:
-        row = batch.loc[batch["pos"].idxmin()]
-        if first is None or row["pos"] < first["pos"]:
-            first = row
+        pos = batch["pos"].to_numpy()
+        at = int(pos.argmin())
+        if first is None or pos[at] < first:
+            first, found = int(pos[at]), batch["content_hash"].iat[at]
     known = state.get[0] if state.exists else None
-    if first is not None and first["content_hash"] != known:
-        state.update((first["content_hash"],))
-        yield pd.DataFrame({"fingerprint": [key[0]], "pos": [first["pos"]],
-                            "change": ["new" if known is None else "changed"],
-                            "content_hash": [first["content_hash"]]})
+    if first is not None and found != known:
+        state.update((found,))
+        yield pd.DataFrame({"fingerprint": [key[0]], "pos": [first],
+                            "change": ["new" if known is None else "changed"], "content_hash": [found]})
 
 
-def stream_changes(listings: DataFrame) -> DataFrame:
-    """New and changed listings; the keyed state is the last content hash.
+def stream_changes_keyed(listings: DataFrame) -> DataFrame:
+    """The same answer from keyed state, for small continuous batches over a large state.
 
     A key's rows of one batch are streamed through and only the first in input order is kept,
     as a run keeps the first of its same-source duplicates.
@@ -67,9 +102,10 @@ def _track(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
         return
     start = floor = None
     for batch in batches:
-        top = batch.loc[batch["start_ms"].idxmax()]
-        if start is None or top["start_ms"] > start:
-            start, floor = int(top["start_ms"]), int(top["floor_ms"])
+        starts = batch["start_ms"].to_numpy()
+        at = int(starts.argmax())
+        if start is None or starts[at] > start:
+            start, floor = int(starts[at]), int(batch["floor_ms"].iat[at])
     if floor <= state.getCurrentWatermarkMs():
         yield pd.DataFrame({"fingerprint": [key[0]], "start_ms": [start], "status": ["too_late"]})
         return

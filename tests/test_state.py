@@ -90,7 +90,7 @@ def test_stream_in_many_files_equals_one_batch(t, spark):
     landed, out, mark = (scratch_path(spark, x) for x in ("landed", "out", "mark"))
     t.listings.repartition(6).write.parquet(landed)
     stream = spark.readStream.schema(t.listings.schema).option("maxFilesPerTrigger", 2).parquet(landed)
-    st.run_available(st.stream_changes(stream), out, mark)
+    st.run_available(st.stream_changes_keyed(stream), out, mark)
     got = spark.read.parquet(out)
     fresh = changes.with_keys(filters.dedupe_same_source(t.listings))
     assert got.select("fingerprint").distinct().count() == fresh.count()
