@@ -11,7 +11,7 @@ from listflow.checks.sqlparts import (
     CONTENT_HASH, EXCLUDED, GROUPS, INCLUDED, NOW, PRIORITY, clean, collapse, q, values)
 from listflow.functions import dates, keys, text
 from listflow.operators import changes, filters
-from listflow.session import scratch_path
+from listflow.session import dimension, scratch_path
 from listflow.sources import listings as src
 
 L = ("listings",)
@@ -37,9 +37,8 @@ per as (select e.source, coalesce(n, 0) as n_listings from expected e left join
 select source, n_listings, n_listings = 0 as silent, (select sum(n_listings) from per) = 0 as all_silent from per
 """, L)
 def s9_source_coverage(t):
-    expected = t.spark.createDataFrame(
-        [(s, True) for s in K.SOURCE_ORDER + ("meetup",)] + [("paused", False)],
-        "source string, enabled boolean")
+    expected = dimension(
+        t.spark, [(s, True) for s in K.SOURCE_ORDER + ("meetup",)] + [("paused", False)], ["source", "enabled"])
     return src.source_coverage(t.listings, expected)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from listflow import constants as K
 from listflow.functions import geo, text
 from listflow.operators import transit
-from listflow.session import cut_lineage
+from listflow.session import cut_lineage, dimension
 
 #: Aliases accepted on read, nested then flat; the result always has the first flat name.
 ALIASES = {
@@ -69,12 +69,12 @@ def geocode_lookup(venues: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 def library_frame(spark: SparkSession) -> DataFrame:
     """The stock image library as a dimension table (key, name, url, description)."""
-    rows = spark.createDataFrame(K.IMAGE_LIBRARY, "name string, url string, description string")
+    rows = dimension(spark, K.IMAGE_LIBRARY, ["name", "url", "description"])
     return rows.withColumn("key", text.name_key(F.col("name")))
 
 
 def alias_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(K.NEIGHBORHOOD_ALIASES.items()), "key string, alias_of string")
+    return dimension(spark, list(K.NEIGHBORHOOD_ALIASES.items()), ["key", "alias_of"])
 
 
 def canonical_neighborhood(df: DataFrame, name: str, library: DataFrame, aliases: DataFrame,

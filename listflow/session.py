@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings a cluster session should carry. Partition counts are left to AQE, which coalesces
@@ -58,6 +59,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def dimension(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small literal table whose size Catalyst knows.
+
+    Rows that come as Arrow become a local relation; a plain Python list would be a scan of
+    unknown size, which is never broadcast and makes the other side of a join move.
+    """
+    return spark.createDataFrame(pa.table(
+        {n: pa.array([r[i] for r in rows]) for i, n in enumerate(names)}))
+
+
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

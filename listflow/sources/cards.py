@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from listflow import constants as K
 from listflow.functions import dates, structs, urls
 from listflow.operators import filters
+from listflow.session import dimension
 from listflow.sources.listings import conform
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -138,7 +139,7 @@ def site_specs(spark: SparkSession, overrides: dict[str, dict] | None = None) ->
         spec = {**K.CARD_DEFAULTS, **{k: v for k, v in site.items() if k in ("card", *K.CARD_DEFAULTS)}}
         spec = {k: [v] if isinstance(v, str) else list(v) for k, v in spec.items()}
         rows.append((site["host"], site.get("source", name), json.dumps(spec)))
-    return spark.createDataFrame(rows, "host string, source string, spec string")
+    return dimension(spark, rows, ["host", "source", "spec"])
 
 
 def listing_cards(pages: DataFrame, specs: DataFrame, as_of: str,
