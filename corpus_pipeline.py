@@ -6,20 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listflow.llm import line_rules, mixing, packing, quality, queries, similar
+from listflow.llm.frames import packed, unpacked
 from listflow.session import scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality trees don't reject; they learn from all but the held-out fold of the labels."""
     forest = quality.fit_quality(docs, queries.table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, forest, into="_score").filter("_score >= 0.3").select(*docs.columns)
+    scored = quality.score_quality(packed(docs, text=F.col("text")), forest)
+    return unpacked(scored.filter("score >= 0.3"), docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the line rules, without their failing lines."""
-    judged = line_rules.line_first(docs).filter("kept")
-    cleaned = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
-    return judged.withColumns({c: v for c, v in cleaned.items() if c in docs.columns}).select(*docs.columns)
+    judged = line_rules.line_first(packed(docs, text=F.col("text"))).filter("kept")
+    return unpacked(judged, docs.columns, text=F.col("cleaned"), n_chars=F.length("cleaned").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

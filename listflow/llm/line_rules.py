@@ -14,6 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from listflow.llm.frames import schema_with
 from listflow.llm.textbytes import byte_slices
 
 # Signs between menu entries, signs that end a sentence, and phrases of page furniture.
@@ -121,8 +122,7 @@ def line_first(docs: DataFrame, text: str = "text") -> DataFrame:
     shuffle; an empty text fails its base.
     """
     kept = [c for c in docs.columns if c not in MADE]
-    schema = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
-    schema += [f"{c} {_SQL_TYPES[t]}" for c, t in MADE.items()]
+    made = ", ".join(f"{c} {_SQL_TYPES[t]}" for c, t in MADE.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,4 +132,4 @@ def line_first(docs: DataFrame, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     part.columns + [pa.array(c, t) for c, t in zip(columns, MADE.values())], names=kept + list(MADE))
 
-    return docs.select(*kept).mapInArrow(run, ", ".join(schema))
+    return docs.select(*kept).mapInArrow(run, schema_with(docs, kept, made))

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from listflow.llm.frames import schema_with
 from listflow.llm.textbytes import byte_slices
 
 #: Width of a stored frame. Its height is a multiple of it, so a payload is filled up to squares.
@@ -270,7 +271,6 @@ def store_texts(docs: DataFrame, text_col: str = "text", into: str = "media") ->
     Columns of those two names are replaced; repeated rows stay.
     """
     kept = [c for c in docs.columns if c not in (text_col, into, "n_bytes")]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,7 +281,7 @@ def store_texts(docs: DataFrame, text_col: str = "text", into: str = "media") ->
                     _rest(part, kept) + [pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary())],
                     names=kept + ["n_bytes", into])
 
-    return docs.select(*kept, text_col).mapInArrow(run, (schema + ", " if schema else "") + f"n_bytes long, `{into}` binary")
+    return docs.select(*kept, text_col).mapInArrow(run, schema_with(docs, kept, f"n_bytes long, `{into}` binary"))
 
 
 def media_frames(media: DataFrame, key: str, media_col: str = "media") -> DataFrame:
@@ -290,8 +290,8 @@ def media_frames(media: DataFrame, key: str, media_col: str = "media") -> DataFr
     A null or unreadable file has no frames. ``histogram`` counts the drawn canvas, ``samples``
     are the frame's own palette indexes.
     """
-    schema = (f"`{key}` {media.schema[key].dataType.simpleString()}, frame int, start_ms long, delay_ms int, "
-              "width int, height int, disposal int, samples binary, histogram array<int>")
+    schema = schema_with(media, [key], "frame int, start_ms long, delay_ms int, width int, height int, disposal int, "
+                                       "samples binary, histogram array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,7 +319,6 @@ def media_digest(media: DataFrame, media_col: str = "media") -> DataFrame:
     """
     made = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     kept = [c for c in media.columns if c != media_col and c not in made]
-    schema = ", ".join(f"`{c}` {media.schema[c].dataType.simpleString()}" for c in kept)
 
     def digest(raw: bytes) -> tuple:
         payload, counts, frames, ms, size = [], np.zeros(64, np.int64), 0, 0, "0x0"
@@ -342,6 +341,6 @@ def media_digest(media: DataFrame, media_col: str = "media") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     _rest(part, kept) + [pa.array(c, k) for c, k in zip(columns, kinds)], names=kept + made)
 
-    return media.mapInArrow(run, (schema + ", " if schema else "")
-                            + "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, "
-                              "media_sha256 string, feature string")
+    return media.select(*kept, media_col).mapInArrow(run, schema_with(
+        media, kept, "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, "
+                     "media_sha256 string, feature string"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from listflow.llm.frames import packed, unpacked
 from listflow.operators.ranking import rank_within
 from listflow.session import cut_lineage
 
@@ -142,15 +143,15 @@ def apply_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text
     place has, keeps the first words of its text, and ``count`` follows. Documents without words go.
     """
     limits = source_limits(_places(docs, key, source, text, seed))
-    own = docs.withColumns({"_words": word_total(F.col(text)), "_place": place(F.col(key), seed)})
-    own = own.join(limits, F.col(source).eqNullSafe(F.col("_source")))
-    own = own.withColumn("_taken", _taken(F.col("_words"), F.col("_place")))
-    copies = F.filter(F.array(F.least("_taken", "_words"), F.col("_taken") - F.col("_words")), lambda n: n > 0)
-    own = own.withColumn("_n", F.explode(copies))
-    pieces = F.regexp_extract_all(F.col(text), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    first = F.regexp_replace(F.array_join(F.slice(pieces, 1, F.col("_n").cast("int")), ""), r"[\x20\x09-\x0D]+$", "")
-    whole = F.col("_n") == F.col("_words")
-    changed = {text: F.when(whole, F.col(text)).otherwise(first)}
+    own = packed(docs, words=word_total(F.col(text)), at=place(F.col(key), seed), of=F.col(source), body=F.col(text))
+    own = own.join(limits, F.col("of").eqNullSafe(F.col("_source")))
+    own = own.withColumn("taken", _taken(F.col("words"), F.col("at")))
+    copies = F.filter(F.array(F.least("taken", "words"), F.col("taken") - F.col("words")), lambda n: n > 0)
+    own = own.withColumn("n", F.explode(copies))
+    pieces = F.regexp_extract_all("body", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    first = F.regexp_replace(F.array_join(F.slice(pieces, 1, F.col("n").cast("int")), ""), r"[\x20\x09-\x0D]+$", "")
+    whole = F.col("n") == F.col("words")
+    changed = {text: F.when(whole, F.col("body")).otherwise(first)}
     if count in docs.columns:
-        changed[count] = F.when(whole, F.col(count)).otherwise(F.length(first)).cast(docs.schema[count].dataType)
-    return own.withColumns(changed).select(*docs.columns)
+        changed[count] = F.when(whole, F.col("row")[count]).otherwise(F.length(first)).cast(docs.schema[count].dataType)
+    return unpacked(own, docs.columns, **changed)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listflow.llm.frames import fresh, schema_with
 from listflow.llm.textbytes import byte_slices
 from listflow.session import cut_lineage
 
@@ -57,7 +58,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: in
     A document is the ids of its whole text (null: empty) and ``end_id``, cut at every ``capacity``
     ids. ``vocabulary`` is a path that every executor can read.
     """
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, start long, length long, ids binary, doc_tokens long"
+    schema = schema_with(docs, [key], "start long, length long, ids binary, doc_tokens long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
@@ -115,12 +116,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIEC
     longer than ``capacity`` is an error. Columns of the two names are replaced.
     """
     kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    numbered = cut_lineage(pieces.select(*kept).withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    row, group = fresh(pieces, "_row"), fresh(pieces, "_group")
+    numbered = cut_lineage(pieces.select(*kept).withColumn(row, F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-numbered.count() // group_pieces))
-    schema = ", ".join(f"`{c}` {numbered.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([length, "_row"], ascending=[False, True], kind="stable")
+        rows = rows.sort_values([length, row], ascending=[False, True], kind="stable")
         sizes = rows[length].to_numpy()
         if len(sizes) and sizes[0] > capacity:
             raise ValueError(f"a piece of {sizes[0]} does not fit into {capacity}")
@@ -132,7 +133,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIEC
         base = np.maximum.accumulate(np.where(first, before, 0)) if len(order) else before
         offset = np.empty(len(order), np.int64)
         offset[order] = before - base
-        return rows.assign(sequence_id=rows["_group"].to_numpy() * 2**32 + bins, offset=offset)[kept + ["sequence_id", "offset"]]
+        return rows.assign(sequence_id=rows[group].to_numpy() * 2**32 + bins, offset=offset)[kept + ["sequence_id", "offset"]]
 
-    grouped = numbered.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
-    return grouped.groupBy("_group").applyInPandas(run, f"{schema}, sequence_id long, offset long")
+    grouped = numbered.withColumn(group, F.pmod(F.xxhash64(row), F.lit(groups)))
+    return grouped.groupBy(group).applyInPandas(run, schema_with(numbered, kept, "sequence_id long, offset long"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listflow.llm import boosting
+from listflow.llm.frames import schema_with
 from listflow.llm.textbytes import byte_slices, flat, per_text, text_of, word_hashes, words
 from listflow.session import cut_lineage
 
@@ -125,8 +126,7 @@ def training_rows(sampled: DataFrame, features: Callable) -> tuple[np.ndarray, n
                     [part["_key"], part["_label"], pa.array([row.tobytes() for row in x], pa.binary())],
                     names=["_key", "_label", "_x"])
 
-    key = sampled.schema["_key"].dataType.simpleString()
-    rows = (sampled.select("_key", "_label", "_text").mapInArrow(run, f"_key {key}, _label int, _x binary")
+    rows = (sampled.select("_key", "_label", "_text").mapInArrow(run, schema_with(sampled, ["_key", "_label"], "_x binary"))
             .toPandas().sort_values("_key"))
     x = np.frombuffer(b"".join(rows["_x"]), np.float32)
     return (rows["_key"].to_numpy(), x.reshape(len(rows), -1) if len(rows) else np.zeros((0, 1), np.float32),
@@ -139,7 +139,6 @@ def score_texts(docs: DataFrame, scorer: Callable, text: str = "text", into: str
     ``scorer`` takes (bytes, offsets) of many texts and returns one double for each.
     """
     kept = [c for c in docs.columns if c != into]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,7 +146,7 @@ def score_texts(docs: DataFrame, scorer: Callable, text: str = "text", into: str
                 score = pa.array(scorer(*flat(part[text])), pa.float64())
                 yield pa.RecordBatch.from_arrays(part.columns + [score], names=kept + [into])
 
-    return docs.select(*kept).mapInArrow(run, f"{schema}, `{into}` double")
+    return docs.select(*kept).mapInArrow(run, schema_with(docs, kept, f"`{into}` double"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", by: int = 5, held: int = 0,

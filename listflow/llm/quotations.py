@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listflow.llm.frames import packed
 from listflow.session import cut_lineage
 
 #: The marks of a quoted line.
@@ -107,8 +108,10 @@ def thread_messages(messages: DataFrame, conversation: str = "conv_id", turn: st
     roots = _roots(links.filter("reply_to is not null"))
     places = links.join(roots, ["conv", "turn"], "left").select(
         F.col("conv").alias("_conv"), F.col("turn").alias("_turn"), "n_quoted", "max_level", "n_linked", "reply_to", "root", "depth")
-    rows = messages.select(*kept).join(places, (F.col(conversation) == F.col("_conv")) & (F.col(turn) == F.col("_turn")), "left")
+    rows = packed(messages, conv=F.col(conversation), at=F.col(turn), own_text=own_text(F.col(text))).join(
+        places, (F.col("conv") == F.col("_conv")) & (F.col("at") == F.col("_turn")), "left")
     zero = F.lit(0).cast("long")
     return rows.select(
-        *kept, own_text(F.col(text)).alias("own_text"), *[F.coalesce(c, zero).alias(c) for c in ("n_quoted", "max_level", "n_linked")],
-        "reply_to", F.coalesce("root", F.col(turn)).alias("thread_turn"), F.coalesce("depth", zero).alias("depth"))
+        *[F.col("row")[c].alias(c) for c in kept], "own_text",
+        *[F.coalesce(c, zero).alias(c) for c in ("n_quoted", "max_level", "n_linked")], "reply_to",
+        F.coalesce("root", "at").alias("thread_turn"), F.coalesce("depth", zero).alias("depth"))

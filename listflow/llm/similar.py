@@ -14,9 +14,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listflow.llm.frames import packed, schema_with, unpacked
 from listflow.llm.textbytes import byte_slices, flat, mixed, word_hashes, words
 from listflow.operators.matching import connected_components
 from listflow.session import cut_lineage
@@ -80,7 +81,7 @@ def band_hashes(values: np.ndarray, offsets: np.ndarray, bands: int, rows: int)
 
 def _signatures(docs: DataFrame, bands: int, rows: int, width: int) -> DataFrame:
     """(doc_id, h, n, bands) from (doc_id, h, text): distinct shingles and band hashes."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h string, n int, bands binary"
+    schema = schema_with(docs, ["doc_id", "h"], "n int, bands binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,12 +300,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     first = joined.filter("n_shingles > 0").groupBy("class_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first"))
     keep = first.select(F.col("first.doc_id").alias("_key"), F.col("first.h").alias("_h"))
-
-    def hashed() -> Column:
-        return F.md5(F.coalesce(F.col(text), F.lit("")))
-
-    own = docs.withColumn("_own", hashed())
-    filled = F.regexp_like(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-    kept = (own.filter(filled).join(keep, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_h")))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    own = packed(docs, id=F.col(key), own=F.md5(whole), filled=F.regexp_like(whole, F.lit(r"[^\x20\x09-\x0D]")))
+    kept = (own.filter("filled").join(keep, F.col("id").eqNullSafe(F.col("_key")) & (F.col("own") == F.col("_h")))
             .dropDuplicates(["_key", "_h"]))
-    return kept.select(*docs.columns).unionByName(own.filter(~filled).select(*docs.columns))
+    return unpacked(kept, docs.columns).unionByName(unpacked(own.filter("not filled"), docs.columns))
