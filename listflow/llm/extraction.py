@@ -32,6 +32,8 @@ FURNITURE_WORDS = frozenset(
     "related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
     "tags toolbar toc widget widgets".split())
 
+CONTAINERS = frozenset("div section article main td details dd fieldset center".split())
+
 #: Opening tags whose end tag may be left out: a new one of the group closes the last.
 _SELF_CLOSING = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                  "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -45,12 +47,14 @@ _SPLIT_NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 @dataclass
 class Line:
-    """One block of text: its characters outside links, and whether it is page furniture or main content."""
+    """One block of text: its characters outside links, whether it is page furniture or main content,
+    and the number of the container it stands in (0: none but the body)."""
 
     text: str
     plain: int
     furniture: bool
     content: bool
+    parent: int
 
 
 def _is_furniture(tag: str, attributes: str) -> bool:
@@ -78,16 +82,15 @@ def page_lines(page: str) -> list[Line]:
     lines: list[Line] = []
     parts: list[str] = []
     linked = 0
-    open_tags: list[tuple[str, bool, bool]] = []  # name, furniture from here on, inside main content
-    in_link = 0
+    open_tags: list[tuple[str, bool, bool, int]] = []  # name, furniture from here on, inside main content, container
+    in_link = containers = 0
 
     def flush() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
-            furniture, content = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, False)
             if text:
-                lines.append(Line(text, max(0, len(text) - linked), furniture, content))
+                lines.append(Line(text, max(0, len(text) - linked), *(open_tags[-1][1:] if open_tags else (False, False, 0))))
         parts, linked = [], 0
 
     def close(to: int) -> None:
@@ -96,7 +99,7 @@ def page_lines(page: str) -> list[Line]:
             flush()
         if any(t[1] for t in open_tags[to:]) and not (to and open_tags[to - 1][1]):
             flush()
-            lines.append(Line("", 0, True, False))
+            lines.append(Line("", 0, True, False, 0))
         in_link = max(0, in_link - sum(t[0] == "a" for t in open_tags[to:]))
         del open_tags[to:]
 
@@ -145,15 +148,16 @@ def page_lines(page: str) -> list[Line]:
                 k -= 1
             if k and open_tags[k - 1][0] == "p":
                 close(k - 1)
-        above = open_tags[-1] if open_tags else ("", False, False)
+        above = open_tags[-1] if open_tags else ("", False, False, 0)
+        containers += tag in CONTAINERS
         content = above[2] or tag in ("article", "main")
         heading = above[1] and content and tag in ("h1", "h2", "h3") and any(t[0] == "header" for t in open_tags[-3:])
         furniture = (above[1] or _is_furniture(tag, attributes)) and not heading
         if tag in BLOCKS or furniture and not above[1]:
             flush()
             if furniture and not above[1]:
-                lines.append(Line("", 0, True, False))
-        open_tags.append((tag, furniture, content))
+                lines.append(Line("", 0, True, False, 0))
+        open_tags.append((tag, furniture, content, containers if tag in CONTAINERS else above[3]))
         in_link += tag == "a"
     if at < len(page):
         parts.append(_CUT_TAG.sub("", page[at:]))
@@ -167,7 +171,8 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     ``window`` lines are summed from each line on. Text surges at a line whose sum exceeds
     ``surge`` and dives at the next line whose sum is zero or that is furniture. In a page that
     marks its main content, lines outside count nothing and every filled line inside is a surge.
-    Where nothing surges, the run with the most text is kept. Null or no text gives ''.
+    Where nothing surges, the run with the most text is kept. Lines between other dives stay if they
+    stand in the same container as kept ones. Null or no text gives ''.
     """
     lines = page_lines(page or "")
     marked = any(x.content and not x.furniture and x.plain for x in lines)
@@ -198,7 +203,10 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
             kept.append(run)
     if not kept and runs:
         kept = [max(runs, key=lambda r: sum(lengths[k] for k in r))]
-    return "\n".join(lines[k].text for run in kept for k in run)
+    # short text that furniture cuts off from its article still stands in the article's container
+    within = {lines[k].parent for run in kept for k in run} - {0}
+    chosen = {k for run in kept for k in run} | {k for run in runs for k in run if lines[k].parent in within}
+    return "\n".join(lines[k].text for k in sorted(chosen))
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", into: str = "text") -> DataFrame:

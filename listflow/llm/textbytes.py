@@ -90,7 +90,7 @@ def prefix_ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     """Where the first ``length`` code points of each word end; the start itself in a shorter word."""
     heads = np.flatnonzero((data & 0xC0) != 0x80)
     after = np.searchsorted(heads, starts) + length
-    bounded = np.append(heads, len(data))[np.minimum(after, len(heads))]
+    bounded = np.append(heads, [len(data), len(data) + 1])[np.minimum(after, len(heads) + 1)]
     return np.where(bounded <= ends, bounded, starts)
 
 
