@@ -19,7 +19,7 @@ from listflow.session import cut_lineage
 #: A word, and the white space between words.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hexadecimal digits of a place, and digits by which one round of buckets is told apart.
-PLACE_DIGITS, ROUND_DIGITS = 12, 4
+PLACE_DIGITS, ROUND_DIGITS = 12, 3
 
 
 def word_total(text: Column) -> Column:
