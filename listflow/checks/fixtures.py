@@ -55,7 +55,7 @@ from listings where pos % 3 <> 0 and pos % 50 <> 49""",
 select source || ':' || source_id as fingerprint, cast(1 + (pos * 7) % 10 as int) as category_fit,
   cast(1 + (pos * 3) % 10 as int) as audience_fit, cast(5 + pos % 6 as int) as timeliness,
   pos % 19 <> 0 as pass_flag
-from listings where pos % 50 <> 49""",
+from listings where pos % 50 <> 49 and pos % 23 <> 7""",
     "gtfs_routes": """
 select 'metro' as feed, cast(p_partkey as string) as route_id, cast(p_partkey as string) as route_short_name,
   p_name || case when p_partkey % 5 = 0 then ' Streetcar' else '' end as route_long_name,
@@ -196,16 +196,9 @@ class Tables:
             self._made[name].createOrReplaceTempView(name)
         return self._made[name]
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """A table that came as one file would be read by one core; spread it when it is small
-        enough for that to be cheap. Tables of many files are left as they are."""
-        cores = self.spark.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return df.repartition(cores) if 1 << 20 < size < 1 << 28 and len(df.inputFiles()) < cores else df
-
     def _make(self, name: str) -> DataFrame:
         if name in BASE:
-            return self._spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name not in VIEWS:
             raise AttributeError(name)
         text = VIEWS[name] if isinstance(VIEWS[name], str) else VIEWS[name][0]

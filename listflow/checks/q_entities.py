@@ -346,8 +346,9 @@ def j12_cross_check(t):
 @register("a4_verification_verdict", f"""
 with {_CANON}, {_CHECKED}, v as (select event_id, coalesce(bool_and(date_ok), false) as date_agrees, coalesce(bool_and(venue_ok), false) as venue_agrees, coalesce(bool_and(price_ok), false) as price_agrees,
   count(*) as n_sources, count(*) filter (corroborates) as n_corroborating, count(*) filter (corroborates and n_stated = 3 and source in ('eventbrite', 'venue_site')) as au,
-  count(*) filter (status_flag is not null or (source = primary_source and not fetch_ok)) as stop from cor group by event_id)
-select event_id, date_agrees, venue_agrees, price_agrees, n_sources, n_corroborating,
-  case when date_agrees and venue_agrees and price_agrees and (n_corroborating >= 2 or (n_corroborating = 1 and au = 1)) and stop = 0 then 'VERIFIED' else 'HELD' end as verdict from v""", V)
+  count(*) filter (status_flag is not null or (source = primary_source and not fetch_ok)) as stop, count(*) filter (source = primary_source and fetch_ok) as prim from cor group by event_id)
+select event_id, coalesce(date_agrees, false) as date_agrees, coalesce(venue_agrees, false) as venue_agrees, coalesce(price_agrees, false) as price_agrees,
+  coalesce(n_sources, 0) as n_sources, coalesce(n_corroborating, 0) as n_corroborating,
+  case when date_agrees and venue_agrees and price_agrees and (n_corroborating >= 2 or (n_corroborating = 1 and au = 1)) and stop = 0 and prim > 0 then 'VERIFIED' else 'HELD' end as verdict from (select distinct event_id from canon) left join v using (event_id)""", V)
 def a4_verification_verdict(t):
-    return verification.verification_verdict(verification.cross_check(canon(t), t.observations))
+    return verification.verification_verdict(verification.cross_check(canon(t), t.observations), canon(t))

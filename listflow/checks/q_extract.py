@@ -225,7 +225,7 @@ def w7_detail_budget(t):
 
 
 @register("s7_topup_from_detail", f"""
-with {_BUDGET}, m as (select l.*, b.pos is not null and l.pos % 4 <> 0 as hit, b.pos is not null as rd from listings l left join b using (pos))
+with b as (select pos from listings where start_dt is null), m as (select l.*, b.pos is not null and l.pos % 4 <> 0 as hit, b.pos is not null as rd from listings l left join b using (pos))
 select pos, title, cast(case when hit then timestamp '2024-02-01 19:00:00' else start_dt end as varchar) as start_dt, case when hit and price is null then '$77' else price end as price,
   case when hit and coalesce(description, '') = '' then 'og ' || pos else description end as description, case when hit and pos % 4 <> 0 then 'listing,detail' else 'listing' end as raw_keys from (select m.* replace (case when trim(description) = '' then '' else description end as description) from m)""", L)
 def s7_topup_from_detail(t):

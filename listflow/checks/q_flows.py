@@ -33,8 +33,8 @@ def new_or_changed(t):
 
 
 @register("gather_new_or_changed", f"""
-with {_NORMAL}, k as (select * from nl where {_NEAR} and not {EXCLUDED} and {INCLUDED}),
-d as (select * from (select *, row_number() over (partition by source, source_id order by pos) as rn from k) where rn = 1), {_CLASS}
+with {_NORMAL}, f1 as (select * from (select *, row_number() over (partition by source, source_id order by pos) as rn from nl) where rn = 1),
+d as (select * from f1 where {_NEAR} and not {EXCLUDED} and {INCLUDED}), {_CLASS}
 select pos, source || ':' || source_id as fingerprint, change, cast({PRIORITY} as int) as priority, title, cast(start_dt as varchar) as start_dt, venue_name, price,
   case when title like '%5K%' or title like '%Cycling%' or title like '%Bootcamp%' or title like '%Ride%' then 'fitness' when title like '%Yoga%' then 'wellness' else 'lifestyle' end as keyword_groups from c where change <> 'unchanged'""", FP)
 def gather_new_or_changed(t):
@@ -48,9 +48,10 @@ q as (select c.*, {_AVG} as relevance_avg from c left join scores s on s.fingerp
 
 @register("gather_next_state", f"""
 with {_NORMAL}, d as (select * from (select *, row_number() over (partition by source, source_id order by pos) as rn from nl) where rn = 1), {_CLASS},
-s as (select source || ':' || source_id as fingerprint, new_hash, change from c where {_NEAR} and not {EXCLUDED} and {INCLUDED})
+s as (select source || ':' || source_id as fingerprint, new_hash, change from c where {_NEAR} and not {EXCLUDED} and {INCLUDED}
+  and (change = 'unchanged' or source || ':' || source_id in (select fingerprint from scores)))
 select fingerprint, case when s.change is null then f.content_hash when s.change = 'unchanged' then f.content_hash else new_hash end as content_hash,
-  cast(coalesce(first_seen, {NOW}) as varchar) as first_seen, cast(case when s.change is null then last_seen else {NOW} end as varchar) as last_seen from fingerprints f full join s using (fingerprint)""", FP)
+  cast(coalesce(first_seen, {NOW}) as varchar) as first_seen, cast(case when s.change is null then last_seen else {NOW} end as varchar) as last_seen from fingerprints f full join s using (fingerprint)""", ALL)
 def gather_next_state(t):
     return gather.gather(src.conform(t.listings), t.fingerprints, t.scores, AS_OF)[1].drop("canonical_id")
 

@@ -264,7 +264,7 @@ def m1_merge_fingerprints(t):
 _REASONS = f"""r as (select c.*, s.category_fit, s.audience_fit, s.timeliness, s.pass_flag,
   case when start_dt is null or start_dt < {NOW} or start_dt > {NOW} + interval 10 day then 'window'
     when {EXCLUDED} or not {INCLUDED} then 'keyword' when change = 'unchanged' then 'seen'
-    when not coalesce({_AVG} >= 7.0 and pass_flag, false) then 'score' end as reject_reason, {_AVG} as relevance_avg
+    when s.fingerprint is null then 'unscored' when not coalesce({_AVG} >= 7.0 and pass_flag, false) then 'score' end as reject_reason, {_AVG} as relevance_avg
   from c left join scores s on s.fingerprint = c.source || ':' || c.source_id)"""
 _ALL = ("listings", "fingerprints", "scores")
 
@@ -273,7 +273,7 @@ _ALL = ("listings", "fingerprints", "scores")
 with {_DEDUPED}, {_CLASS}, {_REASONS}
 select count(*) as raw, count(*) filter (reject_reason is null) as qualified, count(*) filter (reject_reason = 'window') as skipped_window,
   count(*) filter (reject_reason = 'keyword') as skipped_keyword, count(*) filter (reject_reason = 'seen') as skipped_seen,
-  count(*) filter (reject_reason = 'score') as skipped_score from r""", _ALL)
+  count(*) filter (reject_reason = 'unscored') as skipped_unscored, count(*) filter (reject_reason = 'score') as skipped_score from r""", _ALL)
 def a7_gather_report(t):
     fresh = filters.dedupe_same_source(t.listings)
     return changes.gather_report(changes.gather_reasons(fresh, t.fingerprints, t.scores, AS_OF))

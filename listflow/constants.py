@@ -175,10 +175,8 @@ CDN_HOST_HINTS = [
     "cdn", "static", "assets", "images", "media", "wixstatic", "squarespace", "shopify",
     "cloudfront", "imgix", "wp.com", "akamaized", "fastly",
 ]
-PHOTO_EXTENSIONS = [".jpg", ".jpeg", ".webp", ".avif"]
 NON_PHOTO_EXTENSIONS = [".png", ".bmp", ".tif", ".tiff"]
 MIN_IMAGE_SIDE = 200
-MAX_PAGE_IMAGES = 200
 
 # Feed aliases, most authoritative first (prefix:name is read as prefix_name).
 FEED_ALIASES = {
@@ -251,10 +249,6 @@ SITE_SELECTORS = {
 DETAIL_BUDGET = 12
 
 # Words a stated price may use instead of an amount.
-WORDED_PRICES = [
-    "donation", "suggested donation", "varies", "sliding scale", "pay what you can",
-    "see website", "contact us",
-]
 
 # Text rules for drafts.
 BANNED_VOCABULARY = [

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pandas as pd
+from dateutil import parser as _prose
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -12,10 +13,6 @@ from pyspark.sql.types import StringType
 from listflow import constants as K
 from listflow.functions.binding import let
 
-try:
-    from dateutil import parser as _prose
-except ImportError:  # pragma: no cover
-    _prose = None
 
 _MONTH_WORD = "(?:" + "|".join(f"{m}|{m[:3]}" for m in K.MONTHS) + "|sept)"
 _CLOCK = r"(0?[1-9]|1[0-2])(?::([0-5]\d))?\s*([ap])\.?m\.?"
@@ -148,7 +145,7 @@ def _prose_native(t: Column, anchor: Column) -> Column:
 
 def _parse_rest(text: str | None, anchor: str | None) -> str | None:
     """Free-text remainder: strict reading first, then one that skips unknown words."""
-    if not text or not anchor or _prose is None:
+    if not text or not anchor:
         return None
     default = dt.datetime.fromisoformat(anchor)
     for fuzzy in (False, True):

@@ -94,10 +94,11 @@ def gather_reasons(listings: DataFrame, fingerprints: DataFrame, scores: DataFra
         "reject_reason", F.when(~timely, "window").otherwise("keyword"))
     near = filters.lead_window(listings, as_of, min_days, max_days).filter(wanted)
     rest = classify_changes(with_keys(near), fingerprints)
-    scored = filters.relevance_columns(rest.join(scores, "fingerprint", "left"))
+    scored = filters.relevance_columns(rest.join(scores.withColumn("_scored", F.lit(True)), "fingerprint", "left"))
     judged = scored.withColumn(
         "reject_reason", F.when(F.col("change") == "unchanged", "seen")
-        .when(~F.col("qualified"), "score"))
+        .when(F.col("_scored").isNull(), "unscored")
+        .when(~F.col("qualified"), "score")).drop("_scored")
     return judged.unionByName(early, allowMissingColumns=True)
 
 
@@ -107,7 +108,7 @@ def gather_report(reasons: DataFrame) -> DataFrame:
     return reasons.agg(
         F.count("*").alias("raw"),
         F.count_if(r.isNull()).alias("qualified"),
-        *[F.count_if(r == x).alias(f"skipped_{x}") for x in ("window", "keyword", "seen", "score")],
+        *[F.count_if(r == x).alias(f"skipped_{x}") for x in ("window", "keyword", "seen", "unscored", "score")],
     )
 
 

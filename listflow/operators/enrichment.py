@@ -58,11 +58,13 @@ def geocode_key(name: Column, address: Column) -> Column:
 def geocode_lookup(venues: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Add ``found_lat`` and ``found_lon`` from a gazetteer (query, lat, lon).
 
-    A hit outside the accepted box is no hit, and nothing is guessed.
+    A hit outside the accepted box is no hit, and nothing is guessed. Of rows whose queries are
+    equal in lower case, the one with the least coordinates counts, so venues are not repeated.
     """
     known = gazetteer.filter(geo.in_bounds(F.col("lat"), F.col("lon"))).select(
         F.lower("query").alias("_q"), F.round("lat", 6).alias("found_lat"),
         F.round("lon", 6).alias("found_lon"))
+    known = known.groupBy("_q").agg(F.min(F.struct("found_lat", "found_lon")).alias("_at")).select("_q", "_at.*")
     keyed = venues.withColumn("_q", geocode_key(F.col("venue_name"), F.col("venue_address")))
     return keyed.join(known, "_q", "left").drop("_q")
 

@@ -63,8 +63,11 @@ def cross_check(events: DataFrame, observations: DataFrame) -> DataFrame:
     )
 
 
-def verification_verdict(checked: DataFrame) -> DataFrame:
-    """One verdict per event from :func:`cross_check` rows, in one aggregate."""
+def verification_verdict(checked: DataFrame, events: DataFrame) -> DataFrame:
+    """One verdict for each of ``events`` from :func:`cross_check` rows, in one aggregate.
+
+    An event that nobody observed, or whose primary source was not read, is held.
+    """
     authority = F.col("corroborates") & source_tier(F.col("source")).isin(
         *K.SINGLE_SOURCE_TIERS) & (F.col("n_stated") == 3)
     agree = lambda c: F.coalesce(F.bool_and(c), F.lit(False))
@@ -75,11 +78,14 @@ def verification_verdict(checked: DataFrame) -> DataFrame:
         F.count("*").alias("n_sources"),
         F.count_if("corroborates").alias("n_corroborating"),
         F.count_if(authority).alias("_authority"),
+        F.count_if(F.col("is_primary") & F.coalesce(F.col("fetch_ok"), F.lit(False))).alias("_primary"),
         F.count_if(F.col("status_flag").isNotNull()
                    | F.col("is_primary") & ~F.coalesce(F.col("fetch_ok"), F.lit(False))).alias("_stop"))
     enough = (F.col("n_corroborating") >= 2) | (
         (F.col("n_corroborating") == 1) & (F.col("_authority") == 1))
     good = (F.col("date_agrees") & F.col("venue_agrees") & F.col("price_agrees") & enough
-            & (F.col("_stop") == 0))
-    return per.withColumn("verdict", F.when(good, "VERIFIED").otherwise("HELD")).drop(
-        "_authority", "_stop")
+            & (F.col("_stop") == 0) & (F.col("_primary") > 0))
+    every = events.select("event_id").distinct().join(per, "event_id", "left")
+    every = every.fillna(False, ["date_agrees", "venue_agrees", "price_agrees"]).fillna(0, ["n_sources", "n_corroborating"])
+    return every.withColumn("verdict", F.when(good, "VERIFIED").otherwise("HELD")).drop(
+        "_authority", "_primary", "_stop")

@@ -37,7 +37,7 @@ def build_session(master: str = "local[8]", partitions: int = 8, **extra: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session's ``spark.checkpoint.dir`` names it.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a single-process master may fall back to a folder of this machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or None
     if configured is None:
@@ -46,7 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="listflow-")
         spark.sparkContext.setCheckpointDir(configured)

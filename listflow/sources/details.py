@@ -18,8 +18,10 @@ def detail_budget(listings: DataFrame, budget: int = K.DETAIL_BUDGET) -> DataFra
 
 
 def topup_from_detail(listings: DataFrame, details: DataFrame,
-                      budget: int = K.DETAIL_BUDGET) -> DataFrame:
-    """Fill empty fields of budgeted listings; identity and filled fields never change.
+                      budget: int | None = None) -> DataFrame:
+    """Fill empty fields of undated listings; identity and filled fields never change.
+
+    With a ``budget``, only the first so many of every source are filled.
 
     ``details`` holds one extracted row per url, with ``og_description`` as a last resort for
     the description. When both sides carry ``raw`` as a map, the listing's entries win.
@@ -30,7 +32,8 @@ def topup_from_detail(listings: DataFrame, details: DataFrame,
     found = details.select(
         F.col("url").alias("_url"), *[F.col(f).alias(f"_d_{f}") for f in fields],
         og.alias("_og"), *([F.col("raw").alias("_d_raw")] if has_raw else []))
-    chosen = detail_budget(listings, budget).select("source", "pos", F.lit(True).alias("_read"))
+    undated = listings.filter("start_dt is null and coalesce(url, '') <> ''")
+    chosen = (undated if budget is None else detail_budget(listings, budget)).select("source", "pos", F.lit(True).alias("_read"))
     j = listings.join(chosen, ["source", "pos"], "left").join(
         found, F.col("_read") & (F.col("url") == F.col("_url")), "left")
     empty = lambda c: c.isNull() | (c.cast("string") == "")

@@ -26,7 +26,7 @@ def _plausible(url: Column) -> Column:
             & ~_any(low, K.IMAGE_CHROME_WORDS))
 
 
-def photo_candidates(pages: DataFrame, max_images: int | None = K.MAX_PAGE_IMAGES) -> DataFrame:
+def photo_candidates(pages: DataFrame) -> DataFrame:
     """(page_id, tier, pos, area, photo_url): usable pictures a page declares or shows.
 
     Tier 0 are social-card images in declared order, tier 1 in-page images from the same site
@@ -44,8 +44,7 @@ def photo_candidates(pages: DataFrame, max_images: int | None = K.MAX_PAGE_IMAGE
     social = F.array(*[declared(k) for k in K.META_IMAGE_KEYS], attribute(linked, "href"))
     top = F.transform(social, lambda u, i: F.struct(
         F.lit(0).alias("tier"), i.alias("pos"), u.alias("src"), none.alias("tag")))
-    shown = tags("img") if max_images is None else F.slice(tags("img"), 1, max_images)
-    body = F.transform(shown, lambda g, i: F.struct(
+    body = F.transform(tags("img"), lambda g, i: F.struct(
         F.lit(1).alias("tier"), i.alias("pos"),
         F.coalesce(attribute(g, "src"), attribute(g, "data-src")).alias("src"), g.alias("tag")))
     rows = pages.select("page_id", "url", F.explode(F.filter(

@@ -75,7 +75,7 @@ def test_held_verdict(spark):
         df = spark.createDataFrame(list(obs), "event_id long, source string, fetch_ok boolean, s string, "
                                    "stated_venue string, stated_price string, status_flag string")
         df = df.withColumn("stated_start", F.col("s").cast("timestamp_ntz")).drop("s")
-        return verification.verification_verdict(verification.cross_check(events, df)).first()
+        return verification.verification_verdict(verification.cross_check(events, df), events).first()
 
     at, venue = "2026-08-22 09:00:00", "The Green Lake Park (north lot)"
     held = verdict((1, "eventbrite", True, at, venue, "$35", None), (1, "venue_site", True, at, venue, "$40 day of", None),

@@ -55,6 +55,26 @@ def test_whole_run_twice_creates_the_same_ids(t):
     assert same(articles, clean.clean(candidates)[1])
 
 
+def test_unscored_listings_come_back_in_the_next_run(t):
+    landed = src.conform(t.listings)
+    _, state, first = gather.gather(landed, t.fingerprints, t.scores, AS_OF)
+    waiting = first.first()["skipped_unscored"]
+    assert waiting > 0
+    later = gather.gather(landed, state, t.scores, AS_OF)[2].first()
+    assert later["skipped_unscored"] == waiting and later["skipped_score"] == 0
+    every = t.listings.selectExpr("source || ':' || source_id as fingerprint", "10 as category_fit", "10 as audience_fit",
+                                  "10 as timeliness", "true as pass_flag").distinct()
+    scored = gather.gather(landed, state, every, AS_OF)[2].first()
+    assert scored["qualified"] == waiting and scored["skipped_unscored"] == 0
+
+
+def test_first_look_is_a_part_of_the_whole_run(t):
+    landed = src.conform(t.listings)
+    looked = {r.pos for r in gather.new_or_changed(landed, t.fingerprints, AS_OF).select("pos").collect()}
+    kept = {r.pos for r in gather.gather(landed, t.fingerprints, t.scores, AS_OF)[0].select("pos").collect()}
+    assert kept <= looked
+
+
 def test_rank_of_a_group_larger_than_a_task(spark):
     df = spark.range(20000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("g"),
                                    F.expr("(id * 7919) % 20011").alias("k"))
