@@ -83,6 +83,10 @@ def test_held_verdict(spark):
     assert (held["verdict"], held["date_agrees"], held["venue_agrees"], held["price_agrees"]) == ("HELD", True, True, False)
     assert verdict((1, "eventbrite", True, at, venue, "from $35", None))["verdict"] == "VERIFIED"
     assert verdict((1, "do206", True, at, venue, "$35", None))["verdict"] == "HELD"
-    assert verdict((1, "do206", True, at, venue, "$35", None), (1, "reddit", True, "2026-08-22 09:10:00", venue, None, None))["verdict"] == "VERIFIED"
+    two = ((1, "do206", True, at, venue, "$35", None), (1, "reddit", True, "2026-08-22 09:10:00", venue, None, None))
+    assert verdict(*two, (1, "eventbrite", True, None, None, None, None))["verdict"] == "VERIFIED"
+    assert verdict(*two)["verdict"] == "HELD"  # nobody read the primary source
+    unseen = verdict((2, "do206", True, at, venue, "$35", None))
+    assert (unseen["event_id"], unseen["n_sources"], unseen["verdict"]) == (1, 0, "HELD")
     assert verdict((1, "eventbrite", True, at, venue, "$35", "sold_out"))["verdict"] == "HELD"
     assert verdict((1, "eventbrite", True, "2026-08-22 00:00:00", venue, "donation", None))["verdict"] == "HELD"

@@ -93,4 +93,6 @@ def test_photo_limits(spark):
     html = '<img src="/a.jpg" width="100">' + '<img src="/b.jpg" width="300" height="200">' + '<img src="/c.jpg">' * 3
     df = spark.createDataFrame([(1, "https://x.example/", html)], "page_id long, url string, html string")
     assert images.best_image_per_venue(images.photo_candidates(df)).first()["photo_url"] == "https://x.example/b.jpg"
-    assert images.photo_candidates(df, max_images=1).count() == 0
+    many = spark.createDataFrame([(1, "https://x.example/", "".join(f'<img src="/{i}.jpg">' for i in range(250)))],
+                                 "page_id long, url string, html string")
+    assert images.photo_candidates(many).count() == 250
