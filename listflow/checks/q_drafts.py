@@ -77,7 +77,7 @@ _META = {
     "title_length": "length(meta_title) > 60",
     "title_pipe": "contains(meta_title, '|')",
     "description_length": "length(meta_description) > 155",
-    "description_date": "not (contains(meta_description, 'August 22') or contains(meta_description, 'Aug 22'))",
+    "description_date": "not regexp_matches(meta_description, '(August|Aug) 22([^0-9]|$)')",
     "description_area": "not contains(meta_description, neighborhood)",
     "slug_characters": "not regexp_matches(slug_stem, '^[a-z0-9-]+$')",
     "slug_date": rf"list_has_any({_SLUG}, {_MONTHS}) or len(list_filter({_SLUG}, lambda x: regexp_matches(x, '^(19|20)\d\d$'))) > 0",

@@ -94,7 +94,9 @@ def _misses(rules: list[tuple[str, Column]]) -> Column:
 
 
 def _states_date(c: Column, start: Column) -> Column:
-    return F.contains(c, F.date_format(start, "MMMM d")) | F.contains(c, F.date_format(start, "MMM d"))
+    # a day number ends before another digit: August 22 does not state August 2
+    days = F.concat(F.lit("(?:"), F.date_format(start, "MMMM d"), F.lit("|"), F.date_format(start, "MMM d"), F.lit(")(?:[^0-9]|$)"))
+    return F.rlike(c, days)
 
 
 def _metadata_rules(site_suffix: str | None) -> dict[str, Column]:

@@ -95,3 +95,10 @@ def test_editor_and_history(spark):
     assert (got[1]["hook_line"], got[1]["meta_title"], got[1]["route"]) == ("New hook", "Rowing Regatta on the Cut", "next")
     assert (got[2]["hook_line"], got[2]["hold_reason"]) == ("Rowing Regatta returns.", "held by editor: thin")
     assert got[3]["route"] == "waiting"
+
+
+def test_a_longer_day_number_is_another_date(spark):
+    df = spark.createDataFrame([("On August 22 at noon", "2026-08-02"), ("On August 2, noon", "2026-08-02"),
+                                ("Aug 2", "2026-08-02"), ("Sept 2", "2026-08-02"), ("see Aug 22.", "2026-08-22")], "c string, d string")
+    got = df.select(gates._states_date(F.col("c"), F.col("d").cast("timestamp_ntz")).alias("ok")).collect()
+    assert [r.ok for r in got] == [False, True, True, False, True]
