@@ -45,6 +45,17 @@ select event_id as pos, cast(floor(event_id / 4) as bigint) as real_id,
     || cast(cast(floor(event_id / 4) as bigint) as string) else null end as register_url,
   cast(null as string) as image_url
 from events""",
+    "sessions": """
+select pos, source, source_id, url, title, description, end_dt, price, image_url,
+  case when start_dt is null then null when pos % 10 = 3 then cast('2024-01-01 00:00:00' as {TS})
+      + interval '1' day * cast(cast(floor(real_id / 6) as bigint) % 30 as int)
+    else cast('2024-01-01 09:00:00' as {TS}) + interval '1' day * cast(cast(floor(real_id / 6) as bigint) % 30 as int)
+      + interval '1' minute * cast(110 * (real_id % 6) + (pos % 4) * 5 as int) end as start_dt,
+  'Hall ' || cast(cast(floor(real_id / 6) as bigint) % 40 as string) as venue_name,
+  case when pos % 5 = 0 then null else cast(100 + cast(floor(real_id / 12) as bigint) % 40 as string) || ' Pine St, Seattle' end as venue_address,
+  case when pos % 4 = 1 then 'https://reg.example/f/' || cast(cast(floor(real_id / 6) as bigint) as string)
+    when pos % 4 = 2 then register_url else null end as register_url
+from listings""",
     "fingerprints": """
 select source || ':' || source_id as fingerprint, cast(null as string) as canonical_id,
   case when pos % 5 = 0 then '0000000000000000' else substr({SHA}(coalesce(cast(start_dt as string), '')

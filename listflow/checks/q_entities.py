@@ -127,14 +127,24 @@ def j4_never_merge(t):
     return matching.never_merge(edges, nodes)
 
 
-_RESOLVED = f"""{_NODES}, {_AUTO}, {_STD}, edges as (select * from auto union select * from std), {_comp('edges', 'cc')},
-dated as (select n.id, coalesce(component, n.id) as component, url_key, reg_key from n left join cc on cc.id = n.id where day is not null),
+_RESOLVED = f"""{_NODES}, {_AUTO}, {_STD}, pairs as (select * from auto union select * from std), tm as (select * from n where day is not null and not untimed),
+edges as (select * from pairs where src in (select id from tm) and dst in (select id from tm)), {_comp('edges', 'cc')},
+tc as (select tm.*, coalesce(cc.component, tm.id) as component from tm left join cc on cc.id = tm.id),
+bad as (select distinct a.component, a.venue from tc a join tc b on a.component = b.component and {_APART}),
+tg as (select tc.id, min(tc.id) over (partition by tc.component, case when bad.venue is not null then tc.venue end, case when bad.venue is not null then coalesce(tc.title, '') end) as component
+  from tc left join bad on bad.component = tc.component and bad.venue = tc.venue),
+du as (select * from n where day is not null and untimed),
+dn as (select src as id, dst as o from pairs union select dst, src from pairs), dm as (select dn.id, min(component) as lo, max(component) as hi from dn join tg on tg.id = dn.o where dn.id in (select id from du) group by dn.id),
+df as (select * from du where id not in (select id from dm)), de as (select * from pairs where src in (select id from df) and dst in (select id from df)), {_comp('de', 'dc')},
+dated as (select n.id, x.component, url_key, reg_key from n join (select id, component from tg union all select id, case when lo = hi then lo else id end from dm
+  union all select df.id, coalesce(component, df.id) from df left join dc on dc.id = df.id) x on x.id = n.id),
 nb as (select u.id, d.component from n u join dated d on u.url_key = d.url_key where u.day is null union select u.id, d.component from n u join dated d on u.reg_key = d.reg_key where u.day is null),
 un as (select id, min(component) as lo, max(component) as hi from nb group by id),
 fr as (select * from n where day is null and id not in (select id from un)),
 fe as (select a.id as src, b.id as dst from fr a join fr b on a.id < b.id and (a.url_key = b.url_key or a.reg_key = b.reg_key)), {_comp('fe', 'fc')},
 groups as (select id, component as group_id from dated union all select id, case when lo = hi then lo else id end from un
   union all select fr.id, coalesce(component, fr.id) from fr left join fc on fc.id = fr.id)"""
+_SESSIONS = _RESOLVED.replace("as untimed from listings)", "as untimed from sessions)")
 
 
 @register("j5_resolve_entities", f"with recursive {_RESOLVED} select id, group_id from groups", L)
@@ -142,6 +152,22 @@ def j5_resolve_entities(t):
     return matching.resolve_entities(t.listings)
 
 
+@register("j5_resolve_sessions", f"with recursive {_SESSIONS} select id, group_id from groups", ("sessions",))
+def j5_resolve_sessions(t):
+    return matching.resolve_entities(t.sessions)
+
+
+@register("j5_sessions_apart", f"""
+with recursive {_SESSIONS}, g as (select n.*, group_id from n join groups using (id))
+select (select count(distinct group_id) from g) as n_groups, (select count(*) from g a join g b on a.group_id = b.group_id and {_APART}) as n_apart""", ("sessions",))
+def j5_sessions_apart(t):
+    """Groups, and venues in them that hold sessions which must stay apart (none)."""
+    groups = matching.resolve_entities(t.sessions).withColumnRenamed("group_id", "component")
+    timed = matching.match_keys(t.sessions).filter("not untimed").join(groups, "id")
+    return groups.agg(F.count_distinct("component").alias("n_groups")).join(
+        matching.sessions_apart(timed).agg(F.count("*").alias("n_apart")), F.lit(True))
+
+
 def members_by_real_event(t):
     """Members of known groups, for the merge operators."""
     return t.listings.withColumns({

@@ -93,6 +93,17 @@ def _key_members(nodes: DataFrame) -> DataFrame:
     )
 
 
+def _place_members(nodes: DataFrame) -> DataFrame:
+    """One row per record, venue or street it has, and distinctive title word."""
+    places = F.array(F.struct(F.lit("venue").alias("kind"), F.col("venue").alias("place")),
+                     F.struct(F.lit("street").alias("kind"), F.col("street").alias("place")))
+    return (
+        nodes.withColumn("at", F.explode(F.filter(places, lambda p: p["place"].isNotNull())))
+        .select("id", "day", "start", "role", "untimed", "at.kind", "at.place",
+                F.explode("tokens").alias("token"))
+    )
+
+
 def match_auto(nodes: DataFrame) -> DataFrame:
     """Edges between dated records of one day with an equal url or registration url.
 
@@ -126,14 +137,7 @@ def match_auto(nodes: DataFrame) -> DataFrame:
 def match_standard(nodes: DataFrame) -> DataFrame:
     """Edges between records of one day and venue (or street) that share a distinctive title
     word and start within two hours of each other."""
-    places = F.array(F.struct(F.lit("venue").alias("kind"), F.col("venue").alias("place")),
-                     F.struct(F.lit("street").alias("kind"), F.col("street").alias("place")))
-    members = (
-        nodes.filter("day is not null")
-        .withColumn("at", F.explode(F.filter(places, lambda p: p["place"].isNotNull())))
-        .select("id", "day", "start", "role", "untimed", "at.kind", "at.place",
-                F.explode("tokens").alias("token"))
-    )
+    members = _place_members(nodes.filter("day is not null"))
     keys = ["kind", "place", "token", "day", "role"]
     return _hub_edges(members, keys, K.MATCH_MINUTES)
 
@@ -190,38 +194,85 @@ def connected_components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def _attach_undated(nodes: DataFrame, dated: DataFrame) -> DataFrame:
-    """Component of each undated record.
+def sessions_apart(placed: DataFrame) -> DataFrame:
+    """(component, venue) that hold two different titles more than three hours apart.
 
-    It joins the dated records it shares a link with when they are all in one component, stays
-    alone when they are in several, and otherwise groups with undated records it shares one with.
+    ``placed`` (component, venue, title, start) has timed records only. Each title is reduced to
+    its earliest and latest start; the widest gap between two titles then involves either the
+    title that starts first, or its latest start and the first start of the others.
     """
-    links = _key_members(nodes).select("id", "kind", "key", "role", "day")
-    reach = (
-        links.filter("day is not null").join(dated, "id")
-        .groupBy("kind", "key", "role").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    )
-    loose = links.filter("day is null").join(reach, ["kind", "key", "role"], "left")
-    verdict = loose.groupBy("id").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"))
-    settled = verdict.filter("c0 is not null").select(
+    at = ["component", "venue"]
+    spans = placed.filter("venue is not null").groupBy(*at, "title").agg(
+        F.min("start").alias("lo"), F.max("start").alias("hi"))
+    opening = spans.groupBy(*at).agg(
+        F.min(F.struct("lo", "title")).alias("_first"), F.count("*").alias("n")).filter("n > 1")
+    own = F.col("title").eqNullSafe(F.col("_first.title"))
+    ends = spans.join(opening, at).groupBy(*at).agg(
+        F.min("_first.lo").alias("lo0"), F.max(F.when(own, F.col("hi"))).alias("hi0"),
+        F.min(F.when(~own, F.col("lo"))).alias("lo1"), F.max(F.when(~own, F.col("hi"))).alias("hi1"))
+    limit = _minutes(K.NEVER_MERGE_MINUTES)
+    return ends.filter((F.col("hi1") - F.col("lo0") > limit) | (F.col("hi0") - F.col("lo1") > limit)).select(*at)
+
+
+def _split_sessions(placed: DataFrame) -> DataFrame:
+    """(id, component) in which no venue holds sessions that must stay apart.
+
+    Where a chain of links has joined such sessions, the component's records at that venue are
+    parted by title; the rest of the component stays together.
+    """
+    apart = sessions_apart(placed).withColumn("_apart", F.lit(True))
+    parted = placed.join(apart, ["component", "venue"], "left").withColumn("part", F.coalesce(
+        F.when(F.col("_apart"), F.to_json(F.struct("venue", "title"))), F.lit("")))
+    names = parted.groupBy("component", "part").agg(F.min("id").alias("name"))
+    return parted.join(names, ["component", "part"]).select("id", F.col("name").alias("component"))
+
+
+def _attach(loose: DataFrame, settled: DataFrame, keys: list[str]) -> DataFrame:
+    """Component of each loose record (id, keys) by the keys it shares with settled ones
+    (component, keys).
+
+    It joins them when they are all in one component, stays alone when they are in several, and
+    otherwise groups with the loose records it shares a key with.
+    """
+    reach = settled.groupBy(*keys).agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    met = cut_lineage(loose.join(reach, keys, "left"), "loose")
+    verdict = met.groupBy("id").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"))
+    joined = verdict.filter("c0 is not null").select(
         "id", F.when(F.col("c0") == F.col("c1"), F.col("c0")).otherwise(F.col("id")).alias("component"))
-    free = loose.join(verdict.filter("c0 is null").select("id"), "id", "left_semi")
-    hubs = free.groupBy("kind", "key", "role").agg(F.min("id").alias("hub"))
-    edges = free.join(hubs, ["kind", "key", "role"]).filter("id <> hub").select(
+    free = met.join(verdict.filter("c0 is null").select("id"), "id", "left_semi")
+    hubs = free.groupBy(*keys).agg(F.min("id").alias("hub"))
+    edges = free.join(hubs, keys).filter("id <> hub").select(
         F.col("hub").alias("src"), F.col("id").alias("dst"))
-    return settled.unionByName(connected_components(edges))
+    return joined.unionByName(connected_components(edges))
 
 
 def resolve_entities(listings: DataFrame, id_col: str = "pos") -> DataFrame:
-    """(id, group_id) for every record; records that match nothing form their own group."""
+    """(id, group_id) for every record; records that match nothing form their own group.
+
+    Groups are made of records with a time of day first, so that a record without one never
+    joins two of them: first the date-only records and then the undated ones are attached to
+    the one group that they match. No group holds two sessions that :func:`never_merge` forbids.
+    """
     nodes, copies = collapse_copies(match_keys(listings, id_col))
-    edges = match_auto(nodes).unionByName(match_standard(nodes))
-    linked = connected_components(edges)
-    dated = (
-        nodes.filter("day is not null").select("id").join(linked, "id", "left")
-        .select("id", F.coalesce("component", "id").alias("component"))
-    )
-    undated = _attach_undated(nodes, dated)
-    known = dated.unionByName(undated)
-    return copies.join(known.withColumnRenamed("id", "rep"), "rep", "left").select(
+    timed = nodes.filter("day is not null and not untimed")
+    linked = connected_components(match_auto(timed).unionByName(match_standard(timed)))
+    placed = timed.select("id", "venue", "title", "start").join(linked, "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
+    grouped = cut_lineage(_split_sessions(cut_lineage(placed, "placed")), "grouped")
+
+    day_keys = ["kind", "key", "role", "day"]
+    dated = nodes.filter("day is not null")
+    at_place = F.concat_ws("|", "place", "token")
+    hooks = _key_members(dated).select("id", "untimed", *day_keys).unionByName(
+        _place_members(dated).withColumn("key", at_place).select("id", "untimed", *day_keys))
+    date_only = _attach(hooks.filter("untimed").drop("untimed"),
+                        hooks.filter("not untimed").drop("untimed").join(grouped, "id"), day_keys)
+    alone = dated.filter("untimed").select("id").join(date_only, "id", "left").select(
+        "id", F.coalesce("component", "id").alias("component"))
+    known = cut_lineage(grouped.unionByName(alone), "dated")
+
+    links = _key_members(nodes).select("id", "kind", "key", "role", "day")
+    undated = _attach(links.filter("day is null").drop("day"),
+                      links.filter("day is not null").join(known, "id"), ["kind", "key", "role"])
+    return copies.join(known.unionByName(undated).withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("group_id"))

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from listflow.operators import matching
@@ -42,36 +43,51 @@ def components(ids, pairs):
     return {i: find(parent, i) for i in ids}
 
 
-def expected(nodes):
-    by = {n["id"]: n for n in nodes}
-    dated = [n for n in nodes if n["day"]]
-    pairs = []
-    for a, b in combinations(dated, 2):
-        if a["day"] != b["day"] or a["role"] != b["role"]:
-            continue
-        gap = abs((a["start"] - b["start"]).total_seconds()) / 60
-        timed = not a["untimed"] and not b["untimed"]
-        linked = any(a[k] and a[k] == b[k] for k in ("url_key", "reg_key"))
-        apart = a["venue"] and a["venue"] == b["venue"] and a["title"] != b["title"] and gap > 180 and timed
-        place = any(a[k] and a[k] == b[k] for k in ("venue", "street"))
-        alike = set(a["tokens"]) & set(b["tokens"])
-        if (linked and not apart) or (place and alike and (gap <= 120 or not timed)):
-            pairs.append((a["id"], b["id"]))
-    comp = components([n["id"] for n in dated], pairs)
-    loose, free = {}, []
-    for u in nodes:
-        if u["day"]:
-            continue
-        near = {comp[d["id"]] for d in dated if d["role"] == u["role"]
-                and any(u[k] and u[k] == d[k] for k in ("url_key", "reg_key"))}
+def must_stay_apart(a, b):
+    gap = abs((a["start"] - b["start"]).total_seconds()) / 60
+    return bool(a["venue"] and a["venue"] == b["venue"] and a["title"] != b["title"] and gap > 180
+                and not a["untimed"] and not b["untimed"])
+
+
+def alike(a, b):
+    """Whether two dated records are linked directly."""
+    if a["day"] != b["day"] or a["role"] != b["role"]:
+        return False
+    gap = abs((a["start"] - b["start"]).total_seconds()) / 60
+    timed = not a["untimed"] and not b["untimed"]
+    place = any(a[k] and a[k] == b[k] for k in ("venue", "street"))
+    words = set(a["tokens"]) & set(b["tokens"])
+    return (share_link(a, b) and not must_stay_apart(a, b)) or bool(place and words and (gap <= 120 or not timed))
+
+
+def share_link(a, b):
+    return a["role"] == b["role"] and any(a[k] and a[k] == b[k] for k in ("url_key", "reg_key"))
+
+
+def attach(loose, settled, comp, linked):
+    """The one component whose records a loose record is linked to, alone if several, else among the loose."""
+    out, free = {}, []
+    for u in loose:
+        near = {comp[d["id"]] for d in settled if linked(u, d)}
         if near:
-            loose[u["id"]] = near.pop() if len(near) == 1 else u["id"]
+            out[u["id"]] = near.pop() if len(near) == 1 else u["id"]
         else:
             free.append(u)
-    pairs = [(a["id"], b["id"]) for a, b in combinations(free, 2) if a["role"] == b["role"]
-             and any(a[k] and a[k] == b[k] for k in ("url_key", "reg_key"))]
-    assert set(by) >= set(loose)
-    return {**comp, **loose, **components([u["id"] for u in free], pairs)}
+    pairs = [(a["id"], b["id"]) for a, b in combinations(free, 2) if linked(a, b)]
+    return {**out, **components([u["id"] for u in free], pairs)}
+
+
+def expected(nodes):
+    timed = [n for n in nodes if n["day"] and not n["untimed"]]
+    comp = components([n["id"] for n in timed],
+                      [(a["id"], b["id"]) for a, b in combinations(timed, 2) if alike(a, b)])
+    broken = {(comp[a["id"]], a["venue"]) for a, b in combinations(timed, 2)
+              if comp[a["id"]] == comp[b["id"]] and must_stay_apart(a, b)}
+    comp = {n["id"]: (comp[n["id"]], *((n["venue"], n["title"]) if (comp[n["id"]], n["venue"]) in broken else ()))
+            for n in timed}
+    date_only = [n for n in nodes if n["day"] and n["untimed"]]
+    comp = {**comp, **attach(date_only, timed, comp, alike)}
+    return {**comp, **attach([n for n in nodes if not n["day"]], timed + date_only, comp, share_link)}
 
 
 def partition(groups):
@@ -87,20 +103,47 @@ def test_resolution_equals_pairwise_rules(spark):
         nodes = [r.asDict() for r in matching.match_keys(df).collect()]
         got = {r["id"]: r["group_id"] for r in matching.resolve_entities(df).collect()}
         assert partition(got) == partition(expected(nodes)), seed
-
-
-def test_edges_stay_linear_in_a_hot_group(spark):
+        by = {n["id"]: n for n in nodes}
+        assert not any(must_stay_apart(by[a], by[b]) for a, b in combinations(by, 2)
+                       if got[a] == got[b] and by[a]["day"] and by[b]["day"])
+
+
+def test_a_date_only_listing_does_not_join_sessions(spark):
+    at = lambda h, m=0: dt.datetime(2026, 5, 1, h, m)
+    sessions = [(1, "https://h.example/1", "https://r.example/fest", "Morning Paddle", "Pier", None, at(9), None),
+                (2, "https://h.example/2", "https://r.example/fest", "Lantern Parade", "Pier", None, at(14), None)]
+    festival = [(3, "https://h.example/3", "https://r.example/fest", "Harbor Fest", None, None, at(0), None)]
+    got = {r["id"]: r["group_id"] for r in matching.resolve_entities(
+        spark.createDataFrame(sessions + festival, SCHEMA)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3}
+    one = {r["id"]: r["group_id"] for r in matching.resolve_entities(
+        spark.createDataFrame(sessions[:1] + festival, SCHEMA)).collect()}
+    assert one == {1: 1, 3: 1}
+
+
+def test_a_chain_over_three_hours_is_parted_by_title(spark):
+    at = lambda h, m=0: dt.datetime(2026, 5, 1, h, m)
+    chain = [(1, "https://h.example/1", None, "Rowing Sprint", "Pier", None, at(9), None),
+             (2, "https://h.example/2", None, "Rowing Regatta", "Pier", None, at(10, 45), None),
+             (3, "https://h.example/3", None, "Rowing Finals", "Pier", None, at(12, 40), None)]
+    got = {r["id"]: r["group_id"] for r in matching.resolve_entities(spark.createDataFrame(chain, SCHEMA)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3}
+
+
+@pytest.mark.parametrize("minutes, one_title, n_groups", [(600, False, 3000), (150, False, 1), (600, True, 1)])
+def test_edges_stay_linear_in_a_hot_group(spark, minutes, one_title, n_groups):
     n = 3000
+    title = F.lit("Rowing Regatta") if one_title else F.concat(F.lit("Rowing Regatta "), F.col("id"))
     df = spark.range(n).select(
         F.col("id").alias("pos"), F.lit("https://h.example/hot").alias("url"), F.lit(None).cast("string").alias("register_url"),
-        F.concat(F.lit("Rowing Regatta "), F.col("id")).alias("title"), F.lit("Pier").alias("venue_name"),
+        title.alias("title"), F.lit("Pier").alias("venue_name"),
         F.lit("9 Pier Rd").alias("venue_address"),
-        F.expr("timestamp_ntz'2026-05-01 08:00:00' + make_dt_interval(0, 0, cast(id % 600 as int))").alias("start_dt"))
+        F.expr("timestamp_ntz'2026-05-01 08:00:00' + make_dt_interval(0, 0, cast(id % " + str(minutes) + " as int))").alias("start_dt"))
     nodes = matching.match_keys(df)
     # two words shared by all (plus one of its own) at two kinds of place
     assert matching.match_standard(nodes).count() <= 4 * n
     assert matching.match_auto(nodes).count() <= 2 * n
-    assert matching.resolve_entities(df).select("group_id").distinct().count() == 1
+    assert matching.resolve_entities(df).select("group_id").distinct().count() == n_groups
 
 
 def test_identical_copies_are_one_node(spark):
