@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 import pandas as pd
@@ -34,6 +35,10 @@ FURNITURE_WORDS = frozenset(
 
 CONTAINERS = frozenset("div section article main td details dd fieldset center".split())
 
+#: Elements whose content a stray end tag does not end, and the end tags that may.
+_CONTENT = ("article", "main", "body")
+_ENDS_CONTENT = frozenset((*_CONTENT, "html"))
+
 #: Opening tags whose end tag may be left out: a new one of the group closes the last.
 _SELF_CLOSING = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                  "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -83,6 +88,7 @@ def page_lines(page: str) -> list[Line]:
     parts: list[str] = []
     linked = 0
     open_tags: list[tuple[str, bool, bool, int]] = []  # name, furniture from here on, inside main content, container
+    standing: defaultdict[str, list[int]] = defaultdict(list)  # places of a name's open tags
     in_link = containers = 0
 
     def flush() -> None:
@@ -101,6 +107,8 @@ def page_lines(page: str) -> list[Line]:
             flush()
             lines.append(Line("", 0, True, False, 0))
         in_link = max(0, in_link - sum(t[0] == "a" for t in open_tags[to:]))
+        for t in open_tags[to:]:
+            standing[t[0]].pop()
         del open_tags[to:]
 
     at, end = 0, page.rfind(">") + 1
@@ -117,15 +125,14 @@ def page_lines(page: str) -> list[Line]:
             continue
         closing, tag, attributes = token[1], token[2].lower(), token[3]
         if closing:
-            for k in range(len(open_tags) - 1, max(-1, len(open_tags) - 200), -1):
-                if open_tags[k][0] == tag:
-                    close(k)
-                    break
-                if open_tags[k][0] in ("article", "main", "body") and tag not in ("html", "body", "main", "article"):
-                    break  # a stray end tag does not end the content
-            else:
-                if tag in BLOCKS:
-                    flush()
+            k = standing[tag][-1] if standing[tag] else -1
+            # a stray end tag does not end the content
+            content = -1 if tag in _ENDS_CONTENT else max(
+                (standing[t][-1] for t in _CONTENT if standing[t]), default=-1)
+            if k >= 0 and k > content:
+                close(k)
+            elif content < 0 and tag in BLOCKS:
+                flush()
             continue
         if tag in RAW and not attributes.endswith("/"):
             stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
@@ -157,6 +164,7 @@ def page_lines(page: str) -> list[Line]:
             flush()
             if furniture and not above[1]:
                 lines.append(Line("", 0, True, False, 0))
+        standing[tag].append(len(open_tags))
         open_tags.append((tag, furniture, content, containers if tag in CONTAINERS else above[3]))
         in_link += tag == "a"
     if at < len(page):
