@@ -163,11 +163,11 @@ _DIMS = "[" + ", ".join(q(d) for d in K.JUDGE_DIMENSIONS) + "]"
 
 
 @register("a6_judge_panel", f"""
-with p as (select draft_id, list(distinct dimension) as have, coalesce(array_to_string(list_sort(list(distinct dimension) filter (score < 8)), ','), '') as failed, min(score) as lowest from verdicts group by draft_id)
-select draft_id, failed, lowest, array_to_string(list_filter({_DIMS}, lambda d: not list_contains(have, d)), ',') as missing,
-  case when len(list_filter({_DIMS}, lambda d: not list_contains(have, d))) > 0 then 'incomplete' when failed <> '' then 'fail' else 'pass' end as outcome from p""", ("verdicts",))
+with p as (select draft_id, list(distinct dimension) as have, coalesce(array_to_string(list_sort(list(distinct dimension) filter (score < 8)), ','), '') as failed, min(score) as lowest from verdicts where draft_id % 17 <> 4 group by draft_id)
+select draft_id, coalesce(failed, '') as failed, lowest, array_to_string(list_filter({_DIMS}, lambda d: not list_contains(coalesce(have, []), d)), ',') as missing,
+  case when len(list_filter({_DIMS}, lambda d: not list_contains(coalesce(have, []), d))) > 0 then 'incomplete' when failed <> '' then 'fail' else 'pass' end as outcome from (select distinct draft_id from drafts) left join p using (draft_id)""", ("verdicts", "drafts"))
 def a6_judge_panel(t):
-    return gates.judge_panel(t.verdicts).select(
+    return gates.judge_panel(t.verdicts.filter("draft_id % 17 <> 4"), t.drafts).select(
         "draft_id", F.array_join("failed", ",").alias("failed"), "lowest",
         F.array_join("missing", ",").alias("missing"), "outcome")
 
@@ -252,7 +252,7 @@ def g8_review_history(t):
     loops, log = loops_and_log(t)
     audit = gates.factcheck_audit(loops, log, full_drafts(t))
     articles = t.drafts.selectExpr("draft_id", "cast(draft_id % 4 as int) as reholds")
-    return gates.review_history(articles, gates.judge_panel(t.verdicts), audit).select(
+    return gates.review_history(articles, gates.judge_panel(t.verdicts, t.drafts), audit).select(
         "draft_id", "reholds", "outcome", "lowest", "n_changes")
 
 
@@ -331,14 +331,14 @@ def r2_extract_text(t):
 
 
 @register("r3_prepend_banner", f"""
-with {FD}, {_DOC} select draft_id, {_NL} || 'This event has ended.' || {_NL} || substr(plain, 1, 30) as opening, 1::bigint as n_banners from dt""", DE)
+with {FD}, {_DOC} select draft_id, {_NL} || 'This event has ended.' || {_NL} || plain as opening, 1::bigint as n_banners from dt""", DE)
 def r3_prepend_banner(t):
     doc = documents.build_document(articles(t))
     once = documents.prepend_banner(F.col("nodes"), F.lit(K.BANNERS["ended"]))
     twice = documents.prepend_banner(F.col("once"), F.lit(K.BANNERS["ended"]))
     plain = documents.extract_text(F.col("twice"))
     return doc.withColumn("once", once).withColumn("twice", twice).select(
-        "draft_id", F.substring(plain, 1, 30 + len(K.BANNERS["ended"]) + 2).alias("opening"),
+        "draft_id", plain.alias("opening"),
         F.regexp_count(plain, F.lit(K.BANNERS["ended"])).cast("bigint").alias("n_banners"))
 
 

@@ -57,14 +57,14 @@ def f5_registrable_domain(t):
 
 
 @register("f3_absolute_url", r"""
-with a as (select page_id, url, unnest(list_distinct(regexp_extract_all(html, '<a href="([^"]*)"', 1))) as href from pages)
+with a as (select page_id, url, unnest(list_distinct(list_append(regexp_extract_all(html, '<a href="([^"]*)"', 1), 'more/p' || page_id || '.html'))) as href from pages)
 select page_id, href, case when href = '' or regexp_matches(href, '^(#|javascript:|mailto:|tel:)') then null
-  when regexp_matches(href, '^https?://') then href when href like '/%' then regexp_extract(url, '^[a-z]+://[^/?#]*') || href end as resolved
-from a where href = '' or href like '/%' or regexp_matches(href, '^(https?://|#|javascript:|mailto:|tel:)')""")
+  when regexp_matches(href, '^https?://') then href when href like '/%' then regexp_extract(url, '^[a-z]+://[^/?#]*') || href
+  else regexp_extract(url, '^[a-z]+://[^/?#]*') || coalesce(nullif(regexp_extract(url, '^[a-z]+://[^/?#]*(/[^?#]*/|/)', 1), ''), '/') || href end as resolved from a""")
 def f3_absolute_url(t):
-    links = t.pages.select("page_id", "url", F.explode(F.array_distinct(F.regexp_extract_all(
-        "html", F.lit(r'<a href="([^"]*)"'), 1))).alias("href"))
-    return links.filter("href = '' or href rlike '^(/|https?://|#|javascript:|mailto:|tel:)'").select(
+    links = t.pages.select("page_id", "url", F.explode(F.array_distinct(F.array_append(F.regexp_extract_all(
+        "html", F.lit(r'<a href="([^"]*)"'), 1), F.expr("concat('more/p', page_id, '.html')")))).alias("href"))
+    return links.select(
         "page_id", "href", urls.absolute_url(F.col("url"), F.col("href")).alias("resolved"))
 
 
@@ -159,13 +159,14 @@ def j5_resolve_sessions(t):
 
 @register("j5_sessions_apart", f"""
 with recursive {_SESSIONS}, g as (select n.*, group_id from n join groups using (id))
-select (select count(distinct group_id) from g) as n_groups, (select count(*) from g a join g b on a.group_id = b.group_id and {_APART}) as n_apart""", ("sessions",))
+select 'groups' as what, count(distinct group_id) as n from g
+union all select 'apart', count(*) from g a join g b on a.group_id = b.group_id and {_APART}""", ("sessions",))
 def j5_sessions_apart(t):
     """Groups, and venues in them that hold sessions which must stay apart (none)."""
     groups = matching.resolve_entities(t.sessions).withColumnRenamed("group_id", "component")
     timed = matching.match_keys(t.sessions).filter("not untimed").join(groups, "id")
-    return groups.agg(F.count_distinct("component").alias("n_groups")).join(
-        matching.sessions_apart(timed).agg(F.count("*").alias("n_apart")), F.lit(True))
+    return groups.agg(F.lit("groups").alias("what"), F.count_distinct("component").alias("n")).unionByName(
+        matching.sessions_apart(timed).agg(F.lit("apart").alias("what"), F.count("*").alias("n")))
 
 
 def members_by_real_event(t):
@@ -223,11 +224,11 @@ def u2_merge_invariants(t):
 
 
 @register("u3_distinct_ordered", """
-with o as (select real_id, list(price order by pos) as prices from listings where price is not null group by real_id)
+with o as (select real_id, coalesce(list(price order by pos) filter (where price is not null), []) as prices from listings group by real_id)
 select real_id, array_to_string(list_transform(list_sort(list_transform(list_distinct(prices), lambda p: {'i': list_position(prices, p), 'p': p})), lambda x: x.p), ',') as prices from o""", L)
 def u3_distinct_ordered(t):
-    at = F.sort_array(F.collect_list(F.struct("pos", "price")))
-    four = t.listings.filter("price is not null").groupBy("real_id").agg(at.alias("l"))
+    at = F.sort_array(F.collect_list(F.when(F.col("price").isNotNull(), F.struct("pos", "price"))))
+    four = t.listings.groupBy("real_id").agg(at.alias("l"))
     return four.select("real_id", F.array_join(F.array_distinct("l.price"), ",").alias("prices"))
 
 

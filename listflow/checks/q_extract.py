@@ -47,9 +47,9 @@ def f6_parse_event_dt(t):
 
 @register("f6_roll_forward", f"""
 select pos, cast(case when start_dt < date_trunc('day', timestamp '2024-04-01 00:00:00') - interval 45 day then start_dt + interval 1 year else start_dt end as varchar) as parsed
-from listings where start_dt is not null""", L)
+from listings""", L)
 def f6_roll_forward(t):
-    shown = t.listings.filter("start_dt is not null").select("pos", F.date_format("start_dt", "MMM d h:mm a").alias("shown"))
+    shown = t.listings.select("pos", F.date_format("start_dt", "MMM d h:mm a").alias("shown"))
     return shown.select("pos", dates.parse_event_dt(
         F.col("shown"), dates.as_ntz("2024-04-01 00:00:00"), roll_forward=True).alias("parsed"))
 
@@ -58,14 +58,14 @@ _END_ON_ANCHOR = f"date_trunc('day', {NOW}) + ((start_dt + interval 5 hour) - da
 
 
 @register("f7_parse_dt_range", f"""
-with e as (select pos, start_dt, {_END_ON_ANCHOR} as a, date_trunc('day', start_dt) + ((start_dt + interval 5 hour) - date_trunc('day', start_dt + interval 5 hour)) as d from listings where start_dt is not null)
+with e as (select pos, start_dt, {_END_ON_ANCHOR} as a, date_trunc('day', start_dt) + ((start_dt + interval 5 hour) - date_trunc('day', start_dt + interval 5 hour)) as d from listings)
 select pos, cast(start_dt as varchar) as start_dt, cast(case when pos % 3 = 2 then null when a >= start_dt then a when d < start_dt then d + interval 1 day else d end as varchar) as end_dt from e""", L)
 def f7_parse_dt_range(t):
     end = F.date_format(F.col("start_dt") + F.expr("interval 5 hours"), "h:mm a")
     shown = F.concat(F.date_format("start_dt", "MMMM d, yyyy h:mm a"), F.expr(
         "case pos % 3 when 0 then ' – ' when 1 then ' to ' else '' end"), F.when(F.col("pos") % 3 < 2, end).otherwise(""))
     now = dates.as_ntz(AS_OF)
-    rows = t.listings.filter("start_dt is not null").select("pos", dates.split_dt_range(shown).alias("s"))
+    rows = t.listings.select("pos", dates.split_dt_range(shown).alias("s"))
     parsed = rows.select("pos", "s", dates.parse_event_dt(F.col("s.start_text"), now, True).alias("start_dt"),
                          dates.parse_event_dt(F.col("s.end_text"), now, True).alias("_end"))
     return parsed.select("pos", "start_dt", dates.finish_range(

@@ -207,16 +207,20 @@ def j13_slot_spacing(t):
         "start_dt", "slot", "band", "gap_minutes", "spacing_hours")
 
 
+_DATED = "(select event_id, start_dt from article_events where event_id % 50 <> 49)"
+
+
 @register("w5_rank_slots", f"""
 with {_SLOTS}, lim as (select start_dt, start_dt - interval 24 hour as lim from starts),
 ld as (select start_dt, lim, unnest([cast(lim as date), cast(lim as date) - 1]) as day from lim),
 lg as (select start_dt, lim, cast(day as timestamp) + to_minutes(cast(unnest(range(first, last + 1, 15)) as int)) as slot, day from ld join {_BANDS} on list_contains(days, isodow(day))),
 lr as (select start_dt, max(slot) as latest from lg where slot <= lim and not (isodow(day) = 5 and slot >= cast(day as timestamp) + interval 15 hour) group by start_dt)
-select article_id, cast(coalesce(slot, case when latest >= {NOW} + interval 2 hour then latest else {NOW} + interval 2 hour end) as varchar) as publish_at, band, offset_days, spacing_hours,
-  coalesce(widening > 0, true) as widened, slot is null as lead_window_missed
-from articles join article_events using (event_id) left join best using (start_dt) left join lr using (start_dt)""", AE)
+select article_id, case when start_dt is not null then cast(coalesce(slot, case when latest >= {NOW} + interval 2 hour then latest else {NOW} + interval 2 hour end) as varchar) end as publish_at, band, offset_days, spacing_hours,
+  case when start_dt is not null then coalesce(widening > 0, true) end as widened, case when start_dt is not null then slot is null end as lead_window_missed
+from articles left join {_DATED} using (event_id) left join best using (start_dt) left join lr using (start_dt)""", AE)
 def w5_rank_slots(t):
-    dated = t.articles.select("article_id", "event_id").join(t.article_events.select("event_id", "start_dt"), "event_id")
+    starts = t.article_events.filter("event_id % 50 <> 49").select("event_id", "start_dt")
+    dated = t.articles.select("article_id", "event_id").join(starts, "event_id", "left")
     return slots.rank_slots(dated, queue(t), AS_OF).select(
         "article_id", "publish_at", "band", "offset_days", "spacing_hours", "widened", "lead_window_missed")
 
@@ -246,8 +250,10 @@ lr as (select start_dt, max(slot) as latest from lg where slot <= lim and not (i
 
 @register("w6_assign_slots", f"""
 with {_SLOTS}, {_LAST}, turns as (select * from (select publication, article_id, start_dt, row_number() over (partition by publication order by relevance_avg desc nulls last, start_dt asc nulls first, article_id) as turn
-  from articles join article_events using (event_id) where status in ('queued', 'in_progress')) where turn <= 5), {_turns(5)}
+  from articles join {_DATED} using (event_id) where status in ('queued', 'in_progress')) where turn <= 5), {_turns(5)}
+select publication, article_id, null::varchar as publish_at, null::int as band, null::int as spacing_hours, null::boolean as lead_window_missed
+  from articles where status in ('queued', 'in_progress') and article_id not in (select article_id from turns) union all
 """ + " union all ".join(f"select publication, article_id, cast(publish_at as varchar) as publish_at, band, spacing_hours, lead_window_missed from pick{i}" for i in range(1, 6)), AE)
 def w6_assign_slots(t):
-    open_ = work.work_queue(t.articles, t.article_events)
-    return slots.assign_slots(open_, queue(t), AS_OF)
+    open_ = work.work_queue(t.articles, t.article_events).withColumn("start_dt", F.expr("if(event_id % 50 <> 49, start_dt, null)"))
+    return slots.assign_slots(open_, queue(t), AS_OF, K.ARTICLES_PER_RUN)

@@ -124,8 +124,6 @@ NEIGHBORHOOD_ALIASES = {
 }
 
 # Stock image library (name, url, description); null url = not curated.
-_IMG = "https://images.unsplash.com/"
-_IMG_ARGS = "?auto=format&fit=crop&w=1600&q=80"
 IMAGE_LIBRARY = [
     ("Capitol Hill", None, None),
     ("Ballard", None, None),
@@ -137,24 +135,24 @@ IMAGE_LIBRARY = [
     ("Georgetown", None, None),
     ("Columbia City", None, None),
     ("University District", None, None),
-    ("Belltown", _IMG + "photo-1563663170081-4ff6736ab249" + _IMG_ARGS,
+    ("Belltown", "https://images.unsplash.com/photo-1563663170081-4ff6736ab249?auto=format&fit=crop&w=1600&q=80",
      "The Space Needle rising above the rooftops, seen from Cedar Street in Belltown, Seattle."),
-    ("Pioneer Square", _IMG + "photo-1741952863073-ddcb0250990c" + _IMG_ARGS,
+    ("Pioneer Square", "https://images.unsplash.com/photo-1741952863073-ddcb0250990c?auto=format&fit=crop&w=1600&q=80",
      "The Tlingit totem pole in Pioneer Square, Seattle, with the neighborhood's historic "
      "buildings behind it."),
     ("Green Lake", None, None),
     ("Magnolia", None, None),
     ("Beacon Hill", None, None),
     ("Rainier Valley", None, None),
-    ("Downtown", _IMG + "photo-1502175353174-a7a70e73b362" + _IMG_ARGS,
+    ("Downtown", "https://images.unsplash.com/photo-1502175353174-a7a70e73b362?auto=format&fit=crop&w=1600&q=80",
      "An aerial view of the downtown Seattle skyline."),
-    ("SoDo", _IMG + "photo-1740760055939-19504a345784" + _IMG_ARGS,
+    ("SoDo", "https://images.unsplash.com/photo-1740760055939-19504a345784?auto=format&fit=crop&w=1600&q=80",
      "Lumen Field on Occidental Avenue South, in Seattle's stadium district at the north end "
      "of SoDo."),
     ("Northgate", None, None),
     ("Greenwood", None, None),
     ("Phinney Ridge", None, None),
-    ("default", _IMG + "photo-1502175353174-a7a70e73b362" + _IMG_ARGS,
+    ("default", "https://images.unsplash.com/photo-1502175353174-a7a70e73b362?auto=format&fit=crop&w=1600&q=80",
      "An aerial view of the Seattle skyline."),
 ]
 IMAGE_DISCLAIMER = "Illustrative image, not the event venue."

@@ -144,7 +144,7 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
 
     Existing values are never overwritten and unknown ones stay null. ``places`` is a
     reverse-geocode table on coordinates rounded to four digits (lat4, lon4, address fields);
-    ``photos`` holds one picture per venue_url.
+    ``photos`` holds pictures per venue_url; of repeated keys the least value counts.
     """
     flat = flatten_aliases(events)
     had_transit = "transit" in flat.columns
@@ -155,8 +155,8 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
         "lat": F.when(missing & hit, F.col("found_lat")).otherwise(F.col("lat")),
         "lon": F.when(missing & hit, F.col("found_lon")).otherwise(F.col("lon")),
     }).drop("found_lat", "found_lon")
-    areas = neighborhood_of(places, library, aliases).select(
-        "lat4", "lon4", F.col("neighborhood").alias("_area"))
+    areas = neighborhood_of(places, library, aliases).groupBy("lat4", "lon4").agg(
+        F.min("neighborhood").alias("_area"))
     located = (
         placed.withColumns({"lat4": F.round("lat", 4), "lon4": F.round("lon", 4)})
         .join(areas, ["lat4", "lon4"], "left")
@@ -164,7 +164,7 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
         .drop("lat4", "lon4", "_area")
     )
     located = cut_lineage(located, "located")
-    pictures = photos.select("venue_url", F.col("photo_url").alias("_photo"))
+    pictures = photos.groupBy("venue_url").agg(F.min("photo_url").alias("_photo"))
     shown = stock_image(located.join(pictures, "venue_url", "left"), library, aliases)
     no_image = F.col("image_url").isNull()
     venue_photo = F.col("venue_name").isNotNull() & F.col("_photo").isNotNull()

@@ -229,15 +229,21 @@ def seo_score_cap(drafts: DataFrame, events: DataFrame, posts: DataFrame,
         "draft_id", "score_cap", "hard_misses", "defects")
 
 
-def judge_panel(verdicts: DataFrame, dimensions: list[str] = K.JUDGE_DIMENSIONS,
+def judge_panel(verdicts: DataFrame, drafts: DataFrame, dimensions: list[str] = K.JUDGE_DIMENSIONS,
                 threshold: int = K.JUDGE_PASS) -> DataFrame:
-    """Outcome per draft: pass, fail (back to writing) or incomplete (a judge is missing)."""
+    """Outcome per draft: pass, fail (back to writing) or incomplete (a judge is missing).
+
+    Every draft gets a row; one that nobody judged misses all dimensions.
+    """
     wanted = F.array(*[F.lit(d) for d in dimensions])
     mine = verdicts.filter(F.col("dimension").isin(*dimensions))
     per = mine.groupBy("draft_id").agg(
         F.collect_set("dimension").alias("_have"),
         F.sort_array(F.collect_set(F.when(F.col("score") < threshold, F.col("dimension")))).alias("failed"),
         F.min("score").alias("lowest"))
+    none = F.array().cast("array<string>")
+    per = drafts.select("draft_id").distinct().join(per, "draft_id", "left").withColumns({
+        "_have": F.coalesce("_have", none), "failed": F.coalesce("failed", none)})
     missing = F.array_except(wanted, F.col("_have"))
     outcome = F.when(F.size(missing) > 0, "incomplete").when(F.size("failed") > 0, "fail").otherwise("pass")
     return (per.withColumn("missing", missing).withColumn("outcome", outcome)

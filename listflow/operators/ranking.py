@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from listflow.session import cut_lineage
 
 
+def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
+    """One whole row per key, whatever the order of the input: the one that is last as JSON text.
+
+    A partial aggregate, so a key with many rows sends one per task. Rows whose key is null, which
+    a lookup can never meet, go.
+    """
+    rows = df.dropna(subset=list(keys))
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return rows.groupBy(*keys).agg(F.max_by(row, F.to_json(row)).alias("_row")).select("_row.*")
+
+
 def rank_within(df: DataFrame, by: str, order: list[Column], into: str = "rank") -> DataFrame:
     """``row_number`` per ``by`` value without holding one value's rows in one task.
 

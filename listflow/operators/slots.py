@@ -101,7 +101,7 @@ def rank_slots(articles: DataFrame, queue: DataFrame, as_of: str) -> DataFrame:
     """The chosen slot per article.
 
     A slot depends only on the event's start and the queue, so work is done once per distinct
-    start. Order: least widening, least relaxed spacing, best band, closest to the six-day
+    start; an article without one keeps its row and gets no slot. Order: least widening, least relaxed spacing, best band, closest to the six-day
     mark, earlier day, closest to the band's midpoint.
     """
     starts = cut_lineage(articles.filter("start_dt is not null").select("start_dt").distinct(), "starts")
@@ -115,7 +115,7 @@ def rank_slots(articles: DataFrame, queue: DataFrame, as_of: str) -> DataFrame:
         "start_dt", F.coalesce("slot", "last_resort").alias("publish_at"), "band", "offset_days",
         "spacing_hours", F.coalesce("widened", F.lit(True)).alias("widened"),
         F.col("slot").isNull().alias("lead_window_missed"))
-    return articles.join(picked, "start_dt").withColumn(
+    return articles.join(picked, "start_dt", "left").withColumn(
         "lead_hours", F.timestamp_diff("HOUR", F.col("publish_at"), F.col("start_dt")))
 
 
@@ -147,12 +147,12 @@ def _assign(cands: pd.DataFrame, queue: pd.DataFrame) -> pd.DataFrame:
 
 
 def assign_slots(articles: DataFrame, queue: DataFrame, as_of: str,
-                 per_run: int = K.ARTICLES_PER_RUN) -> DataFrame:
+                 per_run: int) -> DataFrame:
     """Slots for the next articles of every publication, each pick constraining the next.
 
     A run takes at most ``per_run`` articles per publication, and the queue is reduced to its
     distinct times within a day of a candidate slot, so one group stays small whatever the
-    backlog.
+    backlog. Articles without a start and those that wait for a later run keep a row without a slot.
     ``articles`` (publication, article_id, relevance_avg, start_dt), ``queue`` (publication,
     publish_at).
     """
@@ -172,5 +172,7 @@ def assign_slots(articles: DataFrame, queue: DataFrame, as_of: str,
         .join(days, ["publication", "_day"], "left_semi")
         .select(F.col("publication").alias("_for"), "publish_at").distinct()
     )
-    return choice.groupBy("publication").cogroup(near.groupBy("_for")).applyInPandas(
-        _assign, _ASSIGNED)
+    given = choice.groupBy("publication").cogroup(near.groupBy("_for")).applyInPandas(_assign, _ASSIGNED)
+    waiting = articles.select("publication", "article_id").join(
+        turn.select("publication", "article_id"), ["publication", "article_id"], "left_anti")
+    return given.unionByName(waiting, allowMissingColumns=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listflow import constants as K
 from listflow.functions import dates, keys, structs
 from listflow.operators.changes import latest_per_key
+from listflow.operators.ranking import one_per_key
 
 
 def work_queue(articles: DataFrame, events: DataFrame) -> DataFrame:
@@ -37,9 +38,11 @@ def merge_events(current: DataFrame, updates: DataFrame, as_of: str, keep_existi
                  key: str = "event_id") -> DataFrame:
     """Full-row upsert that keeps ``created_at``.
 
-    A column absent from an update becomes null, unless ``keep_existing``.
+    A column absent from an update becomes null, unless ``keep_existing``. Of several updates of
+    one key, one whole row counts (see :func:`one_per_key`).
     """
     now = dates.as_ntz(as_of)
+    updates = one_per_key(updates, key)
     fields = [c for c in current.columns if c not in (key, "created_at", "updated_at")]
     c = current.alias("c")
     u = updates.select(key, *[f for f in fields if f in updates.columns],
@@ -66,8 +69,8 @@ def new_articles(events: DataFrame) -> DataFrame:
 
 
 def insert_articles(current: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Insert rows whose id is not there yet."""
-    unseen = fresh.join(current.select("article_id"), "article_id", "left_anti")
+    """Insert rows whose id is not there yet, one per id."""
+    unseen = one_per_key(fresh, "article_id").join(current.select("article_id"), "article_id", "left_anti")
     return current.unionByName(unseen, allowMissingColumns=True)
 
 
@@ -130,7 +133,7 @@ def approval_sweep(articles: DataFrame, statuses: DataFrame, max_reholds: int =
 
     ``statuses`` (article_id, review_status). The counter of that stage starts again.
     """
-    j = articles.join(statuses, "article_id", "left")
+    j = articles.join(one_per_key(statuses.select("article_id", "review_status"), "article_id"), "article_id", "left")
     go = F.coalesce((F.col("status") == "held") & (F.upper(F.trim("review_status")) == approved),
                     F.lit(False))
     again = F.coalesce("reholds", F.lit(0)) + 1
@@ -157,7 +160,7 @@ def post_publish_sweep(published: DataFrame, statuses: DataFrame, as_of: str,
     found = F.when(F.coalesce(over, F.lit(False)), "ended").when(
         seen.isin("cancelled", "sold_out"), seen)
     banners = F.create_map(*[F.lit(x) for item in K.BANNERS.items() for x in item])
-    j = published.join(statuses, "event_id", "left").withColumn(
+    j = published.join(one_per_key(statuses.select("event_id", "observed"), "event_id"), "event_id", "left").withColumn(
         "new_state", F.when(F.col("state") == "live", found))
     return (j.withColumn("state", F.coalesce("new_state", "state"))
             .withColumn("banner", F.try_element_at(banners, F.col("new_state")))

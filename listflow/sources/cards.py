@@ -28,14 +28,22 @@ class _Node:
         self.tag, self.attrs, self.parent, self.parts = tag, attrs, parent, []
 
     def walk(self):
-        for part in self.parts:
-            if isinstance(part, _Node):
-                yield part
-                yield from part.walk()
+        ahead = [self]
+        while ahead:
+            node = ahead.pop()
+            if node is not self:
+                yield node
+            ahead += [p for p in reversed(node.parts) if isinstance(p, _Node)]
 
     def text(self):
-        return " ".join(" ".join(
-            p.text() if isinstance(p, _Node) else p for p in self.parts).split())
+        said, ahead = [], [self]
+        while ahead:
+            part = ahead.pop()
+            if isinstance(part, _Node):
+                ahead += reversed(part.parts)
+            else:
+                said.append(part)
+        return " ".join(" ".join(said).split())
 
 
 class _Page(HTMLParser):

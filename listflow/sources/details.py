@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listflow import constants as K
+from listflow.operators import ranking
 
 _FILLED = [k for k in K.LISTING_KEYS if k not in ("source", "source_id", "url", "raw")]
 
@@ -23,13 +24,13 @@ def topup_from_detail(listings: DataFrame, details: DataFrame,
 
     With a ``budget``, only the first so many of every source are filled.
 
-    ``details`` holds one extracted row per url, with ``og_description`` as a last resort for
+    ``details`` holds extracted rows by url, of which one counts, with ``og_description`` as a last resort for
     the description. When both sides carry ``raw`` as a map, the listing's entries win.
     """
     fields = [f for f in _FILLED if f in listings.columns and f in details.columns]
     has_raw = all("raw" in d.columns and dict(d.dtypes)["raw"].startswith("map") for d in (listings, details))
     og = F.col("og_description") if "og_description" in details.columns else F.lit(None).cast("string")
-    found = details.select(
+    found = ranking.one_per_key(details, "url").select(
         F.col("url").alias("_url"), *[F.col(f).alias(f"_d_{f}") for f in fields],
         og.alias("_og"), *([F.col("raw").alias("_d_raw")] if has_raw else []))
     undated = listings.filter("start_dt is null and coalesce(url, '') <> ''")

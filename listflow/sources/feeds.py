@@ -17,6 +17,9 @@ from listflow.sources.listings import conform
 
 _ITEM = r"(?is)<(?:item|entry)(?:\s[^>]*)?>(.*?)</(?:item|entry)\s*>"
 _CHILD = r"(?s)<([A-Za-z_][\w:.\-]*)((?:\s[^<>]*?)?)(?:/>|>(.*?)</\1\s*>)"
+_GROUP = r"(?i)</?media:group(?:\s[^<>]*)?>"
+#: Stands for ``<`` inside a CDATA section while elements are cut; no text holds this noncharacter.
+_SHIELD = "\ufdd0"
 _IMG_SRC = r"""(?i)<img[^>]+src=["']([^"']+)["']"""
 
 
@@ -27,14 +30,29 @@ def attribute(tag: Column, name: str) -> Column:
     return F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(bare, F.lit("")))
 
 
+def _shielded(body: Column) -> Column:
+    """A body whose CDATA sections hold no ``<``, so that markup in them ends no element."""
+    sections = F.split(body, r"<!\[CDATA\[")
+    closed = lambda s: F.instr(s, "]]>")
+    shield = lambda s: F.when(closed(s) > 0, F.concat(
+        F.translate(F.substring(s, F.lit(1), closed(s) - 1), "<", _SHIELD),
+        F.substring(s, closed(s), F.length(s)))).otherwise(s)
+    return F.when(F.contains(body, F.lit("<![CDATA[")), F.array_join(
+        F.transform(sections, lambda s, i: F.when(i == 0, s).otherwise(shield(s))), "<![CDATA[")).otherwise(body)
+
+
 def _children(item: Column) -> Column:
-    """Child elements in order as ARRAY<STRUCT<key, attrs, text>>; prefix:name reads prefix_name."""
+    """Child elements in order as ARRAY<STRUCT<key, attrs, text>>; prefix:name reads prefix_name.
+
+    Members of a media group count as the item's own children.
+    """
+    item = F.regexp_replace(item, _GROUP, "")
     part = lambda i: F.regexp_extract_all(item, F.lit(_CHILD), i)
     return F.transform(
         F.arrays_zip(part(1).alias("tag"), part(2).alias("attrs"), part(3).alias("text")),
         lambda c: F.struct(
             F.replace(F.lower(c["tag"]), F.lit(":"), F.lit("_")).alias("key"),
-            c["attrs"].alias("attrs"), c["text"].alias("text")))
+            c["attrs"].alias("attrs"), F.translate(c["text"], _SHIELD, "<").alias("text")))
 
 
 def _plain(c: Column) -> Column:
@@ -100,7 +118,7 @@ def feed_entries(feeds: DataFrame, as_of: str, use_published_as_start: bool = Fa
         "feed_url", "source",
         F.regexp_extract(head, r"(?is)<title[^>]*>(.*?)</title>", 1).alias("feed_title"),
         F.regexp_extract(head, r"(?is)<link[^>]*>(.*?)</link>", 1).alias("feed_link"),
-        F.posexplode(F.regexp_extract_all("body", F.lit(_ITEM), 1)).alias("entry_pos", "item"))
+        F.posexplode(F.regexp_extract_all(_shielded(F.col("body")), F.lit(_ITEM), 1)).alias("entry_pos", "item"))
     # Testing inside the explode keeps the optimizer from repeating the parse in a pushed filter.
     read = items.withColumn("e", F.explode(F.filter(F.array(_parsed(F.col("item"))), _usable))).drop("item")
     now = dates.as_ntz(as_of)

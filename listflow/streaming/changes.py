@@ -28,6 +28,11 @@ def with_event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
         "seen_at", delay)
 
 
+def _first_copies(batch: DataFrame) -> DataFrame:
+    """The rows a batch run would hash: normalized, the first of every source key."""
+    return changes.with_keys(filters.dedupe_same_source(filters.normalize_listing(batch)))
+
+
 def change_step(as_of: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """One run over a batch: the next fingerprint state, with ``change`` and ``pos`` of the rows
     the batch brought (null for the rest). One join gives the answer and the state."""
@@ -35,8 +40,7 @@ def change_step(as_of: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
 
     def step(current: DataFrame, batch: DataFrame) -> DataFrame:
         c = current.drop("change", "pos").alias("c")
-        b = changes.with_keys(filters.dedupe_same_source(batch)).select(
-            "fingerprint", "content_hash", "pos").alias("b")
+        b = _first_copies(batch).select("fingerprint", "content_hash", "pos").alias("b")
         seen = F.col("b.pos").isNotNull()
         return c.join(b, "fingerprint", "full_outer").select(
             "fingerprint", "c.canonical_id",
@@ -83,7 +87,7 @@ def stream_changes_keyed(listings: DataFrame) -> DataFrame:
     A key's rows of one batch are streamed through and only the first in input order is kept,
     as a run keeps the first of its same-source duplicates.
     """
-    keyed = changes.with_keys(listings).select("fingerprint", "pos", "content_hash")
+    keyed = changes.with_keys(filters.normalize_listing(listings)).select("fingerprint", "pos", "content_hash")
     return keyed.groupBy("fingerprint").applyInPandasWithState(
         _emit_change, _CHANGES, "content_hash string", "append", GroupStateTimeout.NoTimeout)
 
@@ -107,6 +111,8 @@ def _track(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
         if start is None or starts[at] > start:
             start, floor = int(starts[at]), int(batch["floor_ms"].iat[at])
     if floor <= state.getCurrentWatermarkMs():
+        if state.exists:
+            state.remove()
         yield pd.DataFrame({"fingerprint": [key[0]], "start_ms": [start], "status": ["too_late"]})
         return
     fresh = not state.exists
@@ -177,7 +183,7 @@ def stream_merge(stream: DataFrame, path: str, checkpoint: str, initial: DataFra
 def merge_seen(as_of: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Fingerprint merge of a batch of listings."""
     def merge(current: DataFrame, batch: DataFrame) -> DataFrame:
-        seen = changes.with_keys(filters.dedupe_same_source(batch)).select(
+        seen = _first_copies(batch).select(
             "fingerprint", "content_hash", F.lit(None).cast("string").alias("canonical_id"))
         return changes.merge_fingerprints(current, seen, as_of)
 

@@ -102,3 +102,10 @@ def test_a_longer_day_number_is_another_date(spark):
                                 ("Aug 2", "2026-08-02"), ("Sept 2", "2026-08-02"), ("see Aug 22.", "2026-08-22")], "c string, d string")
     got = df.select(gates._states_date(F.col("c"), F.col("d").cast("timestamp_ntz")).alias("ok")).collect()
     assert [r.ok for r in got] == [False, True, True, False, True]
+
+
+def test_a_draft_nobody_judged_is_incomplete(spark):
+    drafts = spark.createDataFrame([(1,), (2,)], "draft_id long")
+    verdicts = spark.createDataFrame([(1, d, 9) for d in K.JUDGE_DIMENSIONS], "draft_id long, dimension string, score int")
+    got = {r["draft_id"]: (r["outcome"], len(r["missing"])) for r in gates.judge_panel(verdicts, drafts).collect()}
+    assert got == {1: ("pass", 0), 2: ("incomplete", len(K.JUDGE_DIMENSIONS))}

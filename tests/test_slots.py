@@ -57,7 +57,7 @@ def test_last_resort_rounds_up(spark):
 def test_each_assignment_constrains_the_next(spark):
     start = D(2026, 8, 26, 18)
     a, q = frames(spark, [start] * 8, [D(2026, 8, 19, 7, 45)])
-    got = slots.assign_slots(a, q, "2026-08-10 08:00:00").orderBy("article_id").collect()
+    got = slots.assign_slots(a, q, "2026-08-10 08:00:00", 5).filter("publish_at is not null").orderBy("article_id").collect()
     assert [r["article_id"] for r in got] == ["a0", "a1", "a2", "a3", "a4"]
     times = [D(2026, 8, 19, 7, 45)] + [r["publish_at"] for r in got]
     gaps = [abs((x - y).total_seconds()) / 3600 for i, x in enumerate(times) for y in times[:i]]
@@ -73,5 +73,13 @@ def test_each_assignment_constrains_the_next(spark):
 def test_publications_do_not_disturb_each_other(spark):
     a, q = frames(spark, [D(2026, 8, 26, 18)], [])
     both = a.unionByName(a.withColumn("publication", F.lit("q")))
-    got = slots.assign_slots(both, q, "2026-08-10 08:00:00").collect()
+    got = slots.assign_slots(both, q, "2026-08-10 08:00:00", 5).collect()
     assert len(got) == 2 and len({r["publish_at"] for r in got}) == 1
+
+
+def test_every_article_keeps_a_row(spark):
+    a, q = frames(spark, [D(2026, 8, 26, 18)] * 3 + [None], [])
+    got = {r["article_id"]: r["publish_at"] for r in slots.assign_slots(a, q, "2026-08-10 08:00:00", 2).collect()}
+    assert got["a0"] and got["a1"] and got["a2"] is None and got["a3"] is None
+    ranked = {r["article_id"]: r for r in slots.rank_slots(a, q, "2026-08-10 08:00:00").collect()}
+    assert len(ranked) == 4 and ranked["a3"]["publish_at"] is None and ranked["a3"]["lead_window_missed"] is None

@@ -96,3 +96,30 @@ def test_photo_limits(spark):
     many = spark.createDataFrame([(1, "https://x.example/", "".join(f'<img src="/{i}.jpg">' for i in range(250)))],
                                  "page_id long, url string, html string")
     assert images.photo_candidates(many).count() == 250
+
+
+def test_markup_in_cdata_and_media_groups(spark):
+    body = """<rss><channel><title>C</title><item><title><![CDATA[A < B]]></title><link>/e/1</link><guid>g1</guid>
+<description><![CDATA[Ends </item> here </description> or <b>there</b>]]></description>
+<media:group><media:content url="/big.jpg"/><media:title>t</media:title></media:group></item>
+<item><title>Two</title><link>/e/2</link><guid>g2</guid><description><![CDATA[open]]></description></item></channel></rss>"""
+    df = spark.createDataFrame([("https://c.example/rss", None, body)], "feed_url string, source string, body string")
+    got = {r["source_id"]: r for r in feeds.feed_entries(df, AS_OF).collect()}
+    assert set(got) == {"g1", "g2"}
+    assert (got["g1"]["title"], got["g1"]["description"]) == ("A < B", "Ends here or there")
+    assert got["g1"]["image_url"] == "https://c.example/big.jpg" and got["g2"]["description"] == "open"
+
+
+def test_pages_of_unclosed_tags_are_read(spark):
+    html = "<p>" * 5000 + '<article class="event"><h3><a href="/e">Deep</a></h3>'
+    pages = spark.createDataFrame([(1, "https://visitseattle.org/events/", html)], "page_id long, url string, html string")
+    specs = cards.site_specs(spark, {"visitseattle": {"card": "article"}})
+    assert [r["title"] for r in cards.listing_cards(pages, specs, AS_OF).collect()] == ["Deep"]
+
+
+def test_repeated_detail_urls_fill_once(spark):
+    listings = src.conform(spark.createDataFrame(
+        [(1, "s", "1", "https://x.example/1", "T", None)],
+        "pos long, source string, source_id string, url string, title string, price string"))
+    found = spark.createDataFrame([("https://x.example/1", "$9"), ("https://x.example/1", "$8")], "url string, price string")
+    assert [r["price"] for r in details.topup_from_detail(listings, found).collect()] == ["$9"]

@@ -130,3 +130,21 @@ def test_stream_merge_reruns_write_the_same_version(t, spark):
     fresh = changes.with_keys(filters.dedupe_same_source(t.listings))
     assert same(st.read_snapshot(spark, state).select("fingerprint", "content_hash"),
                 fresh.select("fingerprint", "content_hash"))
+
+
+def test_repeated_keys_are_one_row(spark):
+    current = spark.createDataFrame([("e1", "old", AS_OF, AS_OF)], "event_id string, title string, created_at string, updated_at string").selectExpr(
+        "event_id", "title", "cast(created_at as timestamp_ntz) as created_at", "cast(updated_at as timestamp_ntz) as updated_at")
+    twice = spark.createDataFrame([("e1", "b"), ("e1", "a"), ("e2", "c"), ("e2", "c")], "event_id string, title string")
+    got = {r["event_id"]: r["title"] for r in work.merge_events(current, twice, AS_OF).collect()}
+    assert got == {"e1": "b", "e2": "c"} and work.merge_events(current, twice, AS_OF).count() == 2
+    fresh = spark.createDataFrame([("a1", "x"), ("a1", "y")], "article_id string, stage string")
+    assert work.insert_articles(fresh.limit(0), fresh).count() == 1
+
+
+def test_stream_and_batch_hash_alike(t, spark):
+    row = src.conform(t.listings).limit(1).withColumn("venue_name", F.lit(" Hall  A "))
+    batch = changes.with_keys(filters.normalize_listing(row)).first()["content_hash"]
+    empty = t.fingerprints.filter(F.lit(False))
+    assert st.merge_seen(AS_OF)(empty, row).first()["content_hash"] == batch
+    assert st.change_step(AS_OF)(empty, row).first()["content_hash"] == batch
