@@ -22,12 +22,22 @@ _NAMES = "pos, source, source_id, url, title, description, cast(start_dt as varc
 
 @register("s1_read_listings", """
 select event_type as source, cast(null as varchar) as source_id, cast(null as varchar) as url,
-  cast(null as varchar) as title, props as description, cast(null as varchar) as price, event_id
+  cast(null as varchar) as title, props as description, cast(null as varchar) as price, event_id,
+  case when event_id % 11 <> 0 then strftime(timestamp '2024-01-08 09:00:00' + interval 1 minute * cast(event_id % 40000 as int), '%Y-%m-%d %H:%M:%S') end as start_dt
 from events""")
 def s1_read_listings(t):
-    df = t.events.withColumnRenamed("event_type", "source").withColumnRenamed("props", "description")
-    return src.conform(df).select(
-        "source", "source_id", "url", "title", "description", "price", "event_id")
+    """Landed rows, written and read; one winter's wall-clock times stated in four ways."""
+    at = "timestamp_ntz'2024-01-08 09:00:00' + make_dt_interval(0, 0, cast(event_id % 40000 as int)"
+    text = lambda minutes: f"date_format({at} + {minutes}), \"yyyy-MM-dd'T'HH:mm:ss\")"
+    stated = (f"case when event_id % 11 = 0 then null when event_id % 4 = 0 then concat({text(480)}, 'Z') "
+              f"when event_id % 4 = 1 then concat({text(0)}, '-08:00') "
+              f"when event_id % 4 = 2 then concat({text(180)}, '-05:00') else {text(0)} end")
+    landed = scratch_path(t.spark, "landed")
+    t.events.select("event_id", F.col("event_type").alias("source"), F.col("props").alias("description"),
+                    F.expr(stated).alias("start_dt")).write.parquet(landed)
+    return src.read_listings(t.spark, landed).select(
+        "source", "source_id", "url", "title", "description", "price", "event_id",
+        F.date_format("start_dt", "yyyy-MM-dd HH:mm:ss").alias("start_dt"))
 
 
 @register("s9_source_coverage", f"""

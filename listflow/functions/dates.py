@@ -47,6 +47,21 @@ def utc_from_pacific(c: Column) -> Column:
     return F.convert_timezone(F.lit(K.PACIFIC), F.lit("UTC"), c)
 
 
+def wall_clock(c: Column, kind: str) -> Column:
+    """Pacific wall-clock time of a landed column: ISO text, with or without a zone, or an instant.
+
+    Text without a zone is wall-clock already; text in no ISO form is null.
+    """
+    if kind == "string":
+        return let(F.trim(c), lambda x: F.coalesce(_iso(x), x.try_cast("timestamp_ntz")))
+    if kind == "timestamp":
+        start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        micros = F.unix_micros(c)
+        return pacific_from_utc(start + F.make_dt_interval(
+            secs=(micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")))
+    return c.cast("timestamp_ntz")
+
+
 def iso_pacific(c: Column) -> Column:
     """ISO text with the Pacific offset in force at that wall-clock time."""
     behind = F.timestamp_diff("HOUR", c, utc_from_pacific(c))

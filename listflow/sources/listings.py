@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listflow import constants as K
+from listflow.functions import dates
 
 #: Types of the contract columns; a landed table may lack any of them.
 LISTING_TYPES = {
@@ -18,11 +19,18 @@ LISTING_TYPES = {
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Add missing contract columns as null; other columns are kept behind them."""
-    contract = [
-        (F.col(k).cast(t) if k in df.columns else F.lit(None).cast(t)).alias(k)
-        for k, t in LISTING_TYPES.items()
-    ]
+    """Add missing contract columns as null; other columns are kept behind them.
+
+    Times become Pacific wall-clock: a zone or offset in the text, and an instant, are converted.
+    """
+    kinds = dict(df.dtypes)
+
+    def read(k: str, t: str) -> Column:
+        if k not in kinds:
+            return F.lit(None).cast(t)
+        return dates.wall_clock(F.col(k), kinds[k]) if t == "timestamp_ntz" else F.col(k).cast(t)
+
+    contract = [read(k, t).alias(k) for k, t in LISTING_TYPES.items()]
     return df.select(*contract, *[c for c in df.columns if c not in LISTING_TYPES])
 
 

@@ -123,3 +123,12 @@ def test_repeated_detail_urls_fill_once(spark):
         "pos long, source string, source_id string, url string, title string, price string"))
     found = spark.createDataFrame([("https://x.example/1", "$9"), ("https://x.example/1", "$8")], "url string, price string")
     assert [r["price"] for r in details.topup_from_detail(listings, found).collect()] == ["$9"]
+
+
+def test_zones_of_landed_times(spark):
+    df = spark.createDataFrame([("z", "2026-08-22T16:00:00Z"), ("p", "2026-08-22T09:00:00-07:00"), ("e", "2026-08-22T12:00:00-04:00"),
+                                ("w", "2026-08-22 09:00:00"), ("n", None), ("x", "soon")], "source_id string, start_dt string")
+    got = {r[0]: r[1] and str(r[1]) for r in src.conform(df).select("source_id", "start_dt").collect()}
+    assert got == {**dict.fromkeys("zpew", "2026-08-22 09:00:00"), "n": None, "x": None}
+    instant = spark.sql("select timestamp'2026-08-22 16:00:00 UTC' as start_dt")
+    assert str(src.conform(instant).first()["start_dt"]) == "2026-08-22 09:00:00"
