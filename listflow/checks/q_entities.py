@@ -324,14 +324,15 @@ near as (select plat, plon, s.*, {HAVERSINE.format(a='p', b='s.')} as d from sit
 ring1 as (select * from near where d <= 1500 and abs(lat - plat) <= 1500 / 111320.0e0 and abs(lon - plon) <= 1500 / (111320.0e0 * cos(radians(plat)))),
 cand as (select * from ring1 union all select * from near where d <= 5000 and (plat, plon) not in (select (plat, plon) from ring1)),
 best as (select plat, plon, arg_min(stop_name, (cast(round_even(d, 0) as int), stop_name)) as first_stop, least(count(distinct stop_name), 3) as n_stops from cand group by all)
-select event_id, lat, lon, neighborhood, image_url, image_source, first_stop, n_stops from i left join best on plat = lat and plon = lon""", L + G)
+select event_id, lat, lon, neighborhood, image_url, image_source, case when event_id % 10 = 1 then 'Kept' else first_stop end as first_stop, case when event_id % 10 = 1 then 1 else n_stops end as n_stops from i left join best on plat = lat and plon = lon""", L + G)
 def j11_enrich_events(t):
     ev = t.listings.groupBy(F.col("real_id").alias("event_id")).agg(
         F.min("venue_name").alias("name"), F.min("venue_address").alias("address"))
     known = F.expr("event_id % 9 = 0")
     events = ev.select("event_id", F.struct(
         "name", "address", F.when(known, F.lit(47.61)).alias("latitude"), F.when(known, F.lit(-122.33)).alias("lng"),
-        F.concat(F.lit("https://venue.example/"), F.col("event_id")).alias("website")).alias("venue"))
+        F.concat(F.lit("https://venue.example/"), F.col("event_id")).alias("website")).alias("venue"),
+        F.expr("""if(event_id % 10 = 1, '[{"stop_name": "Kept"}]', '[]')""").alias("transit_json"))
     photos = ev.filter("event_id % 6 = 0").selectExpr(
         "concat('https://venue.example/', event_id) as venue_url", "concat('https://venue.example/', event_id, '.jpg') as photo_url")
     coords = enrichment.geocode_lookup(ev.withColumnsRenamed({"name": "venue_name", "address": "venue_address"}), gazetteer(t)).selectExpr(

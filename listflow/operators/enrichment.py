@@ -24,6 +24,10 @@ ALIASES = {
 }
 
 
+#: Columns that may hold an event's stored stops, the first filled one counts; text is read as JSON.
+TRANSIT_ALIASES = ["transit_json", "transit", "transit_stops"]
+
+
 def flatten_aliases(events: DataFrame) -> DataFrame:
     """Flat canonical columns from whichever nested or flat aliases the events carry."""
     types = dict(events.dtypes)
@@ -147,7 +151,7 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
     ``photos`` holds pictures per venue_url; of repeated keys the least value counts.
     """
     flat = flatten_aliases(events)
-    had_transit = "transit" in flat.columns
+    stored = [c for c in TRANSIT_ALIASES if c in flat.columns]
     found = geocode_lookup(flat, gazetteer)
     missing = F.col("lat").isNull() | F.col("lon").isNull()
     hit = F.col("found_lat").isNotNull()
@@ -185,5 +189,8 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
         F.col("_site.lat").alias("lat"), F.col("_site.lon").alias("lon"),
         F.col("transit").alias("_stops"))
     out = pictured.join(near, ["lat", "lon"], "left")
-    filled = F.coalesce(F.col("transit"), F.col("_stops")) if had_transit else F.col("_stops")
-    return out.withColumn("transit", filled).drop("_stops")
+    kinds, shape = dict(out.dtypes), dict(near.dtypes)["_stops"]
+    given = [F.from_json(c, shape) if kinds[c] == "string" else F.col(c) for c in stored]
+    given = [F.when(F.size(c) > 0, c) for c in given]
+    others = [c for c in stored if c != "transit"]
+    return out.withColumn("transit", F.coalesce(*given, F.col("_stops"))).drop("_stops", *others)
