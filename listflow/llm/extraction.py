@@ -32,6 +32,14 @@ FURNITURE_WORDS = frozenset(
     "navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended "
     "related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
     "tags toolbar toc widget widgets".split())
+#: Furniture that is so whatever it holds; the other names may also stand on a wrapper around the main text.
+_SURE_TAGS = FURNITURE - {"form", "fieldset", "object"}
+_SURE_WORDS = frozenset(
+    "advertisement advertising breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright "
+    "disclaimer discussion disqus footer gdpr nav navbar navigation newsletter pager pagination promoted promotion "
+    "recommended related replies respond signup sponsored subscribe subscription".split())
+#: Names that tell a state of the page, such as ``has-sidebar`` or ``comments-closed``, not what an element is.
+_STATE = re.compile(r"(?i)(?:no|not|has|with|without|hide|show)[-_].*|.*[-_](?:open|opened|closed|off|disabled|hidden)")
 
 CONTAINERS = frozenset("div section article main td details dd fieldset center".split())
 
@@ -50,62 +58,73 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"(
 _SPLIT_NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
+_SURE = frozenset("!")
+_NONE: frozenset[str] = frozenset()
+
+
 @dataclass
 class Line:
     """One block of text: its characters outside links, whether it is page furniture or main content,
-    and the number of the container it stands in (0: none but the body)."""
+    the number of the container it stands in (0: none but the body), and the words that make it furniture."""
 
     text: str
     plain: int
     furniture: bool
     content: bool
     parent: int
+    words: frozenset[str] = _NONE
 
 
-def _is_furniture(tag: str, attributes: str) -> bool:
-    if tag in FURNITURE:
-        return True
-    if not attributes.strip() or tag in ("html", "body", "article", "main"):
-        return False
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), a or b or c
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and any(w.lower() in FURNITURE_WORDS for w in _SPLIT_NAME.findall(value)):
-            return True
-    return False
+def _furniture_words(tag: str, attributes: str) -> frozenset[str]:
+    """What makes an element page furniture: nothing, words that a wrapper of the main text may have too, or ``!``."""
+    if tag in _SURE_TAGS:
+        return _SURE
+    words = {f"<{tag}>"} if tag in FURNITURE else set()
+    if attributes.strip() and tag not in ("html", "body", "article", "main"):
+        for name, a, b, c in _ATTRIBUTE.findall(attributes):
+            name, value = name.lower(), a or b or c
+            if name == "hidden" or name == "aria-hidden" and value == "true":
+                return _SURE
+            if name == "role" and value.lower() in ROLES:
+                return _SURE
+            if name in ("class", "id"):
+                words.update(w.lower() for one in value.split() if not _STATE.fullmatch(one)
+                             for w in _SPLIT_NAME.findall(one) if w.lower() in FURNITURE_WORDS)
+    return _SURE if words & _SURE_WORDS else frozenset(words)
 
 
 def page_lines(page: str) -> list[Line]:
     """The blocks of a page in order; comments, scripts and styles are gone, references decoded.
 
     A tag that the end of the page cuts off is dropped. White space inside a block is one space. Blocks that are
-    empty are left out, but furniture leaves an empty line as a gap.
+    empty are left out, but furniture leaves an empty line as a gap. Words on elements that hold most of the
+    text name a wrapper, not furniture.
     """
     lines: list[Line] = []
     parts: list[str] = []
     linked = 0
-    open_tags: list[tuple[str, bool, bool, int]] = []  # name, furniture from here on, inside main content, container
+    # name, what makes it furniture from here on, inside main content, container, whether furniture begins here
+    open_tags: list[tuple[str, frozenset[str], bool, int, bool]] = []
     standing: defaultdict[str, list[int]] = defaultdict(list)  # places of a name's open tags
     in_link = containers = 0
+    outside = ("", _NONE, False, 0, False)
 
     def flush() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                lines.append(Line(text, max(0, len(text) - linked), *(open_tags[-1][1:] if open_tags else (False, False, 0))))
+                _, words, content, container, _ = open_tags[-1] if open_tags else outside
+                lines.append(Line(text, max(0, len(text) - linked), bool(words), content, container, words))
         parts, linked = [], 0
 
     def close(to: int) -> None:
         nonlocal in_link
         if any(t[0] in BLOCKS for t in open_tags[to:]):
             flush()
-        if any(t[1] for t in open_tags[to:]) and not (to and open_tags[to - 1][1]):
+        if any(t[4] for t in open_tags[to:]):
             flush()
-            lines.append(Line("", 0, True, False, 0))
+            lines.append(Line("", 0, True, False, 0, frozenset().union(*{t[1] for t in open_tags[to:]})))
         in_link = max(0, in_link - sum(t[0] == "a" for t in open_tags[to:]))
         for t in open_tags[to:]:
             standing[t[0]].pop()
@@ -155,37 +174,70 @@ def page_lines(page: str) -> list[Line]:
                 k -= 1
             if k and open_tags[k - 1][0] == "p":
                 close(k - 1)
-        above = open_tags[-1] if open_tags else ("", False, False, 0)
+        above = open_tags[-1] if open_tags else outside
         containers += tag in CONTAINERS
         content = above[2] or tag in ("article", "main")
-        heading = above[1] and content and tag in ("h1", "h2", "h3") and any(t[0] == "header" for t in open_tags[-3:])
-        furniture = (above[1] or _is_furniture(tag, attributes)) and not heading
-        if tag in BLOCKS or furniture and not above[1]:
+        own = _furniture_words(tag, attributes)
+        words = above[1] | own if own - above[1] else above[1]
+        if above[1] and content and tag in ("h1", "h2", "h3"):
+            # a heading in the header of an article is furniture only if the header stands in furniture
+            k = next((k for k in range(len(open_tags) - 1, max(-1, len(open_tags) - 4), -1) if open_tags[k][0] == "header"), -1)
+            if k >= 0:
+                words = open_tags[k - 1][1] if k else _NONE
+        begins = bool(own and words)
+        if tag in BLOCKS or begins:
             flush()
-            if furniture and not above[1]:
-                lines.append(Line("", 0, True, False, 0))
+            if begins:
+                lines.append(Line("", 0, True, False, 0, words))
         standing[tag].append(len(open_tags))
-        open_tags.append((tag, furniture, content, containers if tag in CONTAINERS else above[3]))
+        open_tags.append((tag, words, content, containers if tag in CONTAINERS else above[3], begins))
         in_link += tag == "a"
     if at < len(page):
         parts.append(_CUT_TAG.sub("", page[at:]))
     flush()
-    return lines
+    return _without_wrappers(lines)
+
+
+def _without_wrappers(lines: list[Line]) -> list[Line]:
+    """The lines with ``furniture`` as it stands once words of wrappers are known.
+
+    A word whose elements hold over half of the text (of the main content, if that is marked) is no
+    furniture in this page. If all text would still be furniture, only what is sure is, and if all is that, nothing.
+    """
+    pool = [x for x in lines if x.text and "!" not in x.words]
+    pool = [x for x in pool if x.content and x.plain] or pool
+    share: defaultdict[str, int] = defaultdict(int)
+    for x in pool:
+        for word in x.words:
+            share[word] += x.plain
+    total = sum(x.plain for x in pool)
+    wrappers = frozenset(w for w, n in share.items() if 2 * n > total)
+    filled = {x.words for x in lines if x.text}
+    if filled and all(words - wrappers for words in filled):
+        wrappers = frozenset().union(*filled)
+        if not all("!" in words for words in filled):
+            wrappers -= _SURE
+    if not wrappers:
+        return lines
+    for x in lines:
+        x.furniture = bool(x.words - wrappers)
+    return [x for x in lines if x.text or x.furniture]
 
 
 def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """The lines between surge and dive points, joined by newlines.
 
+    In a page that marks its main content, all lines of it that are not furniture are kept. Else
     ``window`` lines are summed from each line on. Text surges at a line whose sum exceeds
-    ``surge`` and dives at the next line whose sum is zero or that is furniture. In a page that
-    marks its main content, lines outside count nothing and every filled line inside is a surge.
+    ``surge`` and dives at the next line whose sum is zero or that is furniture.
     Where nothing surges, the run with the most text is kept. Lines between other dives stay if they
     stand in the same container as kept ones. Null or no text gives ''.
     """
     lines = page_lines(page or "")
-    marked = any(x.content and not x.furniture and x.plain for x in lines)
-    lengths = [0 if x.furniture or marked and not x.content else x.plain for x in lines]
-    least = 0 if marked else surge
+    marked = [x for x in lines if x.content and not x.furniture]
+    if any(x.plain for x in marked) or marked and not any(x.plain and not x.furniture for x in lines):
+        return "\n".join(x.text for x in marked)
+    lengths = [0 if x.furniture else x.plain for x in lines]
     sums, total = [], 0
     for i in range(len(lines) - 1, -1, -1):
         total += lengths[i] - (lengths[i + window] if i + window < len(lines) else 0)
@@ -200,11 +252,11 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
             continue
         run, surged = [], False
         while i < len(lines) and (sums[i] > 0 and not lines[i].furniture):
-            surged = surged or sums[i] > least
-            if lines[i].text and (lengths[i] or marked and lines[i].content or not marked):
+            surged = surged or sums[i] > surge
+            if lines[i].text:
                 run.append(i)
             i += 1
-        while run and not marked and not lengths[run[-1]]:
+        while run and not lengths[run[-1]]:
             run.pop()
         runs.append(run)
         if surged:

@@ -95,6 +95,25 @@ def test_main_text(page, text):
     assert extraction.main_text(page) == text
 
 
+@pytest.mark.parametrize("wrapper", [
+    '<div class="content-sidebar-wrap">', '<div class="layout has-sidebar">', '<div class="elementor-widget-wrap">',
+    '<div id="post" class="post no-comments">', '<form id="aspnetForm">', '<div class="widget"><div class="ad"><form>'])
+def test_wrappers_named_like_furniture(wrapper):
+    inner = PAGE[PAGE.index("<header>"):].replace("<form><input><p>mail</p></form>", "")  # forms don't nest
+    for page in (inner, inner.replace("article>", "div>"), inner[inner.index("<article>"):inner.index("<div id=")]):
+        assert extraction.main_text(f"<body>{wrapper}{page}") == "Title & more\nFirst paragraph goes on.\nSecond one.\nLast."
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<nav><p>All that there is</p></nav>", "All that there is"),
+    ("<div class=ad><p>All that there is</p></div><footer>foot</footer>", "All that there is"),
+    ("<p><a>Top</a></p><article><h1><a>Title</a></h1><p><a>First</a></p><p>a</p><p>b</p><ul><li><a>x</a><li><a>y</a><li><a>z</a><li><a>w</a></ul>"
+     "<p>c</p><p><a>Last</a></article>", "Title\nFirst\na\nb\nx\ny\nz\nw\nc\nLast"),
+    ("<article><p>Short post.</p></article><div id=comments><article>" + "<p>A reader says a lot.</p>" * 9 + "</article></div>", "Short post.")])
+def test_no_text_is_lost(page, text):
+    assert extraction.main_text(page) == text
+
+
 def test_pages_of_the_table(spark, sf_dir):
     rows = queries.op1_html_extraction(spark, sf_dir).join(queries.table(spark, sf_dir, "pages").select("page_id", "html"), "page_id").collect()
     for row in rows:
