@@ -259,13 +259,14 @@ def _links(docs: DataFrame, texts: DataFrame, similarity: float, bands: int, wid
 
 def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, width: int = 5,
                  recall: float = 0.9999, block: int = BLOCK, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
-    """(doc_id, h, n_shingles, class_id, n_links) for every document.
+    """(doc_id, h, n_shingles, class_id, n_links, component) for every document.
 
     Two documents are linked if the sets of their runs of ``width`` words (as split by white space;
     all words of a shorter text) have at least this Jaccard similarity. ``n_links`` counts a
     document's links, copies included; ``class_id`` is the least id that links lead to. Texts
     without words link to nothing and are their own class; so does a null id, whose class is the
-    least id among its links or null. ``h`` is the text's md5. Pairs of different texts are found with
+    least id among its links or null. ``h`` is the text's md5, and ``component`` the md5 of one text of the
+    class, which no other class has; classes may share an id that is null or repeated. Pairs of different texts are found with
     the given recall at the threshold, and almost surely above it.
     """
     bands, rows = choose_bands(similarity, recall)
@@ -282,12 +283,13 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     joined = joined.withColumn("component", F.coalesce("component", "h"))
     classes = joined.groupBy("component").agg(F.min("least").alias("class_id"))
     ends = cut_lineage(joined.join(classes, "component").select(
-        "h", "class_id", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
+        "h", "component", "class_id", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
     empty = F.col("n") == 0
     return signed.select("doc_id", "h", "n").join(ends, "h").select(
         "doc_id", "h", F.col("n").cast("long").alias("n_shingles"),
         F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(empty, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+        F.when(empty, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
+        "component")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -297,7 +299,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     Documents without words all stay.
     """
     joined = join_similar(docs, key, text, **options)
-    first = joined.filter("n_shingles > 0").groupBy("class_id").agg(
+    first = joined.filter("n_shingles > 0").groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first"))
     keep = first.select(F.col("first.doc_id").alias("_key"), F.col("first.h").alias("_h"))
     whole = F.coalesce(F.col(text), F.lit(""))

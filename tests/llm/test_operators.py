@@ -573,6 +573,13 @@ def test_one_of_each_on_hard_rows(docs, empty):
     assert similar.one_of_each(empty).count() == 0
 
 
+def test_one_of_each_keeps_unlinked_texts_under_one_id(spark):
+    texts = ["one two three four five six", "seven eight nine ten eleven twelve", "alpha beta gamma", "alpha beta gamma"]
+    for key in (None, 7):
+        rows = similar.one_of_each(spark.createDataFrame([(key, t) for t in texts], "doc_id long, text string")).collect()
+        assert sorted(r.text for r in rows) == sorted(set(texts)) and {r.doc_id for r in rows} == {key}
+
+
 def test_bands_reach_the_recall():
     for s, recall in ((0.8, 0.9999), (0.5, 0.9), (0.9, 0.999)):
         bands, rows = similar.choose_bands(s, recall)
