@@ -7,6 +7,7 @@ of bounded size drawn at random; each group is packed on its own.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,21 +26,33 @@ GROUP_PIECES = 8192
 # Fixed value: the pattern that splits a text before the merges of the byte-level vocabulary.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# Fixed value: the special token of the vocabulary; in a text it is one id.
+SPECIAL = "<|endoftext|>"
+#: White space in a row from which texts go to ``tokenizers``; the rank file's reader fails on a million.
+LONG_BLANK = 100_000
+_BLANK = re.compile(r"\s\s+")
+
 _LOADED: dict[str, object] = {}
 
 
+def _needs_tokenizers(text: str) -> bool:
+    """Whether the rank file's reader gives other ids for a text, or none."""
+    return SPECIAL in text or len(text) >= LONG_BLANK and any(
+        m.end() - m.start() >= LONG_BLANK for m in _BLANK.finditer(text))
+
+
 def encoder(path: str):
     """A function from texts to lists of ids for the vocabulary at ``path``, loaded once per process.
 
-    ``.json`` is read by ``tokenizers``. ``.tiktoken`` holds the ranks of the same byte-level
-    merges; it gives the same ids several times faster. Special tokens in a text are plain text.
+    ``.json`` is read by ``tokenizers``, whose ids count. ``.tiktoken`` holds the ranks of the same
+    byte-level merges, several times faster; texts with the special token or with very long white
+    space are left to the ``.json`` of the same name, which must stand beside it for them.
     """
     if path not in _LOADED:
         if path.endswith(".json"):
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             _LOADED[path] = lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
         else:
             import tiktoken
@@ -47,7 +60,9 @@ def encoder(path: str):
             with open(path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             encoding = tiktoken.Encoding(path, pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
-            _LOADED[path] = lambda texts: [encoding.encode_ordinary(t) for t in texts]
+            exact = re.sub(r"\.tiktoken$", "", path) + ".json"
+            _LOADED[path] = lambda texts: [
+                encoder(exact)([t])[0] if _needs_tokenizers(t) else encoding.encode_ordinary(t) for t in texts]
     return _LOADED[path]
 
 

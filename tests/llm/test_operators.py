@@ -499,6 +499,18 @@ def test_both_vocabulary_files_give_the_same_ids(spark, sf_dir):
     assert packing.encoder(queries.vocabulary())(texts) == packing.encoder(queries.vocabulary("byte_bpe_50k.json"))(texts)
 
 
+def test_ids_are_those_of_tokenizers():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext|", "x" + " " * 1_200_000 + "y", "\n" * 1_200_000,
+             "x" + " \t" * 50_000, "it's 12 o'clock  here"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    assert packing.encoder(queries.vocabulary())(texts) == want
+    assert packing.encoder(queries.vocabulary("byte_bpe_50k.json"))(texts) == want
+
+
 def test_packing_wastes_little(spark, sf_dir):
     rows = queries.op8_packing(spark, sf_dir).collect()
     _, sequences = packed_whole(rows, None)
