@@ -105,18 +105,37 @@ def source_limits(places: DataFrame) -> DataFrame:
     return cut_lineage(found, "limits")
 
 
+def _shared(size: Column) -> Column:
+    """Words of a document of this size on the boundary place."""
+    return F.call_function("div", F.col("_rest") * size, F.greatest(F.col("_tied"), F.lit(1)))
+
+
 def _taken(size: Column, at: Column) -> Column:
     """Words taken of a document of this size and place, given its source's limits."""
-    shared = F.call_function("div", F.col("_rest") * size, F.greatest(F.col("_tied"), F.lit(1)))
     more = (F.when(F.col("_low").isNull(), F.when(F.col("_left") > 0, size).otherwise(0))
-            .when(at < F.col("_low"), size).when(at > F.col("_low"), 0).otherwise(shared))
+            .when(at < F.col("_low"), size).when(at > F.col("_low"), 0).otherwise(_shared(size)))
     return (F.when(F.col("_whole"), size).otherwise(0) + more).cast("long")
 
 
-def _places(docs: DataFrame, key: str, source: str, text: str, seed: str) -> DataFrame:
+def _edge_limits(places: DataFrame, limits: DataFrame) -> DataFrame:
+    """``limits`` with the boundary among the texts on a source's boundary place: ``_edge_low`` is a hash of
+    a text, those below it are taken whole, and the copies of the one on it get ``_edge_rest`` words.
+
+    Together they get what ``_taken`` gives them.
+    """
+    edge = places.join(limits, places["source"].eqNullSafe(limits["_source"])).filter("place = _low")
+    shared = _shared(F.col("size"))
+    edge = cut_lineage(edge.select("source", "size", F.col("mark").alias("place"), shared.alias("shared")), "edge")
+    found = _thresholds(edge, cut_lineage(edge.groupBy("source").agg(F.sum("shared").alias("left")), "shared"))
+    found = found.toDF("_edge_source", "_edge_low", "_edge_rest", "_edge_tied")
+    return cut_lineage(limits.join(found, F.col("_source").eqNullSafe(F.col("_edge_source")), "left").drop(
+        "_edge_source", "_edge_tied"), "limits")
+
+
+def _places(docs: DataFrame, key: str, source: str, text: str, seed: str, **more: Column) -> DataFrame:
     return cut_lineage(docs.select(
         F.col(key).alias("doc_id"), F.col(source).alias("source"), word_total(F.col(text)).alias("size"),
-        place(F.col(key), seed).alias("place")), "places")
+        place(F.col(key), seed).alias("place"), *[v.alias(k) for k, v in more.items()]), "places")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: str = "mix:") -> DataFrame:
@@ -139,13 +158,29 @@ def apply_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text
               count: str = "n_chars", seed: str = "mix:") -> DataFrame:
     """``docs`` as the mix takes them, with the columns of ``docs``.
 
-    A document taken twice is there in two rows. One taken in part, which only a source's boundary
-    place has, keeps the first words of its text, and ``count`` follows. Documents without words go.
+    A document taken twice is there in two rows. Texts that share a source's boundary place, such as
+    those with a null or repeated id, are told apart by a hash of the text and taken whole or not; one row
+    of a source at most is taken in part and keeps the first words of its text, and ``count`` follows.
+    A source has as many words as ``mix`` takes. Documents without words go.
     """
-    limits = source_limits(_places(docs, key, source, text, seed))
-    own = packed(docs, words=word_total(F.col(text)), at=place(F.col(key), seed), of=F.col(source), body=F.col(text))
+    mark = place(F.md5(F.coalesce(F.col(text), F.lit(""))), seed)
+    places = _places(docs, key, source, text, seed, mark=mark)
+    limits = _edge_limits(places, source_limits(places))
+    own = packed(docs, words=word_total(F.col(text)), at=place(F.col(key), seed), of=F.col(source), body=F.col(text), mark=mark)
     own = own.join(limits, F.col("of").eqNullSafe(F.col("_source")))
-    own = own.withColumn("taken", _taken(F.col("words"), F.col("at")))
+    on_edge = F.coalesce(F.col("at") == F.col("_low"), F.lit(False))
+    tied = on_edge & F.coalesce(F.col("mark") == F.col("_edge_low"), F.lit(False))
+    more = F.when(on_edge & (F.col("mark") < F.col("_edge_low")), F.col("words")).otherwise(0)
+    apart = own.filter(~tied).withColumn("taken", F.when(
+        on_edge, F.when(F.col("_whole"), F.col("words")).otherwise(0) + more).otherwise(_taken(F.col("words"), F.col("at"))))
+    # copies of the text on the boundary, mostly one row: as many as fit are taken whole, then one in part
+    group = F.when(F.col("of").isNull(), "").otherwise(F.concat(F.lit("="), F.col("of").cast("string")))
+    copies = rank_within(own.filter(tied).withColumn("_group", group), "_group", [F.monotonically_increasing_id()], "_nth")
+    before = (F.col("_nth") - 1) * F.col("words")
+    part = F.greatest(F.lit(0), F.least(F.col("words"), F.col("_edge_rest") - before))
+    copies = copies.withColumn("taken", F.when(F.col("_whole"), F.col("words")).otherwise(0) + part)
+    names = ["row", "words", "body", "taken"]
+    own = apart.select(*names).unionByName(copies.select(*names))
     copies = F.filter(F.array(F.least("taken", "words"), F.col("taken") - F.col("words")), lambda n: n > 0)
     own = own.withColumn("n", F.explode(copies))
     pieces = F.regexp_extract_all("body", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))

@@ -282,6 +282,23 @@ def test_applied_mix_has_the_words_that_were_taken(docs):
     assert found == wanted
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_one_text_of_a_source_is_cut_where_ids_are_equal(spark, key):
+    texts = [" ".join(f"t{i}w{k}" for k in range(5 + i % 7)) for i in range(40)] + ["five words of one copy"] * 9
+    docs = spark.createDataFrame([(key, s, t) for s in ("a", None) for t in texts], "doc_id long, source string, text string")
+    rows, words_of = mixing.apply_mix(docs).collect(), collections.Counter()
+    cut = [(r.source, r.text) for r in rows if r.text not in set(texts)]
+    assert len({s for s, _ in cut}) == len(cut) <= 2
+    for r in rows:
+        words_of[r.source] += len(word_list(r.text))
+    want = collections.Counter()
+    for r in mixing.mix(docs).collect():
+        want[r.source] += r.taken
+    assert words_of == want and len(rows) > len(texts) * 2
+    cut_of = {s: t for s, t in cut}
+    assert {r.text for r in rows if r.source == "a"} >= set(texts) - {cut_of.get("a")}
+
+
 # --- 4 and 5: classifiers ---------------------------------------------------------------------
 
 def test_forest_matches_a_plain_walk():
