@@ -35,7 +35,8 @@ LEAST_WORDS, MOST_REPEATED = 10, 20
 _WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL = regex.compile("[" + regex.escape(SYMBOLS) + "]")
 _SEPARATOR = regex.compile("[" + regex.escape(SEPARATORS) + "]")
-_BOILERPLATE = regex.compile(BOILERPLATE, regex.IGNORECASE)
+#: The phrases as whole words; the sign needs no border.
+_BOILERPLATE = regex.compile(rf"\b(?:{BOILERPLATE})\b|©", regex.IGNORECASE)
 _LOWER, _UPPER = regex.compile(r"\p{Ll}"), regex.compile(r"\p{Lu}")
 _CLOSERS = tuple(CLOSERS)
 

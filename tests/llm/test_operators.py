@@ -454,6 +454,15 @@ def test_line_rules(line, fails):
     assert line_rules.line_fails(line, word_list(line)) == fails
 
 
+@pytest.mark.parametrize("line, fails", [
+    ("The design in this house is older than the street.", False), ("It is a dialog in two acts for three voices.", False),
+    ("The catalog includes maps, prints and letters.", False), ("They spread more butter on the bread.", False),
+    ("Please sign in to see the rest of this page.", True), ("Login to see the rest of this page.", True),
+    ("Read more: the story of the house.", True), ("Text ©2024 by the people of the house.", True)])
+def test_boilerplate_is_whole_words(line, fails):
+    assert line_rules.line_fails(line, word_list(line)) == fails
+
+
 def test_line_first_on_hard_rows(docs, empty):
     rows = line_rules.line_first(docs).collect()
     assert len(rows) == docs.count()
