@@ -4,6 +4,7 @@ import collections
 import html
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -414,6 +415,22 @@ def test_threads(chats):
         "reply_to", "thread_turn", "depth"]
 
 
+LONG_TURN = ("I would like to ask about the tram that runs along the river, because it was late again on Monday. "
+             "Nobody at the stop knew why. The board showed nothing at all for twenty minutes, and then two came at once.")
+
+
+@pytest.mark.parametrize("quote, reply_to, linked", [
+    (textwrap.fill(LONG_TURN, 72, initial_indent="> ", subsequent_indent="> "), 1, 3),
+    (textwrap.fill(LONG_TURN, 30, initial_indent="> ", subsequent_indent="> "), 1, 8),
+    ("> Nobody at the stop knew why.", 1, 1), ("> board showed nothing at all", 1, 1), ("> Why not?", 2, 1),
+    ("> nobody knew of any tram at the river stop today", None, 0)])
+def test_wrapped_and_partial_quotes(spark, quote, reply_to, linked):
+    rows = [(1, 0, "Good morning."), (1, 1, LONG_TURN), (1, 2, "They never say. Why not? Ask them."), (1, 3, f"Anna wrote:\n{quote}\nSo it was.")]
+    got = quotations.thread_messages(spark.createDataFrame(rows, "conv_id long, turn long, text string")).filter("turn = 3").first()
+    assert (got.reply_to, got.n_linked, got.own_text) == (reply_to, linked, "So it was.")
+    assert got.thread_turn == (3 if reply_to is None else reply_to) and got.n_quoted >= linked
+
+
 def test_quotation_oracle_on_quotes(spark, chats, tmp_path):
     path = str(tmp_path / "chats")
     chats.select("conv_id", "turn", "role", "text").coalesce(1).write.parquet(f"{path}/conversations.parquet")
