@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listflow.llm import (
-    extraction, licences, line_rules, media, mixing, packing, quality, quotations, similar, toxicity)
+    extraction, licences, line_rules, media, mixing, packing, prefix_trie, quality, quotations, similar, token_counts, toxicity,
+    whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +20,7 @@ def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
     """Path of a public vocabulary; ``.tiktoken`` holds the same ids as the ``.json`` of its name."""
     import public_tokenizers
 
-    return os.environ.get("LISTFLOW_VOCABULARY") or public_tokenizers.path(name)
+    return public_tokenizers.path(name)
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,21 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "licences", F.array_join("licences", ",")).withColumn("dice", F.round("dice", 9))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), keep=["doc_id"])
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding on the four strongest components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -99,7 +114,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_media_columns, op3_source_mix, op4_quality_classifier, op5_toxicity,
-    op6_quotation_threads, op7_line_rules, op8_packing, op9_ngram_jaccard_join, op10_licence_scan, pipeline)}
+    op6_quotation_threads, op7_line_rules, op8_packing, op9_ngram_jaccard_join, op10_licence_scan,
+    op11_token_counts, op12_conversation_trie, op13_embedding_whitening, pipeline)}
 
 _OP3 = r"""
 with docs as (
@@ -237,4 +253,35 @@ select doc_id, len(units)::bigint as n_units, coalesce(c.n, 0)::bigint as n_cand
 from units left join compared c using (r) left join found f using (r)"""
 
 
-ORACLES = {"op3_source_mix": _OP3, "op6_quotation_threads": _OP6, "op7_line_rules": _op7(), "op10_licence_scan": _op10()}
+# CRC-32 of an id's digits goes bit by bit; turns that share a number don't occur in the given tables.
+_OP12 = r"""
+with turns as (
+  select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} order by turn nulls first) as own
+  from conversations where conv_id is not null group by conv_id),
+hashed as (
+  select conv_id, own, xor(list_reduce(
+    list_prepend(4294967295::bigint, flatten(list_transform(string_split(conv_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, s: case when s >= 0 then xor(a, s) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295) % 9 as h
+  from turns),
+built as (
+  select c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) as seq
+  from hashed c left join hashed b on b.conv_id = c.conv_id - c.conv_id % 5),
+members as (select conv_id, len(seq) as size, seq, unnest(range(0, len(seq) + 1)) as depth from built),
+nodes as (
+  select seq[1:depth] as path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (size = depth), '')) as ends_sha256
+  from members group by all),
+up as (select path, unnest(range(0, depth + 1)) as above, (n_convs - 1) * case when depth > 0 then strlen(path[depth].text) else 0 end as saved from nodes),
+kids as (select path[1:depth - 1] as path, depth - 1 as depth, count(*) as n from nodes where depth > 0 group by all),
+sums as (
+  select up.path[1:above] as path, above as depth, sum(saved) as saved, count(*) filter (k.n is null) as leaves
+  from up left join kids k on k.path = up.path and k.depth = len(up.path) group by all)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(k.n, 0)::bigint as n_children,
+       s.leaves::bigint as n_leaves, s.saved::bigint as saved_tokens, n.ends_sha256
+from nodes n join sums s on s.path = n.path and s.depth = n.depth
+left join kids k on k.path = n.path and k.depth = n.depth
+left join nodes p on p.path = n.path[1:n.depth - 1] and p.depth = n.depth - 1"""
+
+
+ORACLES = {"op3_source_mix": _OP3, "op6_quotation_threads": _OP6, "op7_line_rules": _op7(), "op10_licence_scan": _op10(),
+           "op12_conversation_trie": _OP12}
