@@ -26,64 +26,110 @@ def _fields(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
 
 
+def _holds(v: Column) -> Column:
+    """Whether a value is a list or a node."""
+    return _items(v).isNotNull() | _fields(v).isNotNull()
+
+
 def _nested(v: Column) -> Column:
     """What the walk visits one level below a value."""
-    below = F.filter(F.array(*[_get(v, k) for k in K.JSONLD_CHILD_KEYS]), lambda x: x.isNotNull())
-    return F.coalesce(_items(v), F.when(_fields(v).isNotNull(), below),
-                      F.array().cast("array<variant>"))
+    return F.coalesce(_items(v), F.filter(F.array(*[_get(v, k) for k in K.JSONLD_CHILD_KEYS]), lambda x: x.isNotNull()))
 
 
 def _type_names(v: Column) -> Column:
-    """Lowercased type names of a node."""
+    """Lowercased type names of a node; none of any other value."""
     def names(key):
-        t = _get(v, key)
-        listed = F.filter(F.try_variant_get(t, "$", "array<string>"), lambda x: x.isNotNull())
-        single = F.when(_items(t).isNull() & _fields(t).isNull(), F.try_variant_get(t, "$", "string"))
-        return F.coalesce(listed, F.when(single.isNotNull(), F.array(single)))
+        return let(_get(v, key), lambda t: F.when(t.isNotNull(), F.coalesce(
+            F.filter(F.try_variant_get(t, "$", "array<string>"), lambda x: x.isNotNull()),
+            F.when(_fields(t).isNull() & ~F.is_variant_null(t), F.array(F.try_variant_get(t, "$", "string"))))))
 
     found = F.coalesce(names("@type"), names("type"), F.array().cast("array<string>"))
     return F.transform(found, lambda x: F.lower(x))
 
 
 def _is_event(v: Column) -> Column:
-    return _fields(v).isNotNull() & F.exists(
-        _type_names(v), lambda n: F.contains(n, F.lit("event")) & ~n.isin(*K.JSONLD_NOT_EVENTS))
+    return F.exists(_type_names(v), lambda n: F.contains(n, F.lit("event")) & ~n.isin(*K.JSONLD_NOT_EVENTS))
 
 
 def jsonld_nodes(pages: DataFrame) -> DataFrame:
     """One row per event node (VARIANT) with the page's other columns; a block that does not parse is skipped.
 
-    The walk keeps its frontier in an array of variants and widens it level by level inside
-    the row, so pages are read once and nothing is shuffled.
+    The walk is a fold over levels: it keeps the event nodes found so far and the values of the
+    current level, so pages are read once, nothing is shuffled and no level is kept twice.
     """
     kept = [c for c in pages.columns if c != "html"]
     blocks = pages.select(*kept, F.posexplode(
         F.regexp_extract_all("html", F.lit(_SCRIPT), 1)).alias("block", "code"))
-    walked = blocks.select(*kept, "block", F.try_parse_json("code").alias("payload")).filter(
-        "payload is not null").withColumn("l0", F.array("payload"))
-    for depth in range(K.JSONLD_MAX_DEPTH):
-        walked = walked.withColumn(f"l{depth + 1}", F.flatten(F.transform(f"l{depth}", _nested)))
-    every = F.concat(*[F.col(f"l{d}") for d in range(K.JSONLD_MAX_DEPTH + 1)])
-    return walked.select(*kept, "block", F.posexplode(
-        F.filter(every, _is_event)).alias("node_pos", "node"))
+    parsed = blocks.select(*kept, "block", F.try_parse_json("code").alias("payload"))
+    none = F.array().cast("array<variant>")
+
+    def level(state: Column, _: Column) -> Column:
+        return F.struct(
+            F.concat(state["found"], F.filter(state["front"], _is_event)).alias("found"),
+            F.flatten(F.transform(state["front"], _nested)).alias("front"))
+
+    walked = F.aggregate(F.sequence(F.lit(0), F.lit(K.JSONLD_MAX_DEPTH)),
+                         F.struct(none.alias("found"), F.array("payload").alias("front")), level, lambda state: state["found"])
+    return parsed.select(*kept, "block", F.posexplode(walked).alias("node_pos", "node"))
+
+
+_DEEP = "array<struct<at:int,path:array<int>,text:string>>"
+_CELLS = "array<struct<at:int,path:array<int>,v:variant>>"
+
+
+def _string(v: Column) -> Column:
+    """A scalar's characters; a list or node as JSON text."""
+    return F.try_variant_get(v, "$", "string")
+
+
+def _clean(s: Column) -> Column:
+    return let(text.collapse(s), lambda c: F.when(c != "", c))
 
 
-def coerce_text(v: Column, depth: int = 2) -> Column:
-    """A scalar, the first usable list item, or a node's name-like field, as clean text."""
-    return let(v, lambda x: _coerced(x, depth))
+def coerce_texts(values: Column) -> Column:
+    """The clean text of each of many values (an array of variants): a scalar's own, that of a list's first usable
+    item, or of a node's first usable name-like field, however deep.
 
+    Lists and nodes of all values go down together, a level per step of one fold; what a level yields
+    keeps its way from the top, and the least way of a value is the one a search in depth meets first.
+    """
+    def cell(at: Column, path: Column, v: Column) -> Column:
+        return F.struct(at.alias("at"), path.alias("path"), v.alias("v"))
+
+    def below(x: Column) -> Column:
+        step = lambda v, i: cell(x["at"], F.concat(x["path"], F.array(i)), v)
+        return F.coalesce(F.transform(_items(x["v"]), step),
+                          F.transform(F.array(*[_get(x["v"], k) for k in K.JSONLD_TEXT_KEYS]), step))
+
+    def level(state: Column, _: Column) -> Column:
+        return let(F.flatten(F.transform(state["front"], below)), lambda reached: F.struct(
+            F.concat(state["deep"], F.filter(F.transform(F.filter(reached, lambda x: ~_holds(x["v"])), lambda x: F.struct(
+                x["at"].alias("at"), x["path"].alias("path"), _clean(_string(x["v"])).alias("text"))),
+                lambda x: x["text"].isNotNull())).cast(_DEEP).alias("deep"),
+            F.filter(reached, lambda x: _holds(x["v"])).cast(_CELLS).alias("front")))
+
+    def searched(front: Column) -> Column:
+        # no value nests deeper than it has opening brackets
+        levels = F.array_max(F.transform(front, lambda x: F.length(F.regexp_replace(_string(x["v"]), r"[^\[{]+", ""))))
+        return F.struct(front["at"].alias("held"), F.aggregate(
+            F.sequence(F.lit(1), levels), F.struct(F.array().cast(_DEEP).alias("deep"), front.alias("front")),
+            level, lambda state: state["deep"]).alias("deep"))
+
+    def read(given: Column) -> Column:
+        # scalars may start like a list or node, but lists and nodes start like nothing else
+        like = F.exists(given["s"], lambda s: F.left(s, F.lit(1)).isin("[", "{"))
+        front = F.filter(F.transform(given["v"], lambda v, i: cell(i, F.array().cast("array<int>"), v)), lambda x: _holds(x["v"]))
+        found = F.when(like, let(front.cast(_CELLS), lambda f: F.when(F.size(f) > 0, searched(f))))
+        return let(found, lambda x: F.transform(given["s"], lambda s, i: F.when(
+            F.array_contains(x["held"], i), F.array_min(F.transform(F.filter(x["deep"], lambda d: d["at"] == i), lambda d: F.struct(
+                d["path"].alias("path"), d["text"].alias("text"))))["text"]).otherwise(_clean(s))))
+
+    return let(values, lambda v: let(F.struct(v.alias("v"), F.transform(v, _string).alias("s")), read))
 
-def _coerced(v: Column, depth: int) -> Column:
-    scalar = F.when(_items(v).isNull() & _fields(v).isNull(),
-                    text.clean_text(F.try_variant_get(v, "$", "string")))
-    if not depth:
-        return scalar
-    listed = F.try_element_at(F.filter(F.transform(
-        _items(v), lambda x: _coerced(x, depth - 1)), lambda s: s.isNotNull()), F.lit(1))
-    named = F.try_element_at(F.filter(F.transform(
-        F.array(*[_get(v, k) for k in K.JSONLD_TEXT_KEYS]), lambda x: _coerced(x, depth - 1)),
-        lambda s: s.isNotNull()), F.lit(1))
-    return F.coalesce(scalar, listed, named)
+
+def coerce_text(v: Column) -> Column:
+    """The clean text of one value, as ``coerce_texts`` reads it."""
+    return F.get(coerce_texts(F.array(v)), F.lit(0))
 
 
 def _filled(v: Column) -> Column:
@@ -91,56 +137,91 @@ def _filled(v: Column) -> Column:
     return F.when(~F.is_variant_null(v) & (F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("x")) != ""), v)
 
 
+def _first_of(v: Column, usable) -> Column:
+    """A list's first usable item, or the value itself when it is no list."""
+    return let(v, lambda x: F.coalesce(
+        F.try_element_at(F.filter(_items(x), usable), F.lit(1)), F.when(_items(x).isNull(), x)))
+
+
+_ADDRESS = ["streetAddress", "addressLocality", "addressRegion", "postalCode"]
+_OFFER = ["url", "priceCurrency", "lowPrice", "highPrice"]
+
+
+def _place(node: Column) -> Column:
+    return _first_of(_get(node, "location"), lambda x: _filled(x).isNotNull())
+
+
+def _place_values(place: Column) -> Column:
+    """What ``_place_said`` reads: name, url, the parts of an address that is a node, and an address or place that is none."""
+    address = _first_of(_get(place, "address"), lambda x: _fields(x).isNotNull())
+    return let(address, lambda a: F.array(
+        _get(place, "name"), _get(place, "url"), *[_get(a, k) for k in _ADDRESS],
+        F.when(_fields(a).isNull(), a), F.when(~_holds(place), place)))
+
+
+def _place_said(place: Column, texts: Column) -> Column:
+    name, url, street, city, region, postal, whole, bare = (F.get(texts, F.lit(k)) for k in range(8))
+    virtual = F.exists(_type_names(place), lambda n: F.contains(n, F.lit("virtuallocation")))
+    tail = F.nullif(F.concat_ws(" ", region, postal), F.lit(""))
+    full = F.coalesce(whole, F.nullif(F.concat_ws(", ", street, city, tail), F.lit("")))
+    return F.when(virtual, F.struct(F.coalesce(name, F.lit("Online")).alias("venue_name"), url.alias("venue_address"))).otherwise(
+        F.struct(F.coalesce(name, bare).alias("venue_name"), full.alias("venue_address")))
+
+
+def _offers(node: Column) -> Column:
+    """A node's offers that are nodes themselves; none if it says that it is free."""
+    free = F.lower(F.try_variant_get(node, "$.isAccessibleForFree", "string")) == "true"
+    return F.when(F.coalesce(free, F.lit(False)), F.lit(None)).otherwise(let(_get(node, "offers"), lambda v: F.coalesce(
+        F.filter(F.coalesce(_items(v), F.array(v)), lambda o: _fields(o).isNotNull()), F.array().cast("array<variant>"))))
+
+
+def _offer_values(offers: Column) -> Column:
+    """What ``_price_said`` reads, five values an offer."""
+    return F.flatten(F.transform(offers, lambda offer: F.array(*[_get(offer, k) for k in _OFFER], F.coalesce(
+        _filled(_get(offer, "price")), _filled(_get(_get(offer, "priceSpecification"), "price")), _filled(_get(offer, "lowPrice"))))))
+
+
+def _price_said(offers: Column, url: Column, texts: Column) -> Column:
+    def amount(at: Column) -> Column:
+        part = lambda k: F.get(texts, at + k)
+        return let(F.transform(F.array(part(2), part(3), part(4)), lambda x: price.format_amount(x, part(1))), lambda x: F.when(
+            x[0] != x[1], F.concat(x[0], F.lit(" - "), x[1])).otherwise(x[2]))
+
+    at = F.sequence(F.lit(0), F.size(texts) - 1, F.lit(len(_OFFER) + 1))
+    link = F.try_element_at(F.filter(F.transform(at, lambda i: F.get(texts, i)), lambda u: u.isNotNull()), F.lit(1))
+    return F.when(offers.isNull(), F.struct(F.lit("Free").alias("price"), url.alias("offer_url"))).when(
+        F.size(texts) > 0, F.struct(price.display_range(F.transform(at, amount)).alias("price"), link.alias("offer_url")))
+
+
+def _listing(node: Column) -> Column:
+    """Struct (texts, place, cost) of an event node; all its texts are read together."""
+    field = lambda *keys: F.coalesce(*[_filled(_get(node, k)) for k in keys])
+    own = F.array(
+        _get(node, "name"), field("url", "@id"), field("@id", "identifier"), field("description", "disambiguatingDescription"),
+        _get(node, "startDate"), _get(node, "endDate"), field("image", "photo"), _get(node, "url"))
+
+    def read(x: Column) -> Column:
+        values = F.concat(own, _place_values(x["place"]), F.coalesce(
+            _offer_values(x["offers"]), F.array().cast("array<variant>")))
+        return let(coerce_texts(values), lambda t: F.struct(
+            t.alias("texts"), F.when(x["place"].isNotNull(), let(F.slice(t, 9, 8), lambda p: _place_said(x["place"], p))).alias("place"),
+            let(F.slice(t, F.lit(17), F.size(t)), lambda o: _price_said(x["offers"], t[7], o)).alias("cost")))
+
+    return let(F.struct(_place(node).alias("place"), _offers(node).alias("offers")), read)
+
+
 def jsonld_location(node: Column) -> Column:
     """Struct (venue_name, venue_address) of a node's location."""
-    def first_of(v: Column, usable) -> Column:
-        """A list's first usable item, or the value itself when it is no list."""
-        return let(v, lambda x: F.coalesce(
-            F.try_element_at(F.filter(_items(x), usable), F.lit(1)), F.when(_items(x).isNull(), x)))
-
-    def address_text(a: Column) -> Column:
-        part = lambda k: coerce_text(_get(a, k))
-        tail = F.nullif(F.concat_ws(" ", part("addressRegion"), part("postalCode")), F.lit(""))
-        full = F.concat_ws(", ", part("streetAddress"), part("addressLocality"), tail)
-        return F.when(_fields(a).isNotNull(), F.nullif(full, F.lit(""))).otherwise(coerce_text(a, 0))
-
-    def read(place: Column) -> Column:
-        is_node = _fields(place).isNotNull()
-        virtual = F.exists(_type_names(place), lambda n: F.contains(n, F.lit("virtuallocation")))
-        stated = first_of(_get(place, "address"), lambda x: _fields(x).isNotNull())
-        name = coerce_text(_get(place, "name"))
-        return F.struct(
-            F.when(~is_node, coerce_text(place, 0)).otherwise(
-                F.coalesce(name, F.when(virtual, F.lit("Online")))).alias("venue_name"),
-            F.when(is_node, F.when(virtual, coerce_text(_get(place, "url"))).otherwise(
-                let(stated, address_text))).alias("venue_address"))
-
-    return let(first_of(_get(node, "location"), lambda x: _filled(x).isNotNull()), read)
+    return let(_place(node), lambda p: F.when(p.isNotNull(), let(
+        coerce_texts(_place_values(p)), lambda t: _place_said(p, t))))
 
 
 def jsonld_price(node: Column) -> Column:
     """Struct (price, offer_url): one display text from a node's offers."""
-    def amounts(offer: Column) -> Column:
-        currency = coerce_text(_get(offer, "priceCurrency"), 0)
-        shown = lambda v: price.format_amount(coerce_text(v, 0), currency)
-        single = F.coalesce(
-            _filled(_get(offer, "price")), _filled(_get(_get(offer, "priceSpecification"), "price")),
-            _filled(_get(offer, "lowPrice")))
-        return let(F.struct(shown(_get(offer, "lowPrice")).alias("low"), shown(_get(offer, "highPrice")).alias("high"),
-                            shown(single).alias("single")),
-                   lambda x: F.when(x["low"] != x["high"], F.concat(x["low"], F.lit(" - "), x["high"]))
-                   .otherwise(x["single"]))
-
-    def read(offers: Column) -> Column:
-        link = F.try_element_at(F.filter(F.transform(
-            offers, lambda o: coerce_text(_get(o, "url"), 1)), lambda u: u.isNotNull()), F.lit(1))
-        return F.struct(price.display_range(F.transform(offers, amounts)).alias("price"), link.alias("offer_url"))
-
-    free = F.lower(F.try_variant_get(node, "$.isAccessibleForFree", "string")) == "true"
-    given = let(_get(node, "offers"), lambda v: F.filter(
-        F.coalesce(_items(v), F.array(v)), lambda o: _fields(o).isNotNull()))
-    at_no_cost = F.struct(F.lit("Free").alias("price"), coerce_text(_get(node, "url")).alias("offer_url"))
-    return F.when(free, at_no_cost).otherwise(let(given, read))
+    none = F.array().cast("array<variant>")
+    return let(_offers(node), lambda o: let(
+        coerce_texts(F.concat(F.array(_get(node, "url")), F.coalesce(_offer_values(o), none))),
+        lambda t: let(F.slice(t, F.lit(2), F.size(t)), lambda own: _price_said(o, t[0], own))))
 
 
 def jsonld_events(pages: DataFrame, as_of: str, source: str | None = None) -> DataFrame:
@@ -149,24 +230,21 @@ def jsonld_events(pages: DataFrame, as_of: str, source: str | None = None) -> Da
     ``pages`` (page_id, url, html and, unless ``source`` is given, source).
     """
     label = F.lit(source) if source else F.col("source")
-    nodes = jsonld_nodes(pages)
     node, page, now = F.col("node"), F.col("url"), dates.as_ntz(as_of)
-    field = lambda *keys: coerce_text(F.coalesce(*[_filled(_get(node, k)) for k in keys]))
-    drawn = nodes.withColumns({
-        "_title": coerce_text(_get(node, "name")), "_link": field("url", "@id"),
-        "_id": field("@id", "identifier"), "_desc": field("description", "disambiguatingDescription"),
-        "_start": coerce_text(_get(node, "startDate")), "_end": coerce_text(_get(node, "endDate")),
-        "_image": field("image", "photo"), "_place": jsonld_location(node), "_cost": jsonld_price(node),
-    }).filter("_title is not null")
+    names = ["title", "link", "id", "desc", "start", "end", "image"]
+    # a generator keeps the filter on titles from computing the texts once more
+    drawn = jsonld_nodes(pages).select(label.alias("source"), "url", "page_id", "block", "node_pos", "node", F.explode(
+        F.filter(F.array(_listing(node)), lambda x: x["texts"][0].isNotNull())).alias("r")).select(
+        "source", "url", "page_id", "block", "node_pos", "node", "r.place", "r.cost",
+        *[F.col("r.texts")[k].alias(f"_{n}") for k, n in enumerate(names)])
+    link = urls.absolute_url(page, F.col("_link"))
     listing = drawn.select(
-        label.alias("source"), F.coalesce("_id", urls.absolute_url(page, F.col("_link")), page).alias("source_id"),
-        F.coalesce(urls.absolute_url(page, F.col("_link")), page).alias("url"),
+        "source", F.coalesce("_id", link, page).alias("source_id"), F.coalesce(link, page).alias("url"),
         F.col("_title").alias("title"), text.strip_html(F.col("_desc")).alias("description"),
         dates.parse_event_dt(F.col("_start"), now).alias("start_dt"),
         dates.parse_event_dt(F.col("_end"), now).alias("end_dt"),
-        F.col("_place.venue_name").alias("venue_name"), F.col("_place.venue_address").alias("venue_address"),
-        F.col("_cost.price").alias("price"),
-        urls.absolute_url(page, F.col("_cost.offer_url")).alias("register_url"),
+        F.col("place.venue_name").alias("venue_name"), F.col("place.venue_address").alias("venue_address"),
+        F.col("cost.price").alias("price"), urls.absolute_url(page, F.col("cost.offer_url")).alias("register_url"),
         urls.absolute_url(page, F.col("_image")).alias("image_url"),
         structs.jsonable(F.struct(F.lit("json-ld").alias("_parser"), page.alias("_page_url"),
                                   F.to_json(node).alias("jsonld"))).alias("raw"),

@@ -132,3 +132,28 @@ def test_zones_of_landed_times(spark):
     assert got == {**dict.fromkeys("zpew", "2026-08-22 09:00:00"), "n": None, "x": None}
     instant = spark.sql("select timestamp'2026-08-22 16:00:00 UTC' as start_dt")
     assert str(src.conform(instant).first()["start_dt"]) == "2026-08-22 09:00:00"
+
+
+def test_jsonld_text_at_any_depth(spark):
+    deep = "[[[[{\"text\":{\"contentUrl\":[null,\"\",\"/buy/deep\"]}}]]]]"
+    nodes = [
+        '{"@type":"Event","name":{"name":[{"url":["Deep title"]}]},"url":"/e/1","offers":[{"url":%s,"price":{"name":[[{"text":"Donation"}]]}}],'
+        '"location":{"name":[{"name":{"name":"Hall"}}],"address":{"streetAddress":[["1 Pine St"]],"addressLocality":{"name":"Seattle"}}}}' % deep,
+        '{"@type":"Event","name":"[Sold out] {tonight}","offers":{"price":"5"},"location":"{Hall}"}',
+        '{"@type":"Event","name":["",{"name":null,"url":"  "},[{"@id":"Second item"}]],"location":[null,{"@type":"VirtualLocation"}]}',
+        '{"@type":"Event","name":{"description":"no name"}}']
+    rows = [(i, "https://x.example/p", f'<script type="application/ld+json">{n}</script>') for i, n in enumerate(nodes)]
+    out = jsonld.jsonld_events(spark.createDataFrame(rows, "page_id long, url string, html string"), AS_OF, "venue_site")
+    found = [(r.title, r.price, r.register_url, r.venue_name, r.venue_address) for r in out.orderBy("title").collect()]
+    assert found == [
+        ("Deep title", "Donation", "https://x.example/buy/deep", "Hall", "1 Pine St, Seattle"),
+        ("Second item", None, None, "Online", None),
+        ("[Sold out] {tonight}", "$5", None, "{Hall}", None)]
+
+
+def test_jsonld_plans_stay_small(spark):
+    pages = spark.createDataFrame([(1, "https://x.example/p", "")], "page_id long, url string, html string")
+    read = jsonld.jsonld_nodes(pages).select(jsonld.jsonld_location(F.col("node")), jsonld.jsonld_price(F.col("node")))
+    assert len(read._jdf.queryExecution().optimizedPlan().toString()) < 25_000
+    events = jsonld.jsonld_events(pages, AS_OF, "venue_site")
+    assert len(events._jdf.queryExecution().optimizedPlan().toString()) < 60_000
