@@ -197,7 +197,9 @@ def _interlaced(rows: np.ndarray) -> np.ndarray:
 
 
 def read_gif(raw: bytes) -> Iterator[Frame]:
-    """The frames of a GIF in order. What follows damage in the container is not read.
+    """The frames of a GIF in order. What follows damage in the container is not read: a file cut anywhere
+    gives the frames before the cut, a frame outside the canvas ends the reading, and a canvas larger than
+    the file's bytes can fill has no frames.
 
     Disposal 2 clears the frame's area and 3 brings back what was there before it; the frame's
     transparent index leaves the canvas as it is. A frame of no delay starts with the next one.
@@ -208,8 +210,14 @@ def read_gif(raw: bytes) -> Iterator[Frame]:
     at, shared = 13, None
     if flags & 0x80:
         size = 2 << (flags & 7)
-        shared = np.frombuffer(raw[at:at + 3 * size], np.uint8).reshape(-1, 3)
+        shared = np.frombuffer(raw[at:at + 3 * size], np.uint8)
+        if len(shared) < 3 * size:
+            return
+        shared = shared.reshape(-1, 3)
         at += 3 * size
+    # a code of three bits at least stands for 4096 pixels at most
+    if width * height > len(raw) * 8 // 3 * 4096:
+        return
     canvas = np.zeros((height, width, 3), np.uint8)
     delay, disposal, transparent, start = 0, 0, None, 0
     while at < len(raw):
@@ -225,9 +233,12 @@ def read_gif(raw: bytes) -> Iterator[Frame]:
             palette = shared
             if packed & 0x80:
                 size = 2 << (packed & 7)
-                palette = np.frombuffer(raw[at:at + 3 * size], np.uint8).reshape(-1, 3)
+                palette = np.frombuffer(raw[at:at + 3 * size], np.uint8)
+                if len(palette) < 3 * size:
+                    return
+                palette = palette.reshape(-1, 3)
                 at += 3 * size
-            if at >= len(raw) or not 2 <= raw[at] <= 8:
+            if at >= len(raw) or not 2 <= raw[at] <= 8 or left + w > width or top + h > height:
                 return
             stream, after = _sub_blocks(raw, at + 1)
             index = np.frombuffer(lzw_decode(stream, raw[at], w * h), np.uint8).reshape(h, w)
