@@ -36,7 +36,7 @@ _WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL = regex.compile("[" + regex.escape(SYMBOLS) + "]")
 _SEPARATOR = regex.compile("[" + regex.escape(SEPARATORS) + "]")
 #: The phrases as whole words; the sign needs no border.
-_BOILERPLATE = regex.compile(rf"\b(?:{BOILERPLATE})\b|©", regex.IGNORECASE)
+_BOILERPLATE = regex.compile(rf"(?<![\p{{L}}\p{{N}}_])(?:{BOILERPLATE})(?![\p{{L}}\p{{N}}_])|©", regex.IGNORECASE)
 _LOWER, _UPPER = regex.compile(r"\p{Ll}"), regex.compile(r"\p{Lu}")
 _CLOSERS = tuple(CLOSERS)
 

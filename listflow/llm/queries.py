@@ -199,7 +199,7 @@ judged as (
   select r, i, x, w, len(w) as n, (
     (regexp_matches(x, '[{separators}]') and 5 * len(regexp_extract_all(x, '[{separators}]')) >= len(w))
     or (len(w) < {line_rules.UNFINISHED_WORDS} and not regexp_matches(w[-1], '[{closers}]$'))
-    or (len(w) <= {line_rules.BOILERPLATE_WORDS} and regexp_matches(x, '(?i){line_rules.BOILERPLATE}'))
+    or (len(w) <= {line_rules.BOILERPLATE_WORDS} and regexp_matches(x, '(?i)(^|[^\p{{L}}\p{{N}}_])(?:{line_rules.BOILERPLATE})([^\p{{L}}\p{{N}}_]|$)|©'))
     or 2 * len(regexp_extract_all(x, '[{symbols}]')) >= len(w)
     or (len(w) >= 3 and not regexp_matches(x, '\p{{Ll}}') and len(regexp_extract_all(x, '\p{{Lu}}')) >= 6)
     or (len(w) >= 10 and 3 * list_unique(w) <= len(w))) as fails
