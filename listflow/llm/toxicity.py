@@ -53,7 +53,7 @@ LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "
 STEMS = (4, 5, 6, 7)
 #: Words and stems of the learnt lexicon at most, toxic documents that must hold one, the evidence (G squared)
 #: that it goes with toxic documents, and by how much it is more frequent there.
-MAX_LEARNT, LEAST_HOLDERS, LEAST_EVIDENCE, LEAST_RATIO = 2000, 3, 15.0, 30.0
+LEAST_HOLDERS, LEAST_EVIDENCE, LEAST_RATIO = 3, 15.0, 30.0
 #: Words between a lexicon word and the second person that count as close.
 NEAR = 5
 
@@ -261,7 +261,7 @@ def calibrated(x: np.ndarray, y: np.ndarray, folds: int = 5, **trees) -> tuple[b
 
 
 def learn_lexicon(sampled: DataFrame) -> Learnt:
-    """Words that go with toxic documents, from (_text, _label); at most ``MAX_LEARNT`` come to the driver."""
+    """Words that go with toxic documents, from (_text, _label); all whose evidence suffices in the bounded sample."""
     totals = sampled.agg(F.count_if(F.col("_label") == 1).alias("bad"), F.count_if(F.col("_label") == 0).alias("good")).first()
     if not totals.bad or not totals.good:
         return Learnt()
@@ -280,7 +280,7 @@ def learn_lexicon(sampled: DataFrame) -> Learnt:
     evidence = 2 * sum(F.when(n > 0, n * F.log(n / e)).otherwise(0.0) for n, e in expected)
     often = bad / totals.bad > LEAST_RATIO * good / totals.good
     chosen = (found.filter((bad >= LEAST_HOLDERS) & often).withColumn("evidence", evidence)
-              .filter(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.desc("evidence"), "term").limit(MAX_LEARNT))
+              .filter(F.col("evidence") >= LEAST_EVIDENCE))
     return Learnt(sorted(r.term for r in chosen.collect()))
 
 
