@@ -155,38 +155,31 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
 
 def apply_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
-              count: str = "n_chars", seed: str = "mix:") -> DataFrame:
+              seed: str = "mix:") -> DataFrame:
     """``docs`` as the mix takes them, with the columns of ``docs``.
 
     A document taken twice is there in two rows. Texts that share a source's boundary place, such as
-    those with a null or repeated id, are told apart by a hash of the text and taken whole or not; one row
-    of a source at most is taken in part and keeps the first words of its text, and ``count`` follows.
-    A source has as many words as ``mix`` takes. Documents without words go.
+    those with a null or repeated id, are told apart by a hash of the text. Every document is taken whole or
+    not at all: of a source's one document that ``mix`` takes in part, the nearer of the two. So a source's
+    words differ from what ``mix`` takes by half of one document at most. Documents without words go.
     """
     mark = place(F.md5(F.coalesce(F.col(text), F.lit(""))), seed)
     places = _places(docs, key, source, text, seed, mark=mark)
     limits = _edge_limits(places, source_limits(places))
-    own = packed(docs, words=word_total(F.col(text)), at=place(F.col(key), seed), of=F.col(source), body=F.col(text), mark=mark)
+    own = packed(docs, words=word_total(F.col(text)), at=place(F.col(key), seed), of=F.col(source), mark=mark)
     own = own.join(limits, F.col("of").eqNullSafe(F.col("_source")))
     on_edge = F.coalesce(F.col("at") == F.col("_low"), F.lit(False))
     tied = on_edge & F.coalesce(F.col("mark") == F.col("_edge_low"), F.lit(False))
     more = F.when(on_edge & (F.col("mark") < F.col("_edge_low")), F.col("words")).otherwise(0)
     apart = own.filter(~tied).withColumn("taken", F.when(
         on_edge, F.when(F.col("_whole"), F.col("words")).otherwise(0) + more).otherwise(_taken(F.col("words"), F.col("at"))))
-    # copies of the text on the boundary, mostly one row: as many as fit are taken whole, then one in part
+    # copies of the text on the boundary, mostly one row: as many as come nearest
     group = F.when(F.col("of").isNull(), "").otherwise(F.concat(F.lit("="), F.col("of").cast("string")))
     copies = rank_within(own.filter(tied).withColumn("_group", group), "_group", [F.monotonically_increasing_id()], "_nth")
     before = (F.col("_nth") - 1) * F.col("words")
-    part = F.greatest(F.lit(0), F.least(F.col("words"), F.col("_edge_rest") - before))
+    part = F.when(2 * (F.col("_edge_rest") - before) >= F.col("words"), F.col("words")).otherwise(0)
     copies = copies.withColumn("taken", F.when(F.col("_whole"), F.col("words")).otherwise(0) + part)
-    names = ["row", "words", "body", "taken"]
-    own = apart.select(*names).unionByName(copies.select(*names))
-    copies = F.filter(F.array(F.least("taken", "words"), F.col("taken") - F.col("words")), lambda n: n > 0)
-    own = own.withColumn("n", F.explode(copies))
-    pieces = F.regexp_extract_all("body", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    first = F.regexp_replace(F.array_join(F.slice(pieces, 1, F.col("n").cast("int")), ""), r"[\x20\x09-\x0D]+$", "")
-    whole = F.col("n") == F.col("words")
-    changed = {text: F.when(whole, F.col("body")).otherwise(first)}
-    if count in docs.columns:
-        changed[count] = F.when(whole, F.col("row")[count]).otherwise(F.length(first)).cast(docs.schema[count].dataType)
-    return unpacked(own, docs.columns, **changed)
+    names = ["row", "words", "taken"]
+    own = apart.select(*names).unionByName(copies.select(*names)).filter("words > 0")
+    return unpacked(own.withColumn("n", F.explode(F.sequence(F.lit(0), F.floor(F.col("taken") / F.col("words")).cast("int")))).filter(
+        "n > 0"), docs.columns)
