@@ -28,16 +28,16 @@ ROLES = frozenset(
     "navigation banner contentinfo complementary search menu menubar dialog alert alertdialog toolbar form".split())
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist "
-    "consent cookie cookies copyright disclaimer discussion disqus footer gdpr header masthead menu modal nav "
+    "consent cookie cookies copyright disclaimer discussion disqus feedback footer gdpr header masthead menu modal nav "
     "navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended "
-    "related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
+    "related replies respond responses share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
     "tags toolbar toc widget widgets".split())
 #: Furniture that is so whatever it holds; the other names may also stand on a wrapper around the main text.
 _SURE_TAGS = FURNITURE - {"form", "fieldset", "object"}
 _SURE_WORDS = frozenset(
     "advertisement advertising breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright "
-    "disclaimer discussion disqus footer gdpr nav navbar navigation newsletter pager pagination promoted promotion "
-    "recommended related replies respond signup sponsored subscribe subscription".split())
+    "disclaimer discussion disqus feedback footer gdpr nav navbar navigation newsletter pager pagination promoted promotion "
+    "recommended related replies respond responses signup sponsored subscribe subscription".split())
 #: Names that tell a state of the page, such as ``has-sidebar`` or ``comments-closed``, not what an element is.
 _STATE = re.compile(r"(?i)(?:no|not|has|with|without|hide|show)[-_].*|.*[-_](?:open|opened|closed|off|disabled|hidden)")
 
@@ -227,8 +227,8 @@ def _without_wrappers(lines: list[Line]) -> list[Line]:
 def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """The lines between surge and dive points, joined by newlines.
 
-    In a page that marks its main content, all lines of it that are not furniture are kept. Else
-    ``window`` lines are summed from each line on. Text surges at a line whose sum exceeds
+    ``window`` lines are summed from each line on. In a page that marks its main content, its lines count
+    as longer than ``surge`` and all others as furniture. Text surges at a line whose sum exceeds
     ``surge`` and dives at the next line whose sum is zero or that is furniture.
     Where nothing surges, the run with the most text is kept. Lines between other dives stay if they
     stand in the same container as kept ones. Null or no text gives ''.
@@ -236,7 +236,10 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     lines = page_lines(page or "")
     marked = [x for x in lines if x.content and not x.furniture]
     if any(x.plain for x in marked) or marked and not any(x.plain and not x.furniture for x in lines):
-        return "\n".join(x.text for x in marked)
+        # the marks raise the lengths of all main content, so that its short and linked lines surge too, and zero the rest
+        for x in lines:
+            x.furniture = x.furniture or not x.content
+            x.plain += surge + 1 if x.text else 0
     lengths = [0 if x.furniture else x.plain for x in lines]
     sums, total = [], 0
     for i in range(len(lines) - 1, -1, -1):

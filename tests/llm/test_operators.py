@@ -124,6 +124,50 @@ def test_pages_of_the_table(spark, sf_dir):
         assert row.n_chars == len(row.text)
 
 
+def plain_surges(lines, window, surge):
+    """The lines between surge and dive points as the definition puts it, sums taken anew for each line."""
+    lengths = [0 if f else n for n, f in lines]
+    sums = [sum(lengths[i:i + window]) for i in range(len(lines))]
+    kept, runs, inside = [], [], None
+    for i, (n, f) in enumerate(lines):
+        if inside is None and lengths[i]:
+            inside = [i]
+        elif inside is not None and sums[i] and not f:
+            inside.append(i)
+        elif inside is not None:
+            runs.append(inside)
+            inside = None
+    runs += [inside] if inside else []
+    for run in runs:
+        last = max(i for i in run if lengths[i])
+        if any(sums[i] > surge for i in run):
+            kept += range(run[0], last + 1)
+    if not kept and runs:
+        best = max(runs, key=lambda r: sum(lengths[i] for i in r))
+        kept = list(range(best[0], max(i for i in best if lengths[i]) + 1))
+    return kept
+
+
+@given(st.lists(st.tuples(st.integers(1, 60), st.sampled_from(["p", "p", "p", "linked", "linked", "linked", "nav"])), max_size=25))
+@settings(max_examples=300, deadline=None)
+def test_surge_and_dive_points(blocks):
+    page = "".join({"p": f"<p>{i:03d}{'x' * n}</p>", "linked": f"<p><a>{i:03d}{'x' * n}</a></p>", "nav": f"<nav>{i:03d}{'x' * n}</nav>"}[kind]
+                   for i, (n, kind) in enumerate(blocks))
+    lines = [(n + 3 if kind == "p" else 0, kind == "nav") for n, kind in blocks]
+    if any(n for n, _ in lines):
+        assert [int(t[:3]) for t in extraction.main_text(page).split("\n")] == plain_surges(lines, 3, 80)
+    for mark in ("article", "main"):
+        marked = extraction.main_text(f"<p>Before it a long line stands that would surge on its own, if nothing said where the text is.</p><{mark}>{page}</{mark}>")
+        if any(kind == "p" for _, kind in blocks):
+            assert [int(t[:3]) for t in marked.split("\n")] == [i for i, (_, kind) in enumerate(blocks) if kind != "nav"]
+
+
+def test_comment_blocks_of_other_names():
+    for name in ("user-responses", "reader-feedback", "comment-thread"):
+        page = f"<div><p>{'A story is told here. ' * 9}</p></div><div class={name}><p>{'A reader says a lot. ' * 5}</p></div>"
+        assert extraction.main_text(page) == ("A story is told here. " * 9).strip()
+
+
 def test_hostile_markup_is_linear():
     for piece in ("<p>", "<a '", "<div class=\"", "<!--", "<b><i>", "&amp;", "<"):
         extraction.main_text(piece * 20000)
@@ -211,8 +255,15 @@ def test_interlaced_rows():
 
 def test_damaged_files_have_what_was_before():
     raw = media.write_gif(b"a" * media.UNIT)
-    for cut in (0, 5, 13, 800, len(raw) - 3):
-        list(media.read_gif(raw[:cut]))
+    square = ((0, 0, 2, 2), [1, 2, 3, 0], 1, None, b"\0\0\0\xff\xff\xff" + b"\0" * 6)
+    for whole in (raw, gif([square] * 2)):
+        frames = [len(list(media.read_gif(whole[:cut]))) for cut in range(len(whole) + 1)]
+        assert frames[0] == 0 and frames == sorted(frames) and frames[-1] == len(list(media.read_gif(whole))) > 0
+
+
+def test_sizes_beyond_the_file_are_refused():
+    assert list(media.read_gif(b"GIF89a\xff\xff\xff\xff\0\0\0;")) == []
+    assert list(media.read_gif(gif([((1, 0, 2, 2), [1, 2, 3, 0], 1, None, None)]))) == []
     assert list(media.read_gif(b"no gif at all, really")) == []
 
 
@@ -271,33 +322,35 @@ def test_mix_of_hard_rows(docs, empty):
     assert sorted(map(str, mixing.mix(docs).collect())) == sorted(map(str, rows))
 
 
-def test_applied_mix_has_the_words_that_were_taken(docs):
-    applied = mixing.apply_mix(docs)
+def plain_difference(rows, mixed):
+    """Words of each source in the applied mix less those that the mix takes, and its longest text."""
+    difference, longest = collections.Counter(), collections.Counter()
+    for r in rows:
+        difference[r.source] += len(word_list(r.text))
+    for r in mixed:
+        difference[r.source] -= r.taken
+        longest[r.source] = max(longest[r.source], r.size)
+    return difference, longest
+
+
+def test_applied_mix_takes_whole_documents(docs):
+    applied, mixed = mixing.apply_mix(docs), mixing.mix(docs).collect()
     assert applied.columns == docs.columns
-    found, wanted = collections.Counter(), collections.Counter()
-    for r in applied.collect():
-        found[r.source] += len(word_list(r.text))
-        assert r.n_chars is None or r.doc_id is None or r.n_chars == len(r.text)
-    for r in mixing.mix(docs).collect():
-        wanted[r.source] += r.taken
-    assert found == wanted
+    rows = applied.collect()
+    given = collections.Counter(map(str, docs.collect()))
+    assert all(n <= 2 * given[r] for r, n in collections.Counter(map(str, rows)).items())
+    difference, longest = plain_difference(rows, mixed)
+    assert all(2 * abs(n) <= longest[s] for s, n in difference.items())
 
 
 @pytest.mark.parametrize("key", [None, 7])
-def test_one_text_of_a_source_is_cut_where_ids_are_equal(spark, key):
+def test_texts_of_equal_ids_are_taken_whole(spark, key):
     texts = [" ".join(f"t{i}w{k}" for k in range(5 + i % 7)) for i in range(40)] + ["five words of one copy"] * 9
     docs = spark.createDataFrame([(key, s, t) for s in ("a", None) for t in texts], "doc_id long, source string, text string")
-    rows, words_of = mixing.apply_mix(docs).collect(), collections.Counter()
-    cut = [(r.source, r.text) for r in rows if r.text not in set(texts)]
-    assert len({s for s, _ in cut}) == len(cut) <= 2
-    for r in rows:
-        words_of[r.source] += len(word_list(r.text))
-    want = collections.Counter()
-    for r in mixing.mix(docs).collect():
-        want[r.source] += r.taken
-    assert words_of == want and len(rows) > len(texts) * 2
-    cut_of = {s: t for s, t in cut}
-    assert {r.text for r in rows if r.source == "a"} >= set(texts) - {cut_of.get("a")}
+    rows = mixing.apply_mix(docs).collect()
+    assert {r.text for r in rows} == set(texts) and len(rows) > len(texts) * 2
+    difference, longest = plain_difference(rows, mixing.mix(docs).collect())
+    assert all(2 * abs(n) <= longest[s] for s, n in difference.items())
 
 
 # --- 4 and 5: classifiers ---------------------------------------------------------------------
@@ -474,12 +527,26 @@ def test_line_rules(line, fails):
 @pytest.mark.parametrize("line, fails", [
     ("The design in this house is older than the street.", False), ("It is a dialog in two acts for three voices.", False),
     ("The catalog includes maps, prints and letters.", False), ("They spread more butter on the bread.", False),
+    ("Ask the_log in which all was written down.", False), ("The log in2 is not a word of theirs at all.", False),
     ("Please sign in to see the rest of this page.", True), ("Login to see the rest of this page.", True),
     ("Read more: the story of the house.", True), ("Text ©2024 by the people of the house.", True)])
 def test_boilerplate_is_whole_words(line, fails):
     assert line_rules.line_fails(line, word_list(line)) == fails
 
 
+def test_oracle_says_the_same_on_borders(spark):
+    lines = ["The design in this house is older.", "Please sign in.", "é log in é of the house today.", "blog inside the house today, they say.",
+             "(Sign up) for more of it all, please.", "sign_in is no phrase of theirs at all.", "Text ©2024 by the people of it all.", "read more2 of it all in there today.",
+             "Read more", "über uns: privacy policyé of it all today."]
+    rows = [(i, " ".join(["One plain line of ten words is here for all."] * 1) + "\n" + x) for i, x in enumerate(lines)]
+    own = {r.doc_id: r.n_failed_lines for r in line_rules.line_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    found = con.execute(f"select doc_id, n_failed_lines from ({queries.ORACLES['op7_line_rules']})").fetchall()
+    assert dict(found) == own
+
+
 def test_line_first_on_hard_rows(docs, empty):
     rows = line_rules.line_first(docs).collect()
     assert len(rows) == docs.count()
