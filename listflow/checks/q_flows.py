@@ -14,7 +14,7 @@ from listflow.operators import changes
 from listflow.plans import clean, gather
 from listflow.session import scratch_path
 from listflow.sources import listings as src
-from listflow.streaming import changes as st
+from listflow.streaming import changes as st, slices
 
 FP = ("listings", "fingerprints")
 ALL = ("listings", "fingerprints", "scores")
@@ -153,7 +153,7 @@ def st3_stream_merge(t):
     state = scratch_path(t.spark, "state")
     empty = t.fingerprints.filter(F.lit(False))
     _two_runs(t, lambda s, mark: st.stream_merge(s, state, mark, empty, st.merge_seen(AS_OF)))
-    return st.read_snapshot(t.spark, state).select("fingerprint", "content_hash", F.lit("once").alias("kept"))
+    return slices.read(t.spark, state).select("fingerprint", "content_hash", F.lit("once").alias("kept"))
 
 
 @register("st4_run_available", "select source, count(*) as n, count(start_dt) as n_dated from listings group by source", ("listings",))

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from listflow.functions import dates, keys
 from listflow.operators import changes, filters
+from listflow.streaming import slices
 
 _CHANGES = "fingerprint string, pos long, change string, content_hash string"
 _TRACKED = "fingerprint string, start_ms long, status string"
@@ -39,7 +40,7 @@ def change_step(as_of: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     now = dates.as_ntz(as_of)
 
     def step(current: DataFrame, batch: DataFrame) -> DataFrame:
-        c = current.drop("change", "pos").alias("c")
+        c = current.alias("c")
         b = _first_copies(batch).select("fingerprint", "content_hash", "pos").alias("b")
         seen = F.col("b.pos").isNotNull()
         return c.join(b, "fingerprint", "full_outer").select(
@@ -62,9 +63,8 @@ def stream_changes(listings: DataFrame, state: str, checkpoint: str, initial: Da
 
 
 def read_changes(spark: SparkSession, state: str) -> DataFrame:
-    """New and changed listings of every batch, with the batch's ``version``."""
-    return spark.read.parquet(state).filter("change in ('new', 'changed')").select(
-        "version", "fingerprint", "pos", "change", "content_hash")
+    """New and changed listings of every batch, with the batch's ``version``; the state is not read."""
+    return spark.read.parquet(f"{state}/changes").select("version", "fingerprint", "pos", "change", "content_hash")
 
 
 def _emit_change(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -143,36 +143,22 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> str:
     return out
 
 
-def snapshot_versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the versions that were written to the end."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    whole = [s.getPath() for s in fs.listStatus(folder)
-             if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return sorted(int(p.getName().split("=")[1]) for p in whole if p.getName().startswith("version="))
-
-
-def read_snapshot(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete version, or the newest one before a batch."""
-    found = [v for v in snapshot_versions(spark, path) if before is None or v < before]
-    return spark.read.parquet(f"{path}/version={found[-1]}") if found else None
+def _listing_keys(batch: DataFrame) -> DataFrame:
+    return changes.with_keys(filters.normalize_listing(batch))
 
 
 def stream_merge(stream: DataFrame, path: str, checkpoint: str, initial: DataFrame,
-                 merge: Callable[[DataFrame, DataFrame], DataFrame]) -> str:
-    """Apply a snapshot merge per micro-batch.
+                 merge: Callable[[DataFrame, DataFrame], DataFrame], key: str = "fingerprint",
+                 keyed: Callable[[DataFrame], DataFrame] = _listing_keys, n_slices: int = slices.SLICES) -> str:
+    """Apply a merge per micro-batch to the state in hash slices of ``key`` (``streaming/slices.py``).
 
-    Batch N reads the newest version before N and writes version N, so a batch that is run
-    again after a failure writes the same version again.
+    ``merge(current, batch)`` gives the new rows of the slices that the batch's keys, as ``keyed`` has
+    them, fall into; all other slices stay as they are. A batch that is run again after a failure
+    makes the same version again; a lost checkpoint goes on from the newest version.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        current = read_snapshot(spark, path, batch_id)
-        merged = merge(initial if current is None else current, batch)
-        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        slices.advance(path, initial, batch, keyed(batch), key, merge, run, batch_id, n_slices)
 
     query = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

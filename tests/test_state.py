@@ -9,7 +9,7 @@ from listflow.operators import changes, filters, ranking, work
 from listflow.plans import clean, gather
 from listflow.session import scratch_path
 from listflow.sources import listings as src
-from listflow.streaming import changes as st
+from listflow.streaming import changes as st, slices
 
 SF = "/root/testdata/sf0.001"
 
@@ -118,18 +118,56 @@ def test_stream_in_many_files_equals_one_batch(t, spark):
     assert news.count() == fresh.count()
 
 
-def test_stream_merge_reruns_write_the_same_version(t, spark):
+def test_lost_checkpoint_goes_on_from_the_state(t, spark):
     landed, state, mark = (scratch_path(spark, x) for x in ("landed", "state", "mark"))
     t.listings.write.parquet(landed)
     stream = spark.readStream.schema(t.listings.schema).parquet(landed)
     empty = t.fingerprints.filter(F.lit(False))
-    st.stream_merge(stream, state, mark, empty, st.merge_seen(AS_OF))
-    assert st.snapshot_versions(spark, state) == [0]
-    st.stream_merge(stream, state, scratch_path(spark, "mark"), empty, st.merge_seen(AS_OF))
-    assert st.snapshot_versions(spark, state) == [0]
+    st.stream_changes(stream, state, mark, empty, AS_OF)
+    assert slices.versions(spark, state) == [0]
+    st.stream_changes(stream, state, mark, empty, AS_OF)
+    assert slices.versions(spark, state) == [0]
+    found = st.read_changes(spark, state).count()
+    st.stream_changes(stream, state, scratch_path(spark, "mark"), empty, AS_OF)
+    assert slices.versions(spark, state) == [0, 1]
     fresh = changes.with_keys(filters.dedupe_same_source(t.listings))
-    assert same(st.read_snapshot(spark, state).select("fingerprint", "content_hash"),
-                fresh.select("fingerprint", "content_hash"))
+    assert same(slices.read(spark, state).select("fingerprint", "content_hash"), fresh.select("fingerprint", "content_hash"))
+    assert st.read_changes(spark, state).count() == found == fresh.count()
+
+
+def _upsert(current, batch):
+    return current.join(batch, "k", "left_anti").unionByName(batch.filter("v <> 'gone'"))
+
+
+def test_a_batch_rewrites_only_the_slices_of_its_keys(spark):
+    path = scratch_path(spark, "state")
+    initial = spark.range(2000).selectExpr("id as k", "'old' as v")
+    batches = [spark.createDataFrame([(k, "new") for k in keys], "k long, v string") for keys in ([1], range(20), [], [3000, 1])]
+    want = {k: "old" for k in range(2000)}
+    for n, batch in enumerate(batches):
+        assert slices.advance(path, initial, batch, batch, "k", _upsert, "run", n) == n
+        want |= {r.k: r.v for r in batch.collect()}
+        assert {r.k: r.v for r in slices.read(spark, path).collect()} == want
+        rewritten = spark.read.schema("k long, v string, slice int").parquet(f"{path}/slices/version={n}").select("slice").distinct().count()
+        touched = batch.select(slices.slice_of("k", slices.SLICES)).distinct().count()
+        assert rewritten == (touched if n else slices.SLICES)
+    # the last batch once more makes the same version, from the one before
+    again = spark.createDataFrame([(5, "again")], "k long, v string")
+    assert slices.advance(path, initial, again, again, "k", _upsert, "run", 3) == 3
+    del want[3000]
+    want |= {5: "again"}
+    assert {r.k: r.v for r in slices.read(spark, path).collect()} == want
+    assert {r.k: r.v for r in slices.read(spark, path, before=1).collect()}[5] == "old"
+
+
+def test_slices_that_lose_all_rows(spark):
+    path = scratch_path(spark, "state")
+    initial = spark.createDataFrame([(1, "old"), (2, "old")], "k long, v string")
+    for n, rows in enumerate(([(1, "gone")], [(2, "gone")], [], [(7, "new")])):
+        batch = spark.createDataFrame(rows, "k long, v string")
+        slices.advance(path, initial, batch, batch, "k", _upsert, "run", n)
+    assert [tuple(r) for r in slices.read(spark, path).collect()] == [(7, "new")]
+    assert slices.read(spark, path, before=3).count() == 0 and slices.read(spark, scratch_path(spark, "none")) is None
 
 
 def test_repeated_keys_are_one_row(spark):
