@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import (
+    ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues)
 
 from listflow.functions import dates, keys
 from listflow.operators import changes, filters
@@ -16,6 +16,9 @@ from listflow.streaming import slices
 _CHANGES = "fingerprint string, pos long, change string, content_hash string"
 _TRACKED = "fingerprint string, start_ms long, status string"
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def epoch_ms(c: Column) -> Column:
     """Milliseconds since the epoch of Pacific wall-clock time."""
@@ -67,18 +70,21 @@ def read_changes(spark: SparkSession, state: str) -> DataFrame:
     return spark.read.parquet(f"{state}/changes").select("version", "fingerprint", "pos", "change", "content_hash")
 
 
-def _emit_change(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    first = found = None
-    for batch in batches:
-        pos = batch["pos"].to_numpy()
-        at = int(pos.argmin())
-        if first is None or pos[at] < first:
-            first, found = int(pos[at]), batch["content_hash"].iat[at]
-    known = state.get[0] if state.exists else None
-    if first is not None and found != known:
-        state.update((found,))
-        yield pd.DataFrame({"fingerprint": [key[0]], "pos": [first],
-                            "change": ["new" if known is None else "changed"], "content_hash": [found]})
+class _Changes(StatefulProcessor):
+    """The last content hash of each key; a row where a batch's first one differs."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._known = handle.getValueState("known", "content_hash string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        first = min(rows, key=lambda r: r.pos)
+        known = self._known.get()[0] if self._known.exists() else None
+        if first.content_hash != known:
+            self._known.update((first.content_hash,))
+            yield Row(fingerprint=key[0], pos=first.pos, change="new" if known is None else "changed", content_hash=first.content_hash)
+
+    def close(self) -> None:
+        pass
 
 
 def stream_changes_keyed(listings: DataFrame) -> DataFrame:
@@ -88,8 +94,7 @@ def stream_changes_keyed(listings: DataFrame) -> DataFrame:
     as a run keeps the first of its same-source duplicates.
     """
     keyed = changes.with_keys(filters.normalize_listing(listings)).select("fingerprint", "pos", "content_hash")
-    return keyed.groupBy("fingerprint").applyInPandasWithState(
-        _emit_change, _CHANGES, "content_hash string", "append", GroupStateTimeout.NoTimeout)
+    return keyed.groupBy("fingerprint").transformWithState(_Changes(), _CHANGES, "Append", "None")
 
 
 def stream_dedupe(listings: DataFrame, delay: str = "12 hours") -> DataFrame:
@@ -98,28 +103,34 @@ def stream_dedupe(listings: DataFrame, delay: str = "12 hours") -> DataFrame:
     return keyed.dropDuplicatesWithinWatermark(["source", "source_key"])
 
 
-def _track(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        start = state.get[0]
-        state.remove()
-        yield pd.DataFrame({"fingerprint": [key[0]], "start_ms": [start], "status": ["expired"]})
-        return
-    start = floor = None
-    for batch in batches:
-        starts = batch["start_ms"].to_numpy()
-        at = int(starts.argmax())
-        if start is None or starts[at] > start:
-            start, floor = int(starts[at]), int(batch["floor_ms"].iat[at])
-    if floor <= state.getCurrentWatermarkMs():
-        if state.exists:
-            state.remove()
-        yield pd.DataFrame({"fingerprint": [key[0]], "start_ms": [start], "status": ["too_late"]})
-        return
-    fresh = not state.exists
-    state.update((start,))
-    state.setTimeoutTimestamp(floor)
-    if fresh:
-        yield pd.DataFrame({"fingerprint": [key[0]], "start_ms": [start], "status": ["tracked"]})
+class _Track(StatefulProcessor):
+    """The start of each tracked key, with a timer where its lead falls below the floor."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._tracked = handle.getValueState("tracked", "start_ms long, floor_ms long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        last = max(rows, key=lambda r: r.start_ms)
+        known = self._tracked.get() if self._tracked.exists() else None
+        if known is not None:
+            self._handle.deleteTimer(known[1])
+        if last.floor_ms <= timerValues.getCurrentWatermarkInMs():
+            self._tracked.clear()
+            yield Row(fingerprint=key[0], start_ms=last.start_ms, status="too_late")
+            return
+        self._tracked.update((last.start_ms, last.floor_ms))
+        self._handle.registerTimer(last.floor_ms)
+        if known is None:
+            yield Row(fingerprint=key[0], start_ms=last.start_ms, status="tracked")
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        start = self._tracked.get()[0]
+        self._tracked.clear()
+        yield Row(fingerprint=key[0], start_ms=start, status="expired")
+
+    def close(self) -> None:
+        pass
 
 
 def expire_late(listings: DataFrame, floor_days: int = 2) -> DataFrame:
@@ -131,15 +142,20 @@ def expire_late(listings: DataFrame, floor_days: int = 2) -> DataFrame:
     keyed = listings.filter("start_dt is not null").select(
         keys.fingerprint(F.col("source"), F.col("source_id")).alias("fingerprint"),
         start.alias("start_ms"), (start - floor_days * 86_400_000).alias("floor_ms"), "seen_at")
-    return keyed.groupBy("fingerprint").applyInPandasWithState(
-        _track, _TRACKED, "start_ms long", "append", GroupStateTimeout.EventTimeTimeout)
+    return keyed.groupBy("fingerprint").transformWithState(_Track(), _TRACKED, "Append", "EventTime")
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str) -> str:
-    """Process everything that has landed, append it to ``out``, and stop."""
-    query = (stream.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
-    query.awaitTermination()
+    """Process everything that has landed, append it to ``out``, and stop. Keyed state is kept in RocksDB."""
+    conf = stream.sparkSession.conf
+    before = conf.get(_PROVIDER, None)
+    conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        query = (stream.writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+        query.awaitTermination()
+    finally:
+        conf.unset(_PROVIDER) if before is None else conf.set(_PROVIDER, before)
     return out
 
 
