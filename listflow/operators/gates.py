@@ -50,35 +50,62 @@ def draft_gate(drafts: DataFrame, profile: str = "default") -> DataFrame:
             .withColumn("retry_from", F.when(~F.col("ok"), "s4_write")))
 
 
+_RUN = re.compile(r"[^\W_]+")
+
+
+def _marked(c: Column) -> Column:
+    """Text in which every run of letters and digits stands between two \\x01 and two \\x02, and white space is one blank."""
+    blank = F.regexp_replace(F.translate(c, "\x01\x02", "\x03\x03"), r"\s+", " ")
+    return F.regexp_replace(blank, r"[\p{L}\p{N}]+", "\x01\x01$0\x02\x02")
+
+
+def _needles(term: str, mode: str) -> list[tuple[str, int]]:
+    """What to look for, and whether it counts for or against the term.
+
+    In marked text whole words are plain substrings; a needle takes one of the two marks at its ends, so
+    that neighbours share none. A term that begins or ends with another sign must not touch a letter or
+    digit there, so such places are taken off again.
+    """
+    if mode == "substring":
+        return [(term, 1)]
+    own = _RUN.sub("\x01\x01\\g<0>\x02\x02", " ".join(term.lower().split()))
+    heads = [("", 1)] if own.startswith("\x01") else [("", 1), ("\x02", -1)]
+    tails = [("", 1)] if own.endswith("\x02") else [("", 1), ("\x01", -1)]
+    own = own.removeprefix("\x01").removesuffix("\x02")
+    return [(h + own + t, x * y) for h, x in heads for t, y in tails]
+
+
 def lexicon_hits(texts: DataFrame, lexicon: dict[str, list[str]] | None = None, key: str = "doc_id",
                  body: str = "text", mode: str = "word") -> DataFrame:
     """(key, category, term, n) for every listed term a text holds.
 
     The lexicon rides along as a literal array, so there is no join and no shuffle. Only terms
-    whose first word (or, in substring mode, whose text) occurs at all are counted.
+    whose first word (or, in substring mode, whose text) occurs at all are counted, by the length
+    that the text loses with them; no pattern is compiled for a term.
     """
     terms = [(c, x) for c, listed in (lexicon or K.DRAFT_LEXICON).items() for x in listed]
-    probe = (lambda x: re.findall(r"[^\W_]+", x.lower())[0]) if mode == "word" else (lambda x: x)
-    pattern = text.word_pattern if mode == "word" else (lambda x: rf"\Q{x}\E")
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("category"), F.lit(x).alias("term"), F.lit(probe(x)).alias("probe"),
-                 F.lit(pattern(x)).alias("pattern")) for c, x in terms])
-    probes = F.array(*[F.lit(p) for p in sorted({probe(x) for _, x in terms})])
+    probe = (lambda x: _RUN.findall(x.lower())[0]) if mode == "word" else (lambda x: x)
+    entries = F.lit([[c, x, probe(x)] for c, x in terms])
+    needles = F.lit([[n for n, _ in _needles(x, mode)] for _, x in terms])
+    signs = F.lit([[s for _, s in _needles(x, mode)] for _, x in terms])
+    probes = F.lit(sorted({probe(x) for _, x in terms}))
 
     def occurring(t: Column) -> Column:
         if mode == "word":
             return F.array_intersect(probes, F.split(t, r"[^\p{L}\p{N}]+"))
         return F.filter(probes, lambda p: F.contains(t, p))
 
-    def count(x: Column) -> Column:
-        return F.transform(
-            F.filter(entries, lambda e: F.array_contains(x["found"], e["probe"])),
-            lambda e: F.struct(e["category"].alias("category"), e["term"].alias("term"),
-                               F.regexp_count(x["t"], e["pattern"]).alias("n")))
-
-    counted = let(F.lower(body), lambda t: let(
-        F.struct(t.alias("t"), occurring(t).alias("found")),
-        lambda x: F.when(F.size(x["found"]) > 0, count(x))))
+    def times(t: Column, needle: Column) -> Column:
+        return ((F.length(t) - F.length(F.replace(t, needle, F.lit("")))) / F.length(needle)).cast("int")
+
+    def count(t: Column, found: Column) -> Column:
+        held = F.filter(F.sequence(F.lit(0), F.lit(len(terms) - 1)), lambda i: F.array_contains(found, entries[i][2]))
+        return F.transform(held, lambda i: F.struct(
+            entries[i][0].alias("category"), entries[i][1].alias("term"), F.aggregate(
+                F.zip_with(needles[i], signs[i], lambda n, s: times(t, n) * s), F.lit(0), lambda a, x: a + x).alias("n")))
+
+    counted = let(F.lower(body), lambda low: let(occurring(low), lambda found: F.when(
+        F.size(found) > 0, let(_marked(low) if mode == "word" else low, lambda t: count(t, found)))))
     return (texts.select(key, F.explode(F.filter(counted, lambda h: h["n"] > 0)).alias("h"))
             .select(key, "h.*"))
 

@@ -1,6 +1,8 @@
 """Text gates and documents on written cases."""
 
 import json
+import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -46,6 +48,27 @@ def test_lexicon_word_boundaries(spark):
                    (4, v, "deep dive"): 1, (4, v, "dive deep"): 1}
 
 
+def test_lexicon_counts_as_patterns_do(spark):
+    lexicon = {"a": ["ha ha", "certainly!", "state-of-the-art", "ok", "n°", "-free"], "b": [f"word{i}" for i in range(2000)] + ["ok"]}
+    parts = ["ha", "Ha", "certainly!", "certainly", "!", "state-of-the-art", "state", "-", "of", "ok", "OK.", "n°", "-free", "x", "é", "word7",
+             "word77", "\x01", "\n", "  ", "°"]
+    draw = random.Random(6)
+    texts = ["".join(draw.choice(parts) + draw.choice(["", " ", " ", "\n\t"]) for _ in range(30)) for _ in range(60)] + ["", "ok"]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(99, None)], "doc_id long, text string")
+    got = {(r["doc_id"], r["category"], r["term"]): r["n"] for r in gates.lexicon_hits(df, lexicon).collect()}
+    want = {}
+    for i, t in enumerate(texts):
+        for c, listed in lexicon.items():
+            for x in listed:
+                quoted = r"[ \t\n\x0b\f\r]+".join(map(re.escape, x.split()))
+                n = len(re.findall(rf"(?<![^\W_]){quoted}(?![^\W_])", t.lower()))
+                if n:
+                    want[i, c, x] = n
+    assert got == want
+    inside = {(r["doc_id"], r["term"]): r["n"] for r in gates.lexicon_hits(df, {"a": ["ha", "k"]}, mode="substring").collect()}
+    assert inside == {(i, x): t.lower().count(x) for i, t in enumerate(texts) for x in ("ha", "k") if x in t.lower()}
+
+
 def test_metadata_rules(spark):
     rows = [draft(1), draft(2, meta_title="x" * 61), draft(3, meta_title="A | B"), draft(4, meta_description="Soon in Ballard"),
             draft(5, slug_stem="regatta-august-2026"), draft(6, hook="w " * 31), draft(7, disclaimer="Other."), draft(8, slug_stem="Row!")]
