@@ -11,11 +11,26 @@ LISTING_KEYS = (
     "venue_name", "venue_address", "price", "register_url", "image_url", "raw",
 )
 
-# Source ranking, highest priority first; an unknown source ranks last.
+# Source ranking, highest priority first; an unknown source ranks by the host of its url, else last.
 SOURCE_ORDER = (
     "eventbrite", "venue_site", "visitseattle", "seattlegov", "do206", "thestranger", "reddit",
 )
 
+# Host, or end of a host, -> the source that an unknown source on it ranks like.
+HOST_SOURCES = {
+    "eventbrite.com": "eventbrite",
+    "visitseattle.org": "visitseattle",
+    "seattle.gov": "visitseattle",
+    "kingcounty.gov": "visitseattle",
+    "parks.wa.gov": "visitseattle",
+    "everout.com": "do206",
+    "thestranger.com": "do206",
+    "do206.com": "do206",
+    "meetup.com": "do206",
+    "facebook.com": "do206",
+    "reddit.com": "reddit",
+}
+
 # Source -> authority tier used when checking agreement.
 SOURCE_TIERS = {
     "eventbrite": "eventbrite",

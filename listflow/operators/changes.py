@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listflow import constants as K
-from listflow.functions import dates, keys
+from listflow.functions import dates, keys, urls
+from listflow.functions.binding import let
 from listflow.operators import filters
 
 
@@ -72,11 +73,18 @@ def merge_fingerprints(current: DataFrame, updates: DataFrame, as_of: str) -> Da
     )
 
 
-def source_priority(source: Column) -> Column:
-    """Position in the source ranking, unknown sources last."""
+def source_priority(source: Column, url: Column | None = None) -> Column:
+    """Position in the source ranking; an unknown source ranks by the longest listed end of its url's host, else last."""
     order = F.array(*[F.lit(s) for s in K.SOURCE_ORDER])
     at = F.array_position(order, source)
-    return F.when(at > 0, at - 1).otherwise(len(K.SOURCE_ORDER)).cast("int")
+    last = F.lit(len(K.SOURCE_ORDER))
+    if url is not None:
+        ranks = F.lit([K.SOURCE_ORDER.index(s) for s in K.HOST_SOURCES.values()])
+        last = F.coalesce(let(F.split(urls.host_of(url), r"\."), lambda labels: F.get(ranks, F.try_element_at(F.filter(F.transform(
+            F.sequence(F.lit(1), F.size(labels)),
+            lambda k: F.array_position(F.lit(list(K.HOST_SOURCES)), F.array_join(F.slice(labels, k, F.size(labels)), "."))),
+            lambda p: p > 0), F.lit(1)).cast("int") - 1)), last)
+    return F.when(at > 0, at - 1).otherwise(last).cast("int")
 
 
 def gather_reasons(listings: DataFrame, fingerprints: DataFrame, scores: DataFrame, as_of: str,

@@ -27,10 +27,14 @@ def _stated(members: DataFrame, field: str) -> Column:
     return c.isNotNull() if dict(members.dtypes)[field] != "string" else ~text.is_blank(c)
 
 
+def _tier(members: DataFrame) -> Column:
+    return source_priority(F.col("source"), F.col("url") if "url" in members.columns else None)
+
+
 def _contender(members: DataFrame, field: str) -> Column:
     """Sort key then payload of one member's value; null when it states none."""
     return F.when(_stated(members, field), F.struct(
-        source_priority(F.col("source")).alias("tier"),
+        _tier(members).alias("tier"),
         (-_specificity(field)).alias("spec"),
         F.col("pos").alias("pos"),
         F.col(field).alias("value"),
@@ -42,7 +46,7 @@ def field_rank(members: DataFrame, field: str) -> DataFrame:
     """Contenders for one field with their rank inside the group, best first."""
     stated = members.filter(_stated(members, field))
     ranked = rank_within(stated, "group_id", [
-        source_priority(F.col("source")), -_specificity(field), F.col("pos")])
+        _tier(members), -_specificity(field), F.col("pos")])
     return ranked.select("group_id", "member_id", F.col(field).alias("value"), "rank")
 
 

@@ -90,3 +90,20 @@ def test_held_verdict(spark):
     assert (unseen["event_id"], unseen["n_sources"], unseen["verdict"]) == (1, 0, "HELD")
     assert verdict((1, "eventbrite", True, at, venue, "$35", "sold_out"))["verdict"] == "HELD"
     assert verdict((1, "eventbrite", True, "2026-08-22 00:00:00", venue, "donation", None))["verdict"] == "HELD"
+
+
+def test_unknown_sources_rank_by_host(spark):
+    from listflow.operators.changes import source_priority
+    rows = [("feed", "https://tickets.eventbrite.com/e/1", 0), ("feed", "https://www.parks.wa.gov:443/x", 2), ("x", "https://EverOut.com/a", 4),
+            ("x", "https://old.reddit.com/r/Seattle", 6), ("x", "https://notseattle.gov/a", 7), ("x", "https://seattle.gov.example/a", 7),
+            ("x", None, 7), (None, "", 7), ("reddit", "https://eventbrite.com/e", 6), ("venue_site", None, 1)]
+    df = spark.createDataFrame(rows, "source string, url string, want int")
+    assert all(r.want == r.got for r in df.withColumn("got", source_priority(F.col("source"), F.col("url"))).collect())
+    members = spark.createDataFrame([
+        (1, "a", "reddit", 0, "https://reddit.com/1", "Reddit"), (1, "b", "partner feed", 1, "https://tickets.eventbrite.com/e/1", "Eventbrite"),
+        (1, "c", "venue_site", 2, "https://hall.example", "Hall")],
+        "group_id long, member_id string, source string, pos long, url string, title string")
+    best = merging.survivorship(members, ("title",)).first()
+    assert best["title"] == "Eventbrite" and best["provenance"] == {"title": "partner feed"}
+    ranks = {r["member_id"]: r["rank"] for r in merging.field_rank(members, "title").collect()}
+    assert ranks == {"b": 1, "c": 2, "a": 3}
