@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listflow import constants as K
 from listflow.functions import geo, text
 from listflow.operators import transit
+from listflow.operators.lookups import lookup
 from listflow.session import cut_lineage, dimension
 
 #: Aliases accepted on read, nested then flat; the result always has the first flat name.
@@ -70,7 +71,7 @@ def geocode_lookup(venues: DataFrame, gazetteer: DataFrame) -> DataFrame:
         F.round("lon", 6).alias("found_lon"))
     known = known.groupBy("_q").agg(F.min(F.struct("found_lat", "found_lon")).alias("_at")).select("_q", "_at.*")
     keyed = venues.withColumn("_q", geocode_key(F.col("venue_name"), F.col("venue_address")))
-    return keyed.join(known, "_q", "left").drop("_q")
+    return lookup(keyed, known, "_q").drop("_q")
 
 
 def library_frame(spark: SparkSession) -> DataFrame:
@@ -162,14 +163,13 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
     areas = neighborhood_of(places, library, aliases).groupBy("lat4", "lon4").agg(
         F.min("neighborhood").alias("_area"))
     located = (
-        placed.withColumns({"lat4": F.round("lat", 4), "lon4": F.round("lon", 4)})
-        .join(areas, ["lat4", "lon4"], "left")
+        lookup(placed.withColumns({"lat4": F.round("lat", 4), "lon4": F.round("lon", 4)}), areas, "lat4", "lon4")
         .withColumn("neighborhood", F.coalesce("neighborhood", "_area"))
         .drop("lat4", "lon4", "_area")
     )
     located = cut_lineage(located, "located")
     pictures = photos.groupBy("venue_url").agg(F.min("photo_url").alias("_photo"))
-    shown = stock_image(located.join(pictures, "venue_url", "left"), library, aliases)
+    shown = stock_image(lookup(located, pictures, "venue_url"), library, aliases)
     no_image = F.col("image_url").isNull()
     venue_photo = F.col("venue_name").isNotNull() & F.col("_photo").isNotNull()
     stock = F.nullif(F.col("stock_url"), F.lit(""))
@@ -188,7 +188,7 @@ def enrich_events(events: DataFrame, gazetteer: DataFrame, places: DataFrame, ph
     near = transit.transit_arrays(ranked, "_site").select(
         F.col("_site.lat").alias("lat"), F.col("_site.lon").alias("lon"),
         F.col("transit").alias("_stops"))
-    out = pictured.join(near, ["lat", "lon"], "left")
+    out = lookup(pictured, near, "lat", "lon")
     kinds, shape = dict(out.dtypes), dict(near.dtypes)["_stops"]
     given = [F.from_json(c, shape) if kinds[c] == "string" else F.col(c) for c in stored]
     given = [F.when(F.size(c) > 0, c) for c in given]

@@ -107,3 +107,21 @@ def test_unknown_sources_rank_by_host(spark):
     assert best["title"] == "Eventbrite" and best["provenance"] == {"title": "partner feed"}
     ranks = {r["member_id"]: r["rank"] for r in merging.field_rank(members, "title").collect()}
     assert ranks == {"b": 1, "c": 2, "a": 3}
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    from listflow.operators.lookups import lookup
+    rows = spark.range(20000).selectExpr("id", "case when id % 2 = 0 then null else id % 500 end as k", "case when id % 3 = 0 then null else 1L end as j")
+    table = spark.range(500).selectExpr("id as k", "1L as j", "id * 10 as v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = lookup(rows, table, "k", "j")
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] < 3 * sizes[len(sizes) // 2]
+        want = {i: None if i % 2 == 0 or i % 3 == 0 else i % 500 * 10 for i in range(20000)}
+        assert {r.id: r.v for r in out.collect()} == want and out.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
+        spark.conf.set("spark.sql.adaptive.enabled", before[1])
