@@ -1,9 +1,13 @@
 """N-gram Jaccard join by MinHash banding, verified on full n-gram sets.
 
 Equal texts are joined once, as a class. Texts whose minimum hashes agree in a band share a bucket.
-Buckets are split into cells of bounded size: a bucket of many texts becomes blocks, and every pair
-of blocks is a cell. Inside a cell, pairs are compared as arrays; only a text's number of links and
-a spanning forest of the links leave it, so nothing grows with the square of a group.
+Classes are found in rounds: every text of a bucket is compared with one representative, linked
+texts become one class over all buckets, and only buckets that still hold several classes go on. A
+class of m near copies so costs about m comparisons a round. What rounds don't settle is compared
+whole, but only across classes: the largest class of a bucket against the others, in cells of blocks.
+
+The number of links of a text is another matter: it needs every pair of its class, so its cells
+grow with the square of a class. It is a step of its own (``links``), within classes only.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listflow.llm.frames import packed, schema_with, unpacked
@@ -130,12 +134,15 @@ def _candidates(cell: pd.DataFrame, bands: int, similarity: float) -> np.ndarray
     """(pairs, 2): places in the cell of pairs that meet here first and whose set sizes allow the similarity.
 
     In a cell of two blocks, only pairs across them. A pair that agrees in an earlier band is that
-    band's, so every pair is looked at once.
+    band's, so every pair is looked at once. Texts with one ``part`` are known to be of one class and are
+    no pair; a null part says nothing.
     """
     own = np.frombuffer(b"".join(cell["bands"]), np.uint64).reshape(-1, bands)
     n = cell["n"].to_numpy()
     band, i, j = (int(cell[c].iloc[0]) for c in ("band", "i", "j"))
     block = cell["block"].to_numpy()
+    known = cell["part"].notna().all()
+    part = cell["part"].to_numpy()
     left, right = (np.flatnonzero(block == i), np.flatnonzero(block == j)) if i != j else (np.arange(len(cell)),) * 2
     found = []
     step = max(1, (1 << 22) // max(1, len(right) * max(1, band)))
@@ -143,6 +150,8 @@ def _candidates(cell: pd.DataFrame, bands: int, similarity: float) -> np.ndarray
         some = left[at:at + step]
         low, high = np.minimum(n[some][:, None], n[right]), np.maximum(n[some][:, None], n[right])
         fits = (low >= similarity * high - 1e-9) & (low > 0)
+        if known:
+            fits &= part[some][:, None] != part[right]
         if band:
             fits &= ~(own[some, None, :band] == own[None, right, :band]).any(axis=2)
         a, b = np.nonzero(fits)
@@ -213,34 +222,119 @@ def _cell_job(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame | Non
     return rows.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInPandas(run, schema)
 
 
-def _links(docs: DataFrame, texts: DataFrame, similarity: float, bands: int, width: int, block: int,
-           max_broadcast: int) -> DataFrame:
-    """(h, links, low) for the cells of distinct ``texts`` (h, w, n, bands): links that a text has in a
-    cell, counted with copies, and the least text it is connected with there."""
-    own = texts.filter("n > 0")
-    band = F.sequence(F.lit(0), F.lit(bands - 1))
+def _needed_sets(docs: DataFrame, names: DataFrame, width: int, max_broadcast: int) -> DataFrame:
+    """(h, shingles) of the texts in ``names`` (h), once each; copies have equal sets, so any one stands for all."""
+    needed = cut_lineage(names.distinct(), "needed")
+    found = docs.join(F.broadcast(needed) if needed.count() <= max_broadcast else needed, "h", "left_semi")
+    return _sets(found, width).groupBy("h").agg(F.first("shingles").alias("shingles"))
+
+
+def _shared_buckets(texts: DataFrame, bands: int) -> DataFrame:
+    """(h, n, band, bucket, part) for every bucket of several ``texts`` (h, n, bands); each text is its own part."""
     # a band's hash is in eight bytes of the signature
-    buckets = F.transform(band, lambda k: F.struct(
+    buckets = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.struct(
         k.alias("band"), F.xxhash64(k, F.substring(F.hex("bands"), k * 16 + 1, F.lit(16))).alias("bucket")))
-    met = own.select("h", F.explode(buckets).alias("b")).select("h", "b.band", "b.bucket")
-    many = met.groupBy("bucket", "band").agg(F.count("*").alias("m")).filter("m > 1")
-    members = met.join(many, ["bucket", "band"]).join(own, "h")
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    members = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("h"), blocks).cast("int")})
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cells = members.select("*", other).select(
-        "h", "w", "n", "bands", "bucket", "band", "block",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    columns = "h string, w long, n int, bands binary, bucket long, band int, block int, i int, j int"
+    met = texts.filter("n > 0").select("h", "n", F.explode(buckets).alias("b")).select("h", "n", "b.band", "b.bucket")
+    many = met.groupBy("bucket", "band").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
+    return met.join(many, ["bucket", "band"]).select("h", "n", "band", "bucket", F.col("h").alias("part"))
+
+
+def _open_buckets(met: DataFrame) -> DataFrame:
+    """(bucket, band, main, m_main, n_main, m_rest, n_rest) of buckets with several parts: the largest part, and the
+    texts and shingles in it and outside it."""
+    parts = met.groupBy("bucket", "band", "part").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    sums = parts.groupBy("bucket", "band").agg(
+        F.max(F.struct("m", "n", "part")).alias("main"), F.sum("m").alias("m"), F.sum("n").alias("n"))
+    return sums.select("bucket", "band", F.col("main.part").alias("main"), F.col("main.m").alias("m_main"),
+                       F.col("main.n").alias("n_main"), (F.col("m") - F.col("main.m")).alias("m_rest"),
+                       (F.col("n") - F.col("main.n")).alias("n_rest")).filter("m_rest > 0")
+
+
+def _star_pairs(met: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """(h, rep): texts with their bucket's representative of this turn, of another part and of a size that allows a link."""
+    order = F.struct(F.xxhash64(F.lit(turn), "h").alias("o"), "h", "n", "part")
+    reps = met.groupBy("bucket", "band").agg(F.min(order).alias("r"))
+    fits = F.least("n", "r.n") >= similarity * F.greatest("n", "r.n") - 1e-9
+    return met.join(reps, ["bucket", "band"]).filter((F.col("part") != F.col("r.part")) & fits).select(
+        "h", F.col("r.h").alias("rep")).distinct()
+
+
+def _star_links(pairs: DataFrame, docs: DataFrame, similarity: float, width: int, block: int, max_broadcast: int) -> DataFrame:
+    """(src, dst): the ``pairs`` (h, rep) whose sets are similar.
+
+    A representative's texts are dealt over slices, each with a copy of its set before them, which is all
+    that a task keeps.
+    """
+    dealt = pairs.join(pairs.groupBy("rep").agg(F.count("*").alias("m")), "rep").select(
+        "h", "rep", F.pmod(F.xxhash64("h"), F.ceil(F.col("m") / block)).cast("int").alias("slice"), F.lit(1).alias("role"))
+    heads = dealt.select(F.col("rep").alias("h"), "rep", "slice", F.lit(0).alias("role")).distinct()
+    rows = dealt.unionByName(heads)
+    rows = rows.join(_needed_sets(docs, rows.select("h"), width, max_broadcast), "h")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        head = np.zeros(0, np.uint64)
+        for batch in batches:
+            linked = []
+            for h, rep, role, data in zip(batch["h"], batch["rep"], batch["role"], batch["shingles"]):
+                own = np.frombuffer(data, np.uint64)
+                if role == 0:
+                    head = own
+                    continue
+                at = np.minimum(np.searchsorted(head, own), len(head) - 1)
+                shared = int((head[at] == own).sum())
+                if shared >= similarity * (len(own) + len(head) - shared) - 1e-9:
+                    linked.append((rep, h))
+            if linked:
+                yield pd.DataFrame(linked, columns=["src", "dst"])
+
+    return rows.repartition("rep", "slice").sortWithinPartitions("rep", "slice", "role").select(
+        "h", "rep", "role", "shingles").mapInPandas(run, "src string, dst string")
+
+
+def _blocks(texts: Column, shingle_count: Column, block: int) -> Column:
+    """Blocks for so many texts: at most about ``block`` texts and a million shingles in each."""
+    return F.ceil(F.greatest(texts / block, shingle_count / (1 << 20))).cast("int")
+
+
+def _across(met: DataFrame, texts: DataFrame, open_buckets: DataFrame, block: int) -> DataFrame:
+    """Cells of all pairs of different parts: the blocks outside a bucket's largest part against all its blocks."""
+    first, more = _blocks(F.col("m_main"), F.col("n_main"), block), _blocks(F.col("m_rest"), F.col("n_rest"), block)
+    own = met.join(open_buckets, ["bucket", "band"]).select(
+        "h", "bucket", "band", F.xxhash64("part").alias("part"), (F.col("part") != F.col("main")).alias("rest"),
+        first.alias("first"), more.alias("more"))
+    slot = F.xxhash64("h")
+    own = own.withColumn("block", F.when(F.col("rest"), F.col("first") + F.pmod(slot, "more")).otherwise(F.pmod(slot, "first")).cast("int"))
+    other = F.sequence(F.when(F.col("rest"), F.lit(0)).otherwise(F.col("first")), F.col("first") + F.col("more") - 1)
+    return _placed(own, texts, other)
+
+
+def _within(met: DataFrame, texts: DataFrame, block: int) -> DataFrame:
+    """Cells of all pairs of one part, for counts of links."""
+    key = ["bucket", "band", "part"]
+    sums = met.groupBy(*key).agg(F.count("*").alias("m"), F.sum("n").alias("s")).filter("m > 1")
+    own = met.join(sums, key).withColumn("blocks", _blocks(F.col("m"), F.col("s"), block)).withColumns({
+        "block": F.pmod(F.xxhash64("h"), "blocks").cast("int"), "bucket": F.xxhash64("bucket", "part"),
+        "part": F.lit(None).cast("long")})
+    return _placed(own, texts, F.sequence(F.lit(0), F.col("blocks") - 1))
+
+
+def _placed(own: DataFrame, texts: DataFrame, other: Column) -> DataFrame:
+    """A row for each text and cell: its block with each of the ``other`` blocks."""
+    rows = own.select("h", "bucket", "band", "part", "block", F.explode(other).alias("other")).join(texts, "h")
+    return rows.select("h", "w", "n", "bands", "bucket", "band", "part", "block",
+                       F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
+def _cell_links(cells: DataFrame, docs: DataFrame, similarity: float, bands: int, width: int, max_broadcast: int) -> DataFrame:
+    """(h, links, low) for the cells: links that a text has in a cell, counted with copies, and the
+    least text it is connected with there."""
+    columns = "h string, w long, n int, bands binary, bucket long, band int, part long, block int, i int, j int"
 
     def meeting(cell: pd.DataFrame) -> pd.DataFrame:
         return cell.iloc[np.unique(_candidates(cell, bands, similarity))]
 
     met_first = cut_lineage(_cell_job(cells, meeting, columns), "cells")
-    needed = cut_lineage(met_first.select("h").distinct(), "needed")
-    found = docs.join(F.broadcast(needed) if needed.count() <= max_broadcast else needed, "h", "left_semi")
-    # copies have equal sets, so any one stands for all
-    sets = _sets(found, width).groupBy("h").agg(F.first("shingles").alias("shingles"))
+    sets = _needed_sets(docs, met_first.select("h"), width, max_broadcast)
 
     def verify(cell: pd.DataFrame) -> pd.DataFrame | None:
         pairs = _candidates(cell, bands, similarity)
@@ -257,13 +351,55 @@ def _links(docs: DataFrame, texts: DataFrame, similarity: float, bands: int, wid
     return _cell_job(met_first.join(sets, "h"), verify, "h string, links long, low string")
 
 
+def _classes(met: DataFrame, texts: DataFrame, docs: DataFrame, similarity: float, bands: int, width: int, block: int,
+             max_broadcast: int) -> DataFrame:
+    """(h, part) for every text with a link: the least text of its class.
+
+    Rounds go on while each leaves at most half of the texts outside their buckets' largest parts;
+    the rest is compared in cells. How many rounds there are changes the work, not the result.
+    """
+    labels = None
+    turn, left = 0, None
+    while True:
+        edges = cut_lineage(_star_links(cut_lineage(_star_pairs(met, turn, similarity), "pairs"), docs, similarity, width,
+                                        block, max_broadcast), "links")
+        labels = _relabelled(labels, edges)
+        # two texts of a bucket have been compared by the first round
+        apart = _relabel(met, labels)
+        if turn == 0:
+            apart = apart.join(apart.groupBy("bucket", "band").agg(F.count("*").alias("m")).filter("m > 2").drop("m"),
+                               ["bucket", "band"])
+        still = cut_lineage(_open_buckets(apart), "open")
+        before, left = left, still.agg(F.sum("m_rest")).first()[0] or 0
+        if not left:
+            return labels
+        met = cut_lineage(apart.join(still.select("bucket", "band"), ["bucket", "band"], "left_semi"), "met")
+        if before is not None and 2 * left > before:
+            break
+        turn += 1
+    found = cut_lineage(_cell_links(_across(met, texts, still, block), docs, similarity, bands, width, max_broadcast), "links")
+    return _relabelled(labels, found.filter("h <> low").select(F.col("low").alias("src"), F.col("h").alias("dst")))
+
+
+def _relabel(met: DataFrame, labels: DataFrame) -> DataFrame:
+    return met.drop("part").join(labels, "h", "left").withColumn("part", F.coalesce("part", "h"))
+
+
+def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """(h, part) of the classes that the earlier ``labels`` and the ``edges`` make."""
+    if labels is not None:
+        edges = edges.unionByName(labels.filter("h <> part").select(F.col("part").alias("src"), F.col("h").alias("dst")))
+    return connected_components(edges).select(F.col("id").alias("h"), F.col("component").alias("part"))
+
+
 def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, width: int = 5,
-                 recall: float = 0.9999, block: int = BLOCK, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+                 recall: float = 0.9999, block: int = BLOCK, max_broadcast: int = MAX_BROADCAST, links: bool = True) -> DataFrame:
     """(doc_id, h, n_shingles, class_id, n_links, component) for every document.
 
     Two documents are linked if the sets of their runs of ``width`` words (as split by white space;
     all words of a shorter text) have at least this Jaccard similarity. ``n_links`` counts a
-    document's links, copies included; ``class_id`` is the least id that links lead to. Texts
+    document's links, copies included; without ``links`` it is not computed and null, and the work for a class
+    is in proportion to its texts. ``class_id`` is the least id that links lead to. Texts
     without words link to nothing and are their own class; so does a null id, whose class is the
     least id among its links or null. ``h`` is the text's md5, and ``component`` the md5 of one text of the
     class, which no other class has; classes may share an id that is null or repeated. Pairs of different texts are found with
@@ -275,21 +411,25 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     signed = cut_lineage(_signatures(named, bands, rows, width), "signatures")
     texts = cut_lineage(signed.groupBy("h").agg(
         F.count("*").alias("w"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")), "texts")
-    found = cut_lineage(_links(named.select("h", "text"), texts.select("h", "w", "n", "bands"), similarity, bands, width,
-                               block, max_broadcast), "links")
-    linked = found.groupBy("h").agg(F.sum("links").alias("links"))
-    parts = connected_components(found.filter("h <> low").select(F.col("low").alias("src"), F.col("h").alias("dst")))
-    joined = texts.select("h", "w", "least", "n").join(parts.withColumnRenamed("id", "h"), "h", "left").join(linked, "h", "left")
-    joined = joined.withColumn("component", F.coalesce("component", "h"))
+    own, whole = texts.select("h", "w", "n", "bands"), named.select("h", "text")
+    met = cut_lineage(_shared_buckets(texts, bands), "met")
+    parts = cut_lineage(_classes(met, own, whole, similarity, bands, width, block, max_broadcast), "parts")
+    joined = texts.select("h", "w", "least", "n").join(parts.withColumnRenamed("part", "component"), "h", "left")
+    if links:
+        linked = met.drop("part").join(parts, "h")
+        found = _cell_links(_within(linked, own, block), whole, similarity, bands, width, max_broadcast)
+        joined = joined.join(found.groupBy("h").agg(F.sum("links").alias("links")), "h", "left")
+        n_links = F.when(F.col("n") == 0, F.lit(0)).otherwise(F.col("w") - 1 + F.coalesce("links", F.lit(0)))
+    else:
+        n_links = F.lit(None)
+    joined = cut_lineage(joined.select("h", F.coalesce("component", "h").alias("component"), "least", "n",
+                                       n_links.cast("long").alias("n_links")), "classes")
     classes = joined.groupBy("component").agg(F.min("least").alias("class_id"))
-    ends = cut_lineage(joined.join(classes, "component").select(
-        "h", "component", "class_id", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
-    empty = F.col("n") == 0
+    ends = joined.join(classes, "component").select("h", "component", "class_id", "n_links")
     return signed.select("doc_id", "h", "n").join(ends, "h").select(
         "doc_id", "h", F.col("n").cast("long").alias("n_shingles"),
-        F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(empty, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
-        "component")
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "n_links", "component")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -298,7 +438,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     Of repeated ids in a class, the one whose text hash is least stays, and of repeated rows one.
     Documents without words all stay.
     """
-    joined = join_similar(docs, key, text, **options)
+    joined = join_similar(docs, key, text, links=False, **options)
     first = joined.filter("n_shingles > 0").groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first"))
     keep = first.select(F.col("first.doc_id").alias("_key"), F.col("first.h").alias("_h"))

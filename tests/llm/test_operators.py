@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from listflow.llm import (
     boosting, extraction, licences, line_rules, media, mixing, packing, quality, queries, quotations, similar, toxicity)
 from listflow.llm.textbytes import flat, prefix_ends, word_hashes, words
+from listflow.session import cut_lineage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 COLUMNS = ("doc_id long, text string, lang string, source string, n_chars long, score double, row string, taken long, "
@@ -704,6 +705,45 @@ def test_one_of_each_keeps_unlinked_texts_under_one_id(spark):
         assert sorted(r.text for r in rows) == sorted(set(texts)) and {r.doc_id for r in rows} == {key}
 
 
+@pytest.mark.parametrize("block", [256, 7])
+def test_classes_without_links_match_brute_force(spark, block):
+    """Chains and families that rounds leave open are finished in cells; n_links is then null."""
+    rng = random.Random(8)
+    chain, rows = [f"c{k}" for k in range(60)], near_copies() + [r[:2] for r in hard_rows()]
+    for i in range(60):
+        chain = chain[:-3] + [f"c{i}_{k}" for k in range(3)] if i % 9 else chain[3:] + [f"e{i}_{k}" for k in range(3)]
+        rows.append((i + 400, " ".join(chain)))
+    family = [f"f{k}" for k in range(90)]
+    rows += [(i + 500, " ".join(family[:60] + [f"g{rng.randrange(4)}_{k}" for k in range(14)])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = similar.join_similar(docs, block=block, links=False).collect()
+    assert sorted(((r.doc_id, r.class_id) for r in got), key=str) == [(i, c) for i, c, _ in plain_join(rows)]
+    assert all(r.n_links is None for r in got)
+
+
+def test_rows_of_the_class_search_are_bounded_by_the_class(spark, monkeypatch):
+    """No table of a class of near copies has more rows than texts times bands, in all rounds together."""
+    written = collections.Counter()
+
+    def counted(df, label="cut"):
+        out = cut_lineage(df, label)
+        written[label] += out.count()
+        return out
+
+    monkeypatch.setattr(similar, "cut_lineage", counted)
+    rng, rows = random.Random(2), []
+    base = [f"v{rng.randrange(300)}" for _ in range(200)]
+    for i in range(1200):
+        own = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            own[rng.randrange(len(own))] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    found = similar.join_similar(spark.createDataFrame(rows, "doc_id long, text string"), block=64, links=False)
+    assert found.select("component").distinct().count() == 1
+    # met: the shared buckets and what a round leaves open; links: of a round's pairs
+    assert written["met"] <= 2 * 24 * 1200 and max(written[x] for x in ("pairs", "links", "cells")) <= 24 * 1200, written
+
+
 def test_bands_reach_the_recall():
     for s, recall in ((0.8, 0.9999), (0.5, 0.9), (0.9, 0.999)):
         bands, rows = similar.choose_bands(s, recall)
