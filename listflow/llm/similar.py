@@ -355,8 +355,9 @@ def _classes(met: DataFrame, texts: DataFrame, docs: DataFrame, similarity: floa
              max_broadcast: int) -> DataFrame:
     """(h, part) for every text with a link: the least text of its class.
 
-    Rounds go on while each leaves at most half of the texts outside their buckets' largest parts;
-    the rest is compared in cells. How many rounds there are changes the work, not the result.
+    Rounds go on while cells would move over three times the rows of the open buckets and the last
+    round left at most three quarters of the texts outside their buckets' largest parts. How many rounds there are
+    changes the work, not the result.
     """
     labels = None
     turn, left = 0, None
@@ -370,11 +371,14 @@ def _classes(met: DataFrame, texts: DataFrame, docs: DataFrame, similarity: floa
             apart = apart.join(apart.groupBy("bucket", "band").agg(F.count("*").alias("m")).filter("m > 2").drop("m"),
                                ["bucket", "band"])
         still = cut_lineage(_open_buckets(apart), "open")
-        before, left = left, still.agg(F.sum("m_rest")).first()[0] or 0
+        first, more = _blocks(F.col("m_main"), F.col("n_main"), block), _blocks(F.col("m_rest"), F.col("n_rest"), block)
+        sums = still.agg(F.sum("m_rest").alias("rest"), F.sum(F.col("m_main") + F.col("m_rest")).alias("rows"), F.sum(
+            F.col("m_main") * more + F.col("m_rest") * (first + more)).alias("cells")).first()
+        before, left = left, sums["rest"]
         if not left:
             return labels
         met = cut_lineage(apart.join(still.select("bucket", "band"), ["bucket", "band"], "left_semi"), "met")
-        if before is not None and 2 * left > before:
+        if sums["cells"] <= 3 * sums["rows"] or before is not None and 4 * left > 3 * before:
             break
         turn += 1
     found = cut_lineage(_cell_links(_across(met, texts, still, block), docs, similarity, bands, width, max_broadcast), "links")

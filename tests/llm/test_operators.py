@@ -722,7 +722,7 @@ def test_classes_without_links_match_brute_force(spark, block):
 
 
 def test_rows_of_the_class_search_are_bounded_by_the_class(spark, monkeypatch):
-    """No table of a class of near copies has more rows than texts times bands, in all rounds together."""
+    """No table of a class of near copies has more rows than texts times bands; buckets, than that in each round."""
     written = collections.Counter()
 
     def counted(df, label="cut"):
@@ -740,8 +740,8 @@ def test_rows_of_the_class_search_are_bounded_by_the_class(spark, monkeypatch):
         rows.append((i, " ".join(own)))
     found = similar.join_similar(spark.createDataFrame(rows, "doc_id long, text string"), block=64, links=False)
     assert found.select("component").distinct().count() == 1
-    # met: the shared buckets and what a round leaves open; links: of a round's pairs
-    assert written["met"] <= 2 * 24 * 1200 and max(written[x] for x in ("pairs", "links", "cells")) <= 24 * 1200, written
+    # met: the shared buckets and what each round leaves open
+    assert written["met"] <= 3 * 24 * 1200 and max(written[x] for x in ("pairs", "links", "cells")) <= 24 * 1200, written
 
 
 def test_bands_reach_the_recall():
