@@ -231,9 +231,13 @@ def _op10() -> str:
 
     templates = ", ".join(
         f"({text(t.name)}, [{', '.join(map(text, t.bigrams))}])" for t in licences.template_bigrams(licences.TEMPLATES))
+    anchors = ", ".join(f"({text(t.name)}, {text(a)}, {k}, {t.words})"
+                        for t in licences.template_bigrams(licences.TEMPLATES) for a, k in t.anchors)
+    known = ", ".join(sorted({text(a) for t in licences.template_bigrams(licences.TEMPLATES) for a, _ in t.anchors}))
     t = licences.THRESHOLD
     return rf"""
 with templates(name, own) as (values {templates}),
+anchors(name, anchor, place, words) as (values {anchors}),
 docs as (select row_number() over () as r, doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') as normal from documents),
 lined as (select r, doc_id, normal, list_filter(string_split(normal, chr(10)), lambda x: contains(trim(x), ' ')) as lines from docs),
 units as (select r, doc_id, case when len(lines) > 1 then list_append(lines, replace(normal, chr(10), ' ')) else lines end as units from lined),
@@ -246,9 +250,21 @@ near as (
 compared as (select r, count(distinct u) as n from near group by r),
 best as (select r, u, arg_min(name, {{'d': -dice, 's': -size, 'n': name}}) as name, max(dice) as dice, arg_min(size, {{'d': -dice, 's': -size, 'n': name}}) as size
          from near where dice >= {t} - 1e-12 group by r, u),
-found as (select r, count(*) as n, arg_min(name, {{'d': -dice, 's': -size, 'n': name}}) as licence, max(dice) as dice,
-                 array_to_string(list_sort(list_distinct(list(name))), ',') as licences from best group by r)
+texts as (select r, list_filter(string_split(replace(normal, chr(10), ' '), ' '), lambda w: w <> '') as w from docs),
+hits as (select r, unnest(list_filter(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1] in ({known}))) as i
+         from texts),
+starts as (select r, i - place as start, name, greatest(i - place, 1) as a, least(i - place + words, len(w) + 1) as b, w
+           from hits join texts using (r) join anchors on anchor = w[i] || ' ' || w[i + 1]),
+windows as (select r, start, name, list_distinct(list_transform(range(a, b - 1), lambda j: w[j] || ' ' || w[j + 1])) as pairs from starts),
+passing as (select r, start, name, len(own) as size, 2.0 * len(list_intersect(pairs, own)) / (len(pairs) + len(own)) as dice
+            from windows join templates using (name)),
+passages as (select r, arg_min(name, {{'d': -dice, 's': -size, 'n': name}}) as name, max(dice) as dice, arg_min(size, {{'d': -dice, 's': -size, 'n': name}}) as size
+             from passing where dice >= {t} - 1e-12 group by r, start),
+every as (select r, name, dice, size, 0 as passage from best union all select r, name, dice, size, 1 from passages),
+found as (select r, sum(1 - passage) as n, sum(passage) as n_passages, arg_min(name, {{'d': -dice, 's': -size, 'n': name}}) as licence, max(dice) as dice,
+                 array_to_string(list_sort(list_distinct(list(name))), ',') as licences from every group by r)
 select doc_id, len(units)::bigint as n_units, coalesce(c.n, 0)::bigint as n_candidates, coalesce(f.n, 0)::bigint as n_matches,
+       coalesce(f.n_passages, 0)::bigint as n_passages,
        licence, round(dice::double, 9) as dice, coalesce(licences, '') as licences
 from units left join compared c using (r) left join found f using (r)"""
 

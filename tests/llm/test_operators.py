@@ -762,17 +762,56 @@ def plain_scan(text, templates, threshold=licences.THRESHOLD):
         scored = [(2 * len(own & set(t.bigrams)) / (len(own) + len(t.bigrams)), len(t.bigrams), t.name) for t in templates]
         good = sorted((-d, -n, name) for d, n, name in scored if d >= threshold - 1e-12)
         best += good[:1]
-    return (min(best)[2] if best else None, len(best), sorted({b[2] for b in best}))
+    w, places = re.sub(r"[\W_]+", " ", (text or "").lower()).split(), {}
+    for t in templates:
+        for start in range(-t.words, len(w)):
+            if any(w[max(start + k, 0):start + k + 2] == a.split() for a, k in t.anchors if start + k >= 0):
+                cut = w[max(start, 0):start + t.words]
+                own = {" ".join(p) for p in zip(cut, cut[1:])}
+                d = 2 * len(own & set(t.bigrams)) / (len(own) + len(t.bigrams))
+                if d >= threshold - 1e-12:
+                    places.setdefault(start, []).append((-d, -len(t.bigrams), t.name))
+    both = best + [min(p) for p in places.values()]
+    return (min(both)[2] if both else None, len(best), len(places), sorted({b[2] for b in both}))
+
+
+def wrapped(text, width, mark=""):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_licences_within_longer_texts(spark):
+    prose = "The ferry leaves at noon and returns before dark, so bring a coat and something to eat. " * 20
+    code = "\n".join(f"value_{k} = compute({k})" for k in range(50))
+    t = licences.TEMPLATES
+    apache = wrapped("Copyright 2020 The Authors", 70, "# ") + "\n#\n" + wrapped(t["Apache-2.0-header"], 70, "# ")
+    cases = [
+        (f"MIT License\n\nCopyright (c) 2020 Someone\n\n{wrapped(t['MIT-text'], 78)}\n\nTHE SOFTWARE IS PROVIDED \"AS IS\"", "MIT-text"),
+        (f"{apache}\n#\n\n{code}", "Apache-2.0-header"),
+        (f"/*\n{wrapped(t['MPL-2.0'], 70, ' * ')}\n */\n{code}", "MPL-2.0"),
+        (f"{prose}{t['GPL-3.0-header']} {prose}", "GPL-3.0-header"),
+        (f"{prose}\n\n{wrapped(t['BSD-3-Clause-text'], 72, '// ')}\n\n{prose}", "BSD-3-Clause-text"),
+        (f"1. Definitions.\n\n      {wrapped(t['Apache-2.0-terms'], 66, '      ')}\n\n{prose}", "Apache-2.0-terms"),
+        (f"{prose} this work is licensed under the GNU General Public License, version 3, as is the map. {prose}", "GPL-3.0"),
+        (prose, None), (code, None), (prose + "Some rights reserved by 4 people. " + prose, None)]
+    frame = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan_licences(frame).collect()}
+    for k, (text, name) in enumerate(cases):
+        assert got[k].licence == name, text
+        assert list(got[k].licences) == plain_scan(text, licences.template_bigrams(t))[3]
+    assert list(got[6].licences) == ["GPL-3.0"]
 
 
 def test_licences_of_hard_rows(spark, docs, empty):
     mit = licences.TEMPLATES["MIT-text"]
     texts = [r[1] for r in hard_rows()] + [mit, mit.upper(), mit.replace("grant", "lend"), f"x y\n{mit}", "released under the mit license!!",
                                             "Licensed under CC BY-SA 4.0", "All Rights Reserved\nmore prose here", "all rights", "Released  under\tthe-MIT license"]
+    texts += [f"{a} {mit} {b}" for a in ("", "some prose here,") for b in ("", "and more of it")] + [
+        "this work is licensed under the gnu general public license version 3 " * 3, "rights reserved", "by 4", " ".join([mit] * 40)]
+    texts += [wrapped(t, 60, mark) for t in licences.TEMPLATES.values() for mark in ("", "# ")]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     templates = licences.template_bigrams(licences.TEMPLATES)
     for r in licences.scan_licences(frame).collect():
-        assert (r.licence, r.n_matches, list(r.licences)) == plain_scan(texts[r.doc_id], templates), texts[r.doc_id]
+        assert (r.licence, r.n_matches, r.n_passages, list(r.licences)) == plain_scan(texts[r.doc_id], templates), texts[r.doc_id]
     assert licences.scan_licences(docs).count() == docs.count()
     assert licences.scan_licences(empty).count() == 0
     assert licences.scan_licences(docs, templates={}).filter("licence is not null").count() == 0
