@@ -13,6 +13,8 @@ import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +60,9 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "Unlicense": "This is free and unencumbered software released into the public domain",
     "Proprietary": "All rights reserved",
+}
+# Passages of whole licence texts; only passages are compared with them, not lines.
+PASSAGES = {
     "Apache-2.0-terms": (
         "\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 "
         "through 9 of this document. \"Licensor\" shall mean the copyright owner or entity authorized by the copyright "
@@ -189,20 +194,24 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", temp
     that has words inserted so that no window reaches the threshold, is not found. A null text has no units and no
     passages. Repeated rows are each scanned.
 
+    By default units are compared with ``TEMPLATES`` and windows with ``PASSAGES`` too; given ``templates`` serve both.
     Templates are literals of the plan, so their number and size should stay those of a list like
     ``TEMPLATES``.
     """
-    chosen: Sequence[Template] = template_bigrams(TEMPLATES if templates is None else templates)
+    chosen: Sequence[Template] = template_bigrams(TEMPLATES | PASSAGES if templates is None else templates)
+    whole = [t for t in chosen if templates is not None or t.name not in PASSAGES]
     made = ["n_units", "n_candidates", "n_matches", "n_passages", "licence", "dice", "licences"]
-    normal = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), _BETWEEN, " ")
-    sizes = [_bounds(len(t.bigrams), threshold) for t in chosen]
+    normal = F.col("_normal")
+    docs = docs.select(F.col(key).alias("doc_id"), F.regexp_replace(
+        F.lower(F.coalesce(F.col(text), F.lit(""))), _BETWEEN, " ").alias("_normal"))
+    sizes = [_bounds(len(t.bigrams), threshold) for t in whole]
     least, most = (min((a for a, _ in sizes), default=1.0), max((b for _, b in sizes), default=0.0))
 
     def compared(pairs: Column) -> Column:
         """The best template for a unit's bigrams, as (dice, size, name); null if none reaches the threshold."""
         n = F.size(pairs)
         results = []
-        for template, (low, high) in zip(chosen, sizes):
+        for template, (low, high) in zip(whole, sizes):
             own = F.array(*[F.lit(p) for p in template.bigrams])
             dice = 2.0 * F.size(F.array_intersect(pairs, own)) / (n + len(template.bigrams))
             fits = (n >= low - 1e-9) & (n <= high + 1e-9)
@@ -216,16 +225,15 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", temp
     blanks = lambda u: F.length(F.trim(u)) - F.length(F.translate(F.trim(u), " ", ""))
     near = F.filter("_units", lambda u: blanks(u) >= least - 1e-9)
     sized = F.filter(F.transform(near, bigrams), lambda p: (F.size(p) >= least - 1e-9) & (F.size(p) <= most + 1e-9))
-    flat = F.concat(F.lit(" "), F.regexp_replace(F.translate(normal, "\n", " "), "  +", " "), F.lit(" "))
+    flat = F.regexp_replace(F.translate(normal, "\n", " "), "  +", " ")
     if not chosen:
-        return docs.select(F.col(key).alias("doc_id"), F.size(units).cast("long").alias("n_units"), *[
+        return docs.select("doc_id", F.size(units).cast("long").alias("n_units"), *[
             F.lit(0).cast("long").alias(n) for n in ("n_candidates", "n_matches", "n_passages")],
             F.lit(None).cast("string").alias("licence"), F.lit(None).cast("double").alias("dice"),
             F.array().cast("array<string>").alias("licences"))
     # only a text that holds an anchor is split into words
-    held = F.reduce(F.array(*[F.col("_flat").contains(f" {a} ") for a in sorted({a for t in chosen for a, _ in t.anchors})]),
-                    F.lit(False), lambda x, y: x | y)
-    scanned = docs.select(F.col(key).alias("doc_id"), units.alias("_units"), flat.alias("_flat")).select(
+    held = reduce(or_, [F.col("_flat").contains(a) for a in sorted({a for t in chosen for a, _ in t.anchors})])
+    scanned = docs.select("doc_id", units.alias("_units"), flat.alias("_flat")).select(
         "doc_id", F.size("_units").cast("long").alias("n_units"), sized.alias("_pairs"),
         F.when(held, F.split(F.trim("_flat"), " ")).alias("_words"))
     candidate = F.filter("_pairs", lambda p: F.reduce(

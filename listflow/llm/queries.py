@@ -230,13 +230,13 @@ def _op10() -> str:
         return "'" + value.replace("'", "''") + "'"
 
     templates = ", ".join(
-        f"({text(t.name)}, [{', '.join(map(text, t.bigrams))}])" for t in licences.template_bigrams(licences.TEMPLATES))
+        f"({text(t.name)}, [{', '.join(map(text, t.bigrams))}], {str(t.name in licences.TEMPLATES).lower()})" for t in licences.template_bigrams(licences.TEMPLATES | licences.PASSAGES))
     anchors = ", ".join(f"({text(t.name)}, {text(a)}, {k}, {t.words})"
-                        for t in licences.template_bigrams(licences.TEMPLATES) for a, k in t.anchors)
-    known = ", ".join(sorted({text(a) for t in licences.template_bigrams(licences.TEMPLATES) for a, _ in t.anchors}))
+                        for t in licences.template_bigrams(licences.TEMPLATES | licences.PASSAGES) for a, k in t.anchors)
+    known = ", ".join(sorted({text(a) for t in licences.template_bigrams(licences.TEMPLATES | licences.PASSAGES) for a, _ in t.anchors}))
     t = licences.THRESHOLD
     return rf"""
-with templates(name, own) as (values {templates}),
+with templates(name, own, whole) as (values {templates}),
 anchors(name, anchor, place, words) as (values {anchors}),
 docs as (select row_number() over () as r, doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') as normal from documents),
 lined as (select r, doc_id, normal, list_filter(string_split(normal, chr(10)), lambda x: contains(trim(x), ' ')) as lines from docs),
@@ -246,7 +246,7 @@ split_ as (select r, u, list_filter(string_split(unit, ' '), lambda w: w <> '')
 pairs as (select r, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as pairs from split_),
 near as (
   select r, u, name, len(own) as size, 2.0 * len(list_intersect(pairs, own)) / (len(pairs) + len(own)) as dice
-  from pairs join templates on len(pairs) >= len(own) * {t} / (2 - {t}) - 1e-9 and len(pairs) <= len(own) * (2 - {t}) / {t} + 1e-9),
+  from pairs join templates on whole and len(pairs) >= len(own) * {t} / (2 - {t}) - 1e-9 and len(pairs) <= len(own) * (2 - {t}) / {t} + 1e-9),
 compared as (select r, count(distinct u) as n from near group by r),
 best as (select r, u, arg_min(name, {{'d': -dice, 's': -size, 'n': name}}) as name, max(dice) as dice, arg_min(size, {{'d': -dice, 's': -size, 'n': name}}) as size
          from near where dice >= {t} - 1e-12 group by r, u),

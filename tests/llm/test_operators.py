@@ -759,7 +759,7 @@ def plain_scan(text, templates, threshold=licences.THRESHOLD):
     for u in units:
         w = u.split()
         own = {" ".join(p) for p in zip(w, w[1:])}
-        scored = [(2 * len(own & set(t.bigrams)) / (len(own) + len(t.bigrams)), len(t.bigrams), t.name) for t in templates]
+        scored = [(2 * len(own & set(t.bigrams)) / (len(own) + len(t.bigrams)), len(t.bigrams), t.name) for t in templates if t.name not in licences.PASSAGES]
         good = sorted((-d, -n, name) for d, n, name in scored if d >= threshold - 1e-12)
         best += good[:1]
     w, places = re.sub(r"[\W_]+", " ", (text or "").lower()).split(), {}
@@ -782,7 +782,7 @@ def wrapped(text, width, mark=""):
 def test_licences_within_longer_texts(spark):
     prose = "The ferry leaves at noon and returns before dark, so bring a coat and something to eat. " * 20
     code = "\n".join(f"value_{k} = compute({k})" for k in range(50))
-    t = licences.TEMPLATES
+    t = licences.TEMPLATES | licences.PASSAGES
     apache = wrapped("Copyright 2020 The Authors", 70, "# ") + "\n#\n" + wrapped(t["Apache-2.0-header"], 70, "# ")
     cases = [
         (f"MIT License\n\nCopyright (c) 2020 Someone\n\n{wrapped(t['MIT-text'], 78)}\n\nTHE SOFTWARE IS PROVIDED \"AS IS\"", "MIT-text"),
@@ -807,9 +807,9 @@ def test_licences_of_hard_rows(spark, docs, empty):
                                             "Licensed under CC BY-SA 4.0", "All Rights Reserved\nmore prose here", "all rights", "Released  under\tthe-MIT license"]
     texts += [f"{a} {mit} {b}" for a in ("", "some prose here,") for b in ("", "and more of it")] + [
         "this work is licensed under the gnu general public license version 3 " * 3, "rights reserved", "by 4", " ".join([mit] * 40)]
-    texts += [wrapped(t, 60, mark) for t in licences.TEMPLATES.values() for mark in ("", "# ")]
+    texts += [wrapped(t, 60, mark) for t in (licences.TEMPLATES | licences.PASSAGES).values() for mark in ("", "# ")]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    templates = licences.template_bigrams(licences.TEMPLATES)
+    templates = licences.template_bigrams(licences.TEMPLATES | licences.PASSAGES)
     for r in licences.scan_licences(frame).collect():
         assert (r.licence, r.n_matches, r.n_passages, list(r.licences)) == plain_scan(texts[r.doc_id], templates), texts[r.doc_id]
     assert licences.scan_licences(docs).count() == docs.count()
