@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from listflow import constants as K
+from listflow.functions.binding import let
 
 #: Unicode-aware whitespace, the class Python's str methods use.
 SPACES = r"(?U)[\s\x1c-\x1f]+"
@@ -137,4 +138,14 @@ def word_pattern(term: str) -> str:
 
 
 def contains_any_word(c: Column, terms: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.rlike(c, F.lit(word_pattern(t))) for t in terms])
+    """Whether ``c`` holds any term as whole words.
+
+    A term's longest plain word is looked for first, so that only text which holds it meets the
+    term's regex; a word with other than ASCII characters may fold in more than one way.
+    """
+    def hit(low: Column, term: str) -> Column:
+        plain = [w for w in term.split() if w.isascii()]
+        whole = F.rlike(c, F.lit(word_pattern(term)))
+        return F.contains(low, F.lit(max(plain, key=len).lower())) & whole if plain else whole
+
+    return let(F.lower(c), lambda low: reduce(lambda a, b: a | b, [hit(low, t) for t in terms]))

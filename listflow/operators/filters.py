@@ -81,8 +81,9 @@ def keyword_filter(df: DataFrame, lexicon: dict[str, list[str]] | None = None,
     excluded, groups = keyword_columns(
         F.col("title"), F.col("description"), lexicon or K.KEYWORDS,
         K.KEYWORD_EXCLUDES if excludes is None else excludes, mode)
-    return (df.withColumn("keyword_groups", F.when(~excluded, groups))
-            .filter(F.size("keyword_groups") > 0))
+    # a generator keeps the filter from matching every term once more
+    return df.withColumn("keyword_groups", F.explode(F.filter(
+        F.array(F.when(~excluded, groups)), lambda g: F.size(g) > 0)))
 
 
 def relevance_columns(df: DataFrame, pass_avg: float = K.RELEVANCE_PASS) -> DataFrame:

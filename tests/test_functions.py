@@ -156,3 +156,20 @@ def test_attempt_counters(spark):
     assert bumped == [{"s4_write": 2, "s7_eic": 2}, {"s4_write": 1}]
     reset = [r[0] for r in df.select(structs.attempt_reset(F.col("m"), F.lit("s4_write"))).collect()]
     assert reset == [{"s7_eic": 2}, {}]
+
+
+def test_whole_words_by_their_longest_word(spark):
+    rows = ["Sound  BATH tonight", "sound bathing", "a pop-up bar", "bar", "no spas", "cafÉ x", "café x", "", None]
+    terms = ["sound bath", "pop-up", "spa", "café x"]
+    assert run(spark, rows, lambda c: text.contains_any_word(c, terms)) == [
+        True, False, True, False, False, False, True, False, None]
+
+
+def test_keyword_groups_are_matched_once(spark):
+    from listflow.operators import filters
+
+    df = spark.createDataFrame([(1, "Yoga run", None), (2, "Casino run", ""), (3, "Chess", "x")], "id int, title string, description string")
+    for mode in ("word", "substring"):
+        kept = filters.keyword_filter(df, mode=mode)
+        assert [(r.id, r.keyword_groups) for r in kept.collect()] == [(1, ["fitness", "wellness"])]
+        assert kept._jdf.queryExecution().optimizedPlan().toString().count("powerlifting") <= 2
