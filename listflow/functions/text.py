@@ -17,8 +17,13 @@ from listflow.functions.binding import let
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 
 
+#: Runs of whitespace that are not one blank already, so that most text is only scanned.
+_UNEVEN = r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
+_SOLID = r"(?U)[^\s\x1c-\x1f]"
+
+
 def collapse(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, SPACES, " "))
+    return F.trim(F.regexp_replace(c, _UNEVEN, " "))
 
 
 def clean_text(c: Column) -> Column:
@@ -27,7 +32,7 @@ def clean_text(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return c.isNull() | (collapse(c) == "")
+    return c.isNull() | ~F.rlike(c, F.lit(_SOLID))
 
 
 def first_value(*cols: Column) -> Column:

@@ -158,6 +158,12 @@ def test_attempt_counters(spark):
     assert reset == [{"s7_eic": 2}, {}]
 
 
+def test_text_in_even_blanks_stays_as_it_is(spark):
+    rows = ["a b", " a  b ", "a\tb", "a  b", " a\x1cb\n", " \t", "\x1f", "", None, "a\n\nb c"]
+    assert run(spark, rows, text.collapse) == ["a b", "a b", "a b", "a b", "a b", "", "", "", None, "a b c"]
+    assert run(spark, rows, text.is_blank) == [False] * 5 + [True] * 4 + [False]
+
+
 def test_whole_words_by_their_longest_word(spark):
     rows = ["Sound  BATH tonight", "sound bathing", "a pop-up bar", "bar", "no spas", "cafÉ x", "café x", "", None]
     terms = ["sound bath", "pop-up", "spa", "café x"]

@@ -162,3 +162,13 @@ def test_jsonld_plans_stay_small(spark):
     for read in (jsonld.jsonld_location, jsonld.jsonld_price):
         assert _plan_length(jsonld.jsonld_nodes(pages).select(read(F.col("node")))) < 25_000
     assert _plan_length(jsonld.jsonld_events(pages, AS_OF, "venue_site")) < 60_000
+
+
+def test_selector_steps_are_read_once():
+    cards._steps.cache_clear()
+    spec = {**{k: [] for k in ("title", "description", "venue", "address", "price", "date", "image")},
+            "card": ["li.x"], "link": ["ul#u a[href]", "a[rel='n']", "a:first"]}
+    page = '<ul id=u>' + '<li class="x y"><a href="/1">o</a><a rel=n>p</a></li>' * 50 + '</ul>'
+    got = list(cards._cards(page, spec))
+    assert [(c[0], c[2]) for c in got] == [(i, ["/1", ""]) for i in range(50)]
+    assert cards._steps.cache_info().misses == 4
