@@ -227,15 +227,18 @@ def _split_sessions(placed: DataFrame) -> DataFrame:
     return parted.join(names, ["component", "part"]).select("id", F.col("name").alias("component"))
 
 
-def _attach(loose: DataFrame, settled: DataFrame, keys: list[str]) -> DataFrame:
+def _attach(loose: DataFrame, settled: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Component of each loose record (id, keys) by the keys it shares with settled ones
-    (component, keys).
+    (id, keys), whose components are ``known``.
 
     It joins them when they are all in one component, stays alone when they are in several, and
-    otherwise groups with the loose records it shares a key with.
+    otherwise groups with the loose records it shares a key with. Loose records are written first,
+    so that settled ones without a key of theirs drop out before they are joined to anything.
     """
-    reach = settled.groupBy(*keys).agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    met = cut_lineage(loose.join(reach, keys, "left"), "loose")
+    loose = cut_lineage(loose, "loose")
+    asked = settled.join(loose.select(*keys).distinct(), keys, "left_semi").join(known, "id")
+    reach = asked.groupBy(*keys).agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    met = cut_lineage(loose.join(reach, keys, "left"), "met")
     verdict = met.groupBy("id").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"))
     joined = verdict.filter("c0 is not null").select(
         "id", F.when(F.col("c0") == F.col("c1"), F.col("c0")).otherwise(F.col("id")).alias("component"))
@@ -266,13 +269,13 @@ def resolve_entities(listings: DataFrame, id_col: str = "pos") -> DataFrame:
     hooks = _key_members(dated).select("id", "untimed", *day_keys).unionByName(
         _place_members(dated).withColumn("key", at_place).select("id", "untimed", *day_keys))
     date_only = _attach(hooks.filter("untimed").drop("untimed"),
-                        hooks.filter("not untimed").drop("untimed").join(grouped, "id"), day_keys)
+                        hooks.filter("not untimed").drop("untimed"), grouped, day_keys)
     alone = dated.filter("untimed").select("id").join(date_only, "id", "left").select(
         "id", F.coalesce("component", "id").alias("component"))
     known = cut_lineage(grouped.unionByName(alone), "dated")
 
     links = _key_members(nodes).select("id", "kind", "key", "role", "day")
     undated = _attach(links.filter("day is null").drop("day"),
-                      links.filter("day is not null").join(known, "id"), ["kind", "key", "role"])
+                      links.filter("day is not null").drop("day"), known, ["kind", "key", "role"])
     return copies.join(known.unionByName(undated).withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("group_id"))

@@ -172,3 +172,12 @@ def test_components_of_a_long_chain(spark):
 def test_sparse_checkpoint_folder_is_the_sessions(spark):
     from listflow import session
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
+
+
+def test_attached_records_meet_only_settled_ones_with_their_keys(spark):
+    at = lambda *rows: spark.createDataFrame([(i, "url", k) for i, k in rows], "id long, kind string, key string")
+    loose = at((1, "a"), (2, "a"), (2, "b"), (3, "z"), (4, "z"), (5, "a"), (5, "a"), (6, None))
+    settled = at((10, "a"), (11, "a"), (12, "b"), (12, "b"), (13, "unasked"), (14, None), (15, "a"))
+    known = spark.createDataFrame([(10, 10), (11, 10), (12, 12), (13, 13), (14, 14)], "id long, component long")
+    got = sorted((r["id"], r["component"]) for r in matching._attach(loose, settled, known, ["kind", "key"]).collect())
+    assert got == [(1, 10), (2, 2), (3, 3), (4, 3), (5, 10)]
