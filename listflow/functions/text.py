@@ -17,8 +17,10 @@ from listflow.functions.binding import let
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 
 
+#: The same class; printable ASCII, most of all text, is ruled out by one comparison.
+_SPACE = r"[\x00- \x7f-\x{10ffff}&&[\s\x1c-\x1f]]"
 #: Runs of whitespace that are not one blank already, so that most text is only scanned.
-_UNEVEN = r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
+_UNEVEN = rf"(?U){_SPACE}(?:(?<! ){_SPACE}*|{_SPACE}+)"
 _SOLID = r"(?U)[^\s\x1c-\x1f]"
 
 

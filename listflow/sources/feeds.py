@@ -20,6 +20,8 @@ _CHILD = r"(?s)<([A-Za-z_][\w:.\-]*)((?:\s[^<>]*?)?)(?:/>|>(.*?)</\1\s*>)"
 _GROUP = r"(?i)</?media:group(?:\s[^<>]*)?>"
 #: Stands for ``<`` inside a CDATA section while elements are cut; no text holds this noncharacter.
 _SHIELD = "\ufdd0"
+#: Stand around a child element and between its parts while items are cut.
+_EDGE, _PART = "\ufdd1", "\ufdd2"
 _IMG_SRC = r"""(?i)<img[^>]+src=["']([^"']+)["']"""
 
 
@@ -35,7 +37,7 @@ def _shielded(body: Column) -> Column:
     sections = F.split(body, r"<!\[CDATA\[")
     closed = lambda s: F.instr(s, "]]>")
     shield = lambda s: F.when(closed(s) > 0, F.concat(
-        F.translate(F.substring(s, F.lit(1), closed(s) - 1), "<", _SHIELD),
+        F.replace(F.substring(s, F.lit(1), closed(s) - 1), F.lit("<"), F.lit(_SHIELD)),
         F.substring(s, closed(s), F.length(s)))).otherwise(s)
     return F.when(F.contains(body, F.lit("<![CDATA[")), F.array_join(
         F.transform(sections, lambda s, i: F.when(i == 0, s).otherwise(shield(s))), "<![CDATA[")).otherwise(body)
@@ -46,13 +48,23 @@ def _children(item: Column) -> Column:
 
     Members of a media group count as the item's own children.
     """
-    item = F.regexp_replace(item, _GROUP, "")
-    part = lambda i: F.regexp_extract_all(item, F.lit(_CHILD), i)
-    return F.transform(
-        F.arrays_zip(part(1).alias("tag"), part(2).alias("attrs"), part(3).alias("text")),
-        lambda c: F.struct(
-            F.replace(F.lower(c["tag"]), F.lit(":"), F.lit("_")).alias("key"),
-            c["attrs"].alias("attrs"), F.translate(c["text"], _SHIELD, "<").alias("text")))
+    def child(tag: Column, attrs: Column, inner: Column) -> Column:
+        return F.struct(F.replace(F.lower(tag), F.lit(":"), F.lit("_")).alias("key"),
+                        attrs.alias("attrs"), F.replace(inner, F.lit(_SHIELD), F.lit("<")).alias("text"))
+
+    def marked(x: Column) -> Column:
+        cut = F.split(F.regexp_replace(x, _CHILD, f"{_EDGE}$1{_PART}$2{_PART}$3{_EDGE}"), _EDGE)
+        return F.transform(F.filter(cut, lambda _, i: i % 2 == 1), lambda c: let(
+            F.split(c, _PART), lambda p: child(p[0], p[1], p[2])))
+
+    def matched(x: Column) -> Column:
+        part = lambda i: F.regexp_extract_all(x, F.lit(_CHILD), i)
+        return F.transform(F.arrays_zip(part(1).alias("tag"), part(2).alias("attrs"), part(3).alias("text")),
+                           lambda c: child(c["tag"], c["attrs"], c["text"]))
+
+    # one match for all parts, unless the item holds the marks itself
+    return let(F.regexp_replace(item, _GROUP, ""), lambda x: F.when(
+        F.contains(x, F.lit(_EDGE)) | F.contains(x, F.lit(_PART)), matched(x)).otherwise(marked(x)))
 
 
 def _plain(c: Column) -> Column:
@@ -81,9 +93,14 @@ def _usable(entry: Column) -> Column:
     return F.coalesce(titled & linked, F.lit(False))
 
 
-def _child(key: str) -> Column:
-    """Raw text of the first non-blank child of that key."""
-    return _first_text(F.col("e"), key)
+def _child(*keys: str) -> Column:
+    """Raw text of the first non-blank child of the first key that has one."""
+    named = F.filter("e.filled", lambda c: c["key"].isin(*keys))
+    if len(keys) == 1:
+        return F.get(named, F.lit(0))["text"]
+    order = F.array(*[F.lit(k) for k in keys])
+    return let(named, lambda n: F.when(F.size(n) < 2, F.get(n, F.lit(0))["text"]).otherwise(F.array_min(F.transform(
+        n, lambda c, i: F.struct(F.array_position(order, c["key"]).alias("rank"), i.alias("at"), c["text"].alias("text"))))["text"]))
 
 
 def _child_attr(keys: list[str], name: str, where=None) -> Column:
@@ -97,7 +114,7 @@ def _child_attr(keys: list[str], name: str, where=None) -> Column:
 
 
 def _alias(group: str) -> Column:
-    return F.coalesce(*[_child(k) for k in K.FEED_ALIASES[group]])
+    return _child(*K.FEED_ALIASES[group])
 
 
 def source_label(configured: Column, feed_url: Column, title: Column) -> Column:
@@ -123,13 +140,12 @@ def feed_entries(feeds: DataFrame, as_of: str, use_published_as_start: bool = Fa
     read = items.withColumn("e", F.explode(F.filter(F.array(_parsed(F.col("item"))), _usable))).drop("item")
     now = dates.as_ntz(as_of)
     alternate = lambda c: F.coalesce(attribute(c["attrs"], "rel"), F.lit("alternate")) == "alternate"
-    published = [_child(k) for k in ("published", "pubdate", "updated", "dc_date")]
     raw_parts = read.withColumns({
         "_title": _child("title"),
         "_link": F.coalesce(_child("link"), _child_attr(["link"], "href", alternate)),
-        "_id": F.coalesce(_child("id"), _child("guid")),
-        "_content": F.coalesce(_child("content_encoded"), _child("content")),
-        "_summary": F.coalesce(_child("summary"), _child("subtitle"), _child("description")),
+        "_id": _child("id", "guid"),
+        "_content": _child("content_encoded", "content"),
+        "_summary": _child("summary", "subtitle", "description"),
         "_media": F.coalesce(
             _child_attr(["media_thumbnail", "media_content"], "url"),
             _child_attr(["enclosure"], "url", lambda c: F.startswith(
@@ -137,7 +153,7 @@ def feed_entries(feeds: DataFrame, as_of: str, use_published_as_start: bool = Fa
             _child_attr(["link"], "href", lambda c: (attribute(c["attrs"], "rel") == "enclosure") & F.startswith(
                 F.coalesce(attribute(c["attrs"], "type"), F.lit("")), F.lit("image/")))),
         **{f"_{g}": _alias(g) for g in K.FEED_ALIASES},
-        "_published": F.coalesce(*published) if use_published_as_start else F.lit(None).cast("string"),
+        "_published": _child("published", "pubdate", "updated", "dc_date") if use_published_as_start else F.lit(None).cast("string"),
     })
     plain = raw_parts.withColumns({
         c: _plain(F.col(c)) for c in ("_title", "_link", "_id", "_content", "_summary", "_media",

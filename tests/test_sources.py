@@ -172,3 +172,22 @@ def test_selector_steps_are_read_once():
     got = list(cards._cards(page, spec))
     assert [(c[0], c[2]) for c in got] == [(i, ["/1", ""]) for i in range(50)]
     assert cards._steps.cache_info().misses == 4
+
+
+def test_children_are_cut_in_one_match(spark):
+    cut = lambda body: [tuple(c) for c in spark.createDataFrame([(body,)], "b string").select(feeds._children(F.col("b"))).first()[0]]
+    item = 'x<A:b k="1">one</A:b > y <c/><media:group><d  e=f/></media:group><g>a<h>b</h></g><open>z ﷐ \U0001f600<i></i>'
+    found = [("a_b", ' k="1"', "one"), ("c", "", ""), ("d", "  e=f", ""), ("g", "", "a<h>b</h>"), ("i", "", "")]
+    assert cut(item) == found and cut("plain") == [] and cut("") == []
+    for mark in ("﷑", "﷒"):
+        assert cut(item.replace("one", f"o{mark}ne")) == [("a_b", ' k="1"', f"o{mark}ne"), *found[1:]]
+
+
+def test_feed_aliases_take_the_first_key_and_then_the_first_child(spark):
+    body = """<rss><channel><title>C</title><item><title>T</title><link>/1</link><price>$3</price><cost>$1</cost><cost>$2</cost>
+<admission>$4</admission><ev:cost> </ev:cost><guid>g</guid><id>i</id><street>S</street></item></channel></rss>"""
+    out = feeds.feed_entries(spark.createDataFrame([("https://c.example/rss", None, body)], "feed_url string, source string, body string"), AS_OF)
+    got = out.first()
+    assert (got["price"], got["source_id"], got["venue_address"], got["venue_name"]) == ("$1", "i", "S", None)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("[filled]") + \
+        out._jdf.queryExecution().optimizedPlan().toString().count(".filled") <= 30
