@@ -179,3 +179,14 @@ def test_keyword_groups_are_matched_once(spark):
         kept = filters.keyword_filter(df, mode=mode)
         assert [(r.id, r.keyword_groups) for r in kept.collect()] == [(1, ["fitness", "wellness"])]
         assert kept._jdf.queryExecution().optimizedPlan().toString().count("powerlifting") <= 2
+
+
+def test_collapse_meets_every_kind_of_whitespace(spark):
+    import random
+    import re
+    from listflow.functions import text
+    rng = random.Random(3)
+    marks = ["a", "Z", "~", "é", "\U0001f600", "​", " ", " ", " ", *"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0      　"]
+    said = ["".join(rng.choice(marks) for _ in range(rng.randrange(9))) for _ in range(3000)]
+    got = spark.createDataFrame([(i, s) for i, s in enumerate(said)], "i int, s string").select("i", text.collapse(F.col("s")).alias("c")).collect()
+    assert [r["c"] for r in sorted(got)] == [re.sub(r"[\s\x1c-\x1f]+", " ", s).strip(" ") for s in said]
