@@ -184,24 +184,34 @@ def _rest(text: pd.Series, anchor: pd.Series) -> pd.Series:
 _rest = _rest.asNondeterministic()
 
 
-def parse_event_dt(c: Column, as_of: Column, roll_forward: bool = False,
-                   free_text: bool = True) -> Column:
-    """Published date text to Pacific wall-clock time, or null.
-
-    Known shapes are read in the JVM; only what remains goes to one Arrow UDF. With
-    ``roll_forward`` a year-less date more than 45 days back moves to the next year.
-    """
-    anchor = midnight(as_of)
+def event_text(c: Column) -> Column:
+    """Published date text without its label and outer punctuation."""
     t = F.regexp_replace(F.regexp_replace(c, "\u00a0", " "), r"(?U)^\s+|\s+$", "")
     t = F.regexp_replace(
         t, r"(?i)^\s*(?:starts?|begins?|ends?|on|from|at|date|time)\s*[:\-]?\s+", "")
     t = F.nullif(F.regexp_replace(t, r"^[\s,;]+|[\s,;]+$", ""), F.lit(""))
-    t = F.regexp_replace(t, r"\s+", " ")
+    return F.regexp_replace(t, r"\s+", " ")
+
+
+def read_event_text(t: Column, as_of: Column, free_text: bool = True) -> Column:
+    """What ``event_text`` gave to Pacific wall-clock time, or null; a caller that holds it as a column has it computed once."""
+    anchor = midnight(as_of)
     known = let(t, lambda x: F.coalesce(_iso(x), _epoch(x), _prose_native(x, anchor)))
     if free_text:
         left = F.when(~F.rlike(t, F.lit(_KNOWN)), t)
         known = F.coalesce(
             known, _rest(left, F.date_format(anchor, "yyyy-MM-dd HH:mm:ss")).try_cast("timestamp_ntz"))
+    return known
+
+
+def parse_event_dt(c: Column, as_of: Column, roll_forward: bool = False,
+                   free_text: bool = True) -> Column:
+    """Published date text to Pacific wall-clock time, or null.
+
+    Known shapes are read in the JVM; only what remains goes to one Arrow UDF. With
+    ``roll_forward`` a year-less date more than 45 days back moves to the next year.
+    """
+    known = read_event_text(event_text(c), as_of, free_text)
     if not roll_forward:
         return known
 
@@ -209,7 +219,7 @@ def parse_event_dt(c: Column, as_of: Column, roll_forward: bool = False,
         day = F.when((F.month(x) == 2) & (F.dayofmonth(x) == 29), 28).otherwise(F.dayofmonth(x))
         next_year = _make(F.year(x) + 1, F.month(x), day, F.hour(x), F.minute(x),
                           F.second(x).cast("decimal(16,6)"))
-        return F.when(x < anchor - F.expr("interval 45 days"), next_year).otherwise(x)
+        return F.when(x < midnight(as_of) - F.expr("interval 45 days"), next_year).otherwise(x)
 
     yearless = ~F.rlike(c, F.lit(r"\b\d{4}\b"))
     return let(F.struct(known.alias("at"), yearless.alias("yearless")),

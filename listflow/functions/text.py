@@ -56,10 +56,15 @@ def unescape(c: Column) -> Column:
     return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
+def strip_tags(c: Column) -> Column:
+    """Text with a blank for each tag, entities kept."""
+    broken = F.regexp_replace(c, r"(?i)</\s*(?:p|div|li|tr|h[1-6])\s*>|<\s*br\s*/?\s*>", " ")
+    return F.regexp_replace(broken, r"<[^>]+>", " ")
+
+
 def strip_html(c: Column) -> Column:
     """Markup to plain text; block closers and line breaks separate words."""
-    broken = F.regexp_replace(c, r"(?i)</\s*(?:p|div|li|tr|h[1-6])\s*>|<\s*br\s*/?\s*>", " ")
-    return clean_text(unescape(F.regexp_replace(broken, r"<[^>]+>", " ")))
+    return clean_text(unescape(strip_tags(c)))
 
 
 def name_key(c: Column) -> Column:

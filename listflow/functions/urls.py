@@ -28,12 +28,8 @@ def _resolve(base: pd.Series, href: pd.Series) -> pd.Series:
 _resolve = _resolve.asNondeterministic()
 
 
-def absolute_url(base: Column, href: Column) -> Column:
-    """Resolve a link against its page; fragments and non-web schemes become null.
-
-    Absolute, scheme-relative and root-relative links are resolved in the JVM. The rest
-    (dot segments, document-relative paths) go to Python, nulls standing in for other rows.
-    """
+def joined(base: Column, href: Column) -> Column:
+    """Struct (href, url) of a trimmed link and, if it needs no Python, what it resolves to."""
     h = F.regexp_replace(F.coalesce(href, F.lit("")), r"(?U)^\s+|\s+$", "")
     prefix = (
         F.when(F.rlike(h, F.lit(r"^https?://[^/]")), F.lit(""))
@@ -42,8 +38,22 @@ def absolute_url(base: Column, href: Column) -> Column:
         .when(F.rlike(h, F.lit(r"^/(?:[^/]|$)")), F.nullif(F.regexp_extract(
             base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1), F.lit(""))))
     plain = ~F.rlike(h, F.lit(r"/\.{1,2}(?:/|$|[?#])|[?#]$"))
-    native = F.when(plain, F.concat(prefix, h))
-    return F.coalesce(native, _resolve(F.when(native.isNull(), base), F.when(native.isNull(), h)))
+    return F.struct(h.alias("href"), F.when(plain, F.concat(prefix, h)).alias("url"))
+
+
+def resolved(base: Column, link: Column) -> Column:
+    """The URL of what ``joined`` gave; a caller that holds it as a column has it computed once."""
+    left = link["url"].isNull()
+    return F.coalesce(link["url"], _resolve(F.when(left, base), F.when(left, link["href"])))
+
+
+def absolute_url(base: Column, href: Column) -> Column:
+    """Resolve a link against its page; fragments and non-web schemes become null.
+
+    Absolute, scheme-relative and root-relative links are resolved in the JVM. The rest
+    (dot segments, document-relative paths) go to Python, nulls standing in for other rows.
+    """
+    return resolved(base, joined(base, href))
 
 
 def url_key(c: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,33 +24,36 @@ def _items(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _fields(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "map<string,variant>")
+def _node(v: Column, *keys: str, kind: str = "variant") -> Column:
+    """The keys of a node as one struct, read in one pass; null for any other value."""
+    return F.try_variant_get(v, "$", f"struct<{', '.join(f'`{k}`: {kind}' for k in keys)}>")
 
 
 def _holds(v: Column) -> Column:
     """Whether a value is a list or a node."""
-    return _items(v).isNotNull() | _fields(v).isNotNull()
+    return _node(v).isNotNull() | F.try_variant_get(v, "$", "array<struct<>>").isNotNull()
 
 
-def _nested(v: Column) -> Column:
-    """What the walk visits one level below a value."""
-    return F.coalesce(_items(v), F.filter(F.array(*[_get(v, k) for k in K.JSONLD_CHILD_KEYS]), lambda x: x.isNotNull()))
+def _children(v: Column, keys: list[str]) -> Column:
+    """A list's items or what a node holds under the keys, without missing ones; null for any other value."""
+    held = let(_node(v, *keys), lambda n: F.when(n.isNotNull(), F.array_compact(F.array(*[n[k] for k in keys]))))
+    return F.coalesce(_items(v), held)
 
 
-def _type_names(v: Column) -> Column:
-    """Lowercased type names of a node; none of any other value."""
-    def names(key):
-        return let(_get(v, key), lambda t: F.when(t.isNotNull(), F.coalesce(
+def _types_hold(types: Column, test) -> Column:
+    """Whether the test holds for one of a node's lowercased type names, given its struct of @type and type."""
+    def names(t):
+        return F.coalesce(
             F.filter(F.try_variant_get(t, "$", "array<string>"), lambda x: x.isNotNull()),
-            F.when(_fields(t).isNull() & ~F.is_variant_null(t), F.array(F.try_variant_get(t, "$", "string"))))))
+            let(_string(t), lambda x: F.when(x.isNotNull() & _node(t).isNull(), F.array(x))))
 
-    found = F.coalesce(names("@type"), names("type"), F.array().cast("array<string>"))
-    return F.transform(found, lambda x: F.lower(x))
+    found = F.coalesce(names(types["@type"]), names(types["type"]))
+    return F.coalesce(F.exists(F.transform(found, lambda x: F.lower(x)), test), F.lit(False))
 
 
 def _is_event(v: Column) -> Column:
-    return F.exists(_type_names(v), lambda n: F.contains(n, F.lit("event")) & ~n.isin(*K.JSONLD_NOT_EVENTS))
+    return let(_node(v, "@type", "type"), lambda n: _types_hold(
+        n, lambda x: F.contains(x, F.lit("event")) & ~x.isin(*K.JSONLD_NOT_EVENTS)))
 
 
 def jsonld_nodes(pages: DataFrame) -> DataFrame:
@@ -64,19 +69,15 @@ def jsonld_nodes(pages: DataFrame) -> DataFrame:
     none = F.array().cast("array<variant>")
 
     def level(state: Column, _: Column) -> Column:
-        return F.struct(
+        return F.when(F.size(state["front"]) > 0, F.struct(
             F.concat(state["found"], F.filter(state["front"], _is_event)).alias("found"),
-            F.flatten(F.transform(state["front"], _nested)).alias("front"))
+            F.flatten(F.transform(state["front"], lambda v: F.coalesce(_children(v, K.JSONLD_CHILD_KEYS), none))).alias("front"))).otherwise(state)
 
     walked = F.aggregate(F.sequence(F.lit(0), F.lit(K.JSONLD_MAX_DEPTH)),
                          F.struct(none.alias("found"), F.array("payload").alias("front")), level, lambda state: state["found"])
     return parsed.select(*kept, "block", F.posexplode(walked).alias("node_pos", "node"))
 
 
-_DEEP = "array<struct<at:int,path:array<int>,text:string>>"
-_CELLS = "array<struct<at:int,path:array<int>,v:variant>>"
-
-
 def _string(v: Column) -> Column:
     """A scalar's characters; a list or node as JSON text."""
     return F.try_variant_get(v, "$", "string")
@@ -86,142 +87,183 @@ def _clean(s: Column) -> Column:
     return let(text.collapse(s), lambda c: F.when(c != "", c))
 
 
-def coerce_texts(values: Column) -> Column:
-    """The clean text of each of many values (an array of variants): a scalar's own, that of a list's first usable
-    item, or of a node's first usable name-like field, however deep.
+def _opens(s: Column) -> Column:
+    """Whether a value's text starts like a list or node; scalars may too, but lists and nodes start like nothing else."""
+    return F.left(s, F.lit(1)).isin("[", "{")
 
-    Lists and nodes of all values go down together, a level per step of one fold; what a level yields
-    keeps its way from the top, and the least way of a value is the one a search in depth meets first.
-    """
-    def cell(at: Column, path: Column, v: Column) -> Column:
-        return F.struct(at.alias("at"), path.alias("path"), v.alias("v"))
 
-    def below(x: Column) -> Column:
-        step = lambda v, i: cell(x["at"], F.concat(x["path"], F.array(i)), v)
-        return F.coalesce(F.transform(_items(x["v"]), step),
-                          F.transform(F.array(*[_get(x["v"], k) for k in K.JSONLD_TEXT_KEYS]), step))
+def coerce_text(v: Column) -> Column:
+    """The clean text of one value: a scalar's own, that of a list's first usable item, or of a node's first
+    usable name-like field, however deep.
+
+    Lists and nodes go down a level per step of a fold. What lies behind the first usable text of a level
+    is dropped, so ``open`` keeps only what a search in depth would meet before ``text``.
+    """
+    def cell(x: Column) -> Column:
+        return let(_string(x), lambda s: let(_opens(s) & _holds(x), lambda held: F.struct(
+            F.when(held, x).alias("v"), F.when(~held, _clean(s)).alias("text"))))
 
     def level(state: Column, _: Column) -> Column:
-        return let(F.flatten(F.transform(state["front"], below)), lambda reached: F.struct(
-            F.concat(state["deep"], F.filter(F.transform(F.filter(reached, lambda x: ~_holds(x["v"])), lambda x: F.struct(
-                x["at"].alias("at"), x["path"].alias("path"), _clean(_string(x["v"])).alias("text"))),
-                lambda x: x["text"].isNotNull())).cast(_DEEP).alias("deep"),
-            F.filter(reached, lambda x: _holds(x["v"])).cast(_CELLS).alias("front")))
+        def cut(cells: Column) -> Column:
+            at = F.array_position(F.transform(cells, lambda c: c["text"].isNotNull()), True).cast("int")
+            ahead = F.when(at > 0, F.slice(cells, F.lit(1), at - 1)).otherwise(cells)
+            return F.struct(ahead["v"].alias("open"), F.coalesce(
+                F.when(at > 0, F.get(cells, at - 1)["text"]), state["text"]).alias("text"))
+
+        def down(open_: Column) -> Column:
+            reached = F.flatten(F.transform(open_, lambda v: _children(v, K.JSONLD_TEXT_KEYS)))
+            return let(F.filter(F.transform(reached, cell), lambda c: c["v"].isNotNull() | c["text"].isNotNull()), cut)
+
+        return F.when(F.size(state["open"]) > 0, down(state["open"])).otherwise(state)
 
-    def searched(front: Column) -> Column:
+    def searched(s: Column) -> Column:
         # no value nests deeper than it has opening brackets
-        levels = F.array_max(F.transform(front, lambda x: F.length(F.regexp_replace(_string(x["v"]), r"[^\[{]+", ""))))
-        return F.struct(front["at"].alias("held"), F.aggregate(
-            F.sequence(F.lit(1), levels), F.struct(F.array().cast(_DEEP).alias("deep"), front.alias("front")),
-            level, lambda state: state["deep"]).alias("deep"))
+        levels = F.sequence(F.lit(1), F.length(F.regexp_replace(s, r"[^\[{]+", "")))
+        start = F.struct(F.array(v).alias("open"), F.lit(None).cast("string").alias("text"))
+        return F.aggregate(levels, start, level, lambda state: state["text"])
 
-    def read(given: Column) -> Column:
-        # scalars may start like a list or node, but lists and nodes start like nothing else
-        like = F.exists(given["s"], lambda s: F.left(s, F.lit(1)).isin("[", "{"))
-        front = F.filter(F.transform(given["v"], lambda v, i: cell(i, F.array().cast("array<int>"), v)), lambda x: _holds(x["v"]))
-        found = F.when(like, let(front.cast(_CELLS), lambda f: F.when(F.size(f) > 0, searched(f))))
-        return let(found, lambda x: F.transform(given["s"], lambda s, i: F.when(
-            F.array_contains(x["held"], i), F.array_min(F.transform(F.filter(x["deep"], lambda d: d["at"] == i), lambda d: F.struct(
-                d["path"].alias("path"), d["text"].alias("text"))))["text"]).otherwise(_clean(s))))
+    return let(_string(v), lambda s: F.when(_opens(s) & _holds(v), searched(s)).otherwise(_clean(s)))
 
-    return let(values, lambda v: let(F.struct(v.alias("v"), F.transform(v, _string).alias("s")), read))
 
+def _deep_texts(pairs: list[tuple[Column, Column]]) -> Column:
+    """The texts of those of many (string, value) pairs that open a list or node; null if none does.
 
-def coerce_text(v: Column) -> Column:
-    """The clean text of one value, as ``coerce_texts`` reads it."""
-    return F.get(coerce_texts(F.array(v)), F.lit(0))
+    Most values are scalars whose string is enough, so the values themselves are read only here.
+    """
+    opened = reduce(lambda a, b: a | b, [_opens(s) for s, _ in pairs])
+    return F.when(opened, F.transform(F.array(*[F.when(_opens(s), v) for s, v in pairs]), lambda v: F.when(v.isNotNull(), coerce_text(v))))
+
+
+def _texts(strings: list[Column], deep: Column) -> list[Column]:
+    """The text of each string, from ``_deep_texts`` where it opens a list or node."""
+    return [F.nullif(F.when(_opens(s), F.get(deep, F.lit(k))).otherwise(text.collapse(s)), F.lit("")) for k, s in enumerate(strings)]
 
 
-def _filled(v: Column) -> Column:
-    """The value unless it is missing, JSON null or blank text."""
-    return F.when(~F.is_variant_null(v) & (F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("x")) != ""), v)
+def _filled(s: Column) -> Column:
+    """A value's string unless it is missing, JSON null or blank text."""
+    return F.nullif(s, F.lit(""))
 
 
 def _first_of(v: Column, usable) -> Column:
     """A list's first usable item, or the value itself when it is no list."""
-    return let(v, lambda x: F.coalesce(
-        F.try_element_at(F.filter(_items(x), usable), F.lit(1)), F.when(_items(x).isNull(), x)))
+    return F.when(F.try_variant_get(v, "$", "array<struct<>>").isNull(), v).otherwise(
+        F.try_element_at(F.filter(_items(v), usable), F.lit(1)))
 
 
 _ADDRESS = ["streetAddress", "addressLocality", "addressRegion", "postalCode"]
 _OFFER = ["url", "priceCurrency", "lowPrice", "highPrice"]
+_OWN = ["name", "url", "@id", "identifier", "description", "disambiguatingDescription", "startDate", "endDate", "image", "photo"]
 
 
-def _place(node: Column) -> Column:
-    return _first_of(_get(node, "location"), lambda x: _filled(x).isNotNull())
+def _place(location: Column) -> Column:
+    return _first_of(location, lambda x: _filled(_string(x)).isNotNull())
 
 
-def _place_values(place: Column) -> Column:
+def _address(place: Column) -> Column:
+    return _first_of(_get(place, "address"), lambda x: _node(x).isNotNull())
+
+
+def _place_values(place: Column, address: Column) -> list[Column]:
     """What ``_place_said`` reads: name, url, the parts of an address that is a node, and an address or place that is none."""
-    address = _first_of(_get(place, "address"), lambda x: _fields(x).isNotNull())
-    return let(address, lambda a: F.array(
-        _get(place, "name"), _get(place, "url"), *[_get(a, k) for k in _ADDRESS],
-        F.when(_fields(a).isNull(), a), F.when(~_holds(place), place)))
+    return [_get(place, "name"), _get(place, "url"), *[_get(address, k) for k in _ADDRESS],
+            F.when(_node(address).isNull(), address), F.when(~_holds(place), place)]
 
 
-def _place_said(place: Column, texts: Column) -> Column:
-    name, url, street, city, region, postal, whole, bare = (F.get(texts, F.lit(k)) for k in range(8))
-    virtual = F.exists(_type_names(place), lambda n: F.contains(n, F.lit("virtuallocation")))
+def _place_said(place: Column, texts: list[Column]) -> Column:
+    name, url, street, city, region, postal, whole, bare = texts
+    virtual = let(_node(place, "@type", "type"), lambda n: _types_hold(n, lambda x: F.contains(x, F.lit("virtuallocation"))))
     tail = F.nullif(F.concat_ws(" ", region, postal), F.lit(""))
     full = F.coalesce(whole, F.nullif(F.concat_ws(", ", street, city, tail), F.lit("")))
-    return F.when(virtual, F.struct(F.coalesce(name, F.lit("Online")).alias("venue_name"), url.alias("venue_address"))).otherwise(
-        F.struct(F.coalesce(name, bare).alias("venue_name"), full.alias("venue_address")))
+    return F.when(place.isNotNull(), F.when(virtual, F.struct(
+        F.coalesce(name, F.lit("Online")).alias("venue_name"), url.alias("venue_address"))).otherwise(
+        F.struct(F.coalesce(name, bare).alias("venue_name"), full.alias("venue_address"))))
 
 
-def _offers(node: Column) -> Column:
-    """A node's offers that are nodes themselves; none if it says that it is free."""
-    free = F.lower(F.try_variant_get(node, "$.isAccessibleForFree", "string")) == "true"
-    return F.when(F.coalesce(free, F.lit(False)), F.lit(None)).otherwise(let(_get(node, "offers"), lambda v: F.coalesce(
-        F.filter(F.coalesce(_items(v), F.array(v)), lambda o: _fields(o).isNotNull()), F.array().cast("array<variant>"))))
+_SAID = "struct<url: string, priceCurrency: string, lowPrice: string, highPrice: string, price: string, priceSpecification: variant>"
 
 
-def _offer_values(offers: Column) -> Column:
-    """What ``_price_said`` reads, five values an offer."""
-    return F.flatten(F.transform(offers, lambda offer: F.array(*[_get(offer, k) for k in _OFFER], F.coalesce(
-        _filled(_get(offer, "price")), _filled(_get(_get(offer, "priceSpecification"), "price")), _filled(_get(offer, "lowPrice"))))))
+def _free(node: Column) -> Column:
+    return F.coalesce(F.lower(F.try_variant_get(node, "$.isAccessibleForFree", "string")) == "true", F.lit(False))
 
 
-def _price_said(offers: Column, url: Column, texts: Column) -> Column:
-    def amount(at: Column) -> Column:
-        part = lambda k: F.get(texts, at + k)
-        return let(F.transform(F.array(part(2), part(3), part(4)), lambda x: price.format_amount(x, part(1))), lambda x: F.when(
-            x[0] != x[1], F.concat(x[0], F.lit(" - "), x[1])).otherwise(x[2]))
+def _offers(node: Column) -> Column:
+    """Strings of a node's offers that are nodes themselves, as ``_OFFER`` names them and last the amount to show
+    where there is no range; none if the node says that it is free."""
+    given = F.coalesce(F.try_variant_get(node, "$.offers", f"array<{_SAID}>"), F.array(F.try_variant_get(node, "$.offers", _SAID)))
+    return F.when(~_free(node), F.transform(F.filter(given, lambda o: o.isNotNull()), lambda o: F.array(*[o[k] for k in _OFFER], F.coalesce(
+        _filled(o["price"]), _filled(F.try_variant_get(o["priceSpecification"], "$.price", "string")), _filled(o["lowPrice"])))))
 
-    at = F.sequence(F.lit(0), F.size(texts) - 1, F.lit(len(_OFFER) + 1))
-    link = F.try_element_at(F.filter(F.transform(at, lambda i: F.get(texts, i)), lambda u: u.isNotNull()), F.lit(1))
-    return F.when(offers.isNull(), F.struct(F.lit("Free").alias("price"), url.alias("offer_url"))).when(
-        F.size(texts) > 0, F.struct(price.display_range(F.transform(at, amount)).alias("price"), link.alias("offer_url")))
 
+def _offer_texts(node: Column, offers: Column) -> Column:
+    """The clean texts of ``_offers``; the values themselves are read where one opens a list or node."""
+    def value(o: Column) -> Column:
+        amounts = F.array(*[F.try_variant_get(o, f"$.{k}", "variant") for k in ("price", "priceSpecification.price", "lowPrice")])
+        return F.array(*[_get(o, k) for k in _OFFER], F.get(F.filter(amounts, lambda v: _filled(_string(v)).isNotNull()), F.lit(0)))
 
-def _listing(node: Column) -> Column:
-    """Struct (texts, place, cost) of an event node; all its texts are read together."""
-    field = lambda *keys: F.coalesce(*[_filled(_get(node, k)) for k in keys])
-    own = F.array(
-        _get(node, "name"), field("url", "@id"), field("@id", "identifier"), field("description", "disambiguatingDescription"),
-        _get(node, "startDate"), _get(node, "endDate"), field("image", "photo"), _get(node, "url"))
+    def deep() -> Column:
+        given = F.coalesce(F.try_variant_get(node, "$.offers", "array<variant>"), F.array(_get(node, "offers")))
+        return F.transform(F.filter(given, lambda o: _node(o).isNotNull()), lambda o: F.transform(value(o), coerce_text))
+
+    return F.when(F.exists(F.flatten(offers), _opens), deep()).otherwise(
+        F.transform(offers, lambda o: F.transform(o, _clean)))
 
-    def read(x: Column) -> Column:
-        values = F.concat(own, _place_values(x["place"]), F.coalesce(
-            _offer_values(x["offers"]), F.array().cast("array<variant>")))
-        return let(coerce_texts(values), lambda t: F.struct(
-            t.alias("texts"), F.when(x["place"].isNotNull(), let(F.slice(t, 9, 8), lambda p: _place_said(x["place"], p))).alias("place"),
-            let(F.slice(t, F.lit(17), F.size(t)), lambda o: _price_said(x["offers"], t[7], o)).alias("cost")))
 
-    return let(F.struct(_place(node).alias("place"), _offers(node).alias("offers")), read)
+def _price_said(offers: Column, url: Column) -> Column:
+    """Struct (price, offer_url) from the texts of each offer; no offers at all mean that the event is free."""
+    def amount(o: Column) -> Column:
+        return let(F.transform(F.slice(o, 3, 3), lambda x: price.format_amount(x, o[1])), lambda x: F.when(
+            x[0] != x[1], F.concat(x[0], F.lit(" - "), x[1])).otherwise(x[2]))
+
+    link = F.get(F.filter(F.transform(offers, lambda o: o[0]), lambda u: u.isNotNull()), F.lit(0))
+    return F.when(offers.isNull(), F.struct(F.lit("Free").alias("price"), url.alias("offer_url"))).when(
+        F.size(offers) > 0, F.struct(price.display_range(F.transform(offers, amount)).alias("price"), link.alias("offer_url")))
 
 
 def jsonld_location(node: Column) -> Column:
     """Struct (venue_name, venue_address) of a node's location."""
-    return let(_place(node), lambda p: F.when(p.isNotNull(), let(
-        coerce_texts(_place_values(p)), lambda t: _place_said(p, t))))
+    def read(x: Column) -> Column:
+        values = F.array(*_place_values(x["place"], x["address"]))
+        return let(F.transform(values, coerce_text), lambda t: _place_said(x["place"], [t[k] for k in range(8)]))
+
+    return let(_place(_get(node, "location")), lambda p: let(F.struct(p.alias("place"), _address(p).alias("address")), read))
 
 
 def jsonld_price(node: Column) -> Column:
     """Struct (price, offer_url): one display text from a node's offers."""
-    none = F.array().cast("array<variant>")
-    return let(_offers(node), lambda o: let(
-        coerce_texts(F.concat(F.array(_get(node, "url")), F.coalesce(_offer_values(o), none))),
-        lambda t: let(F.slice(t, F.lit(2), F.size(t)), lambda own: _price_said(o, t[0], own))))
+    url = F.when(_free(node), coerce_text(_get(node, "url")))
+    return let(let(_offers(node), lambda o: _offer_texts(node, o)), lambda t: _price_said(t, url))
+
+
+def _drawn(nodes: DataFrame) -> DataFrame:
+    """The nodes that have a title, with the texts of their fields, ``place`` and ``cost``.
+
+    What is read more than once is a column of its own, so that it is computed once and needs no lambda.
+    """
+    node, place, address = F.col("node"), F.col("_place"), F.col("_address")
+    read = nodes.withColumns({"_own": _node(node, *_OWN, kind="string"), "_place": _place(_get(node, "location")), "_offers": _offers(node)})
+    read = read.withColumns({"_said": _node(place, "name", "url", kind="string"), "_address": _address(place)})
+    read = read.withColumn("_parts", _node(address, *_ADDRESS, kind="string"))
+
+    def field(key: str, other: str | None = None) -> tuple[Column, Column]:
+        first = _filled(F.col("_own")[key])
+        if other is None:
+            return first, _get(node, key)
+        return F.coalesce(first, _filled(F.col("_own")[other])), F.when(first.isNotNull(), _get(node, key)).otherwise(_get(node, other))
+
+    pairs = [field("name"), field("url", "@id"), field("@id", "identifier"), field("description", "disambiguatingDescription"),
+             field("startDate"), field("endDate"), field("image", "photo"), field("url"),
+             *zip([F.col("_said.name"), F.col("_said.url"), *[F.col("_parts")[k] for k in _ADDRESS],
+                   F.when(F.col("_parts").isNull(), _string(address)), F.when(~_holds(place), _string(place))], _place_values(place, address))]
+    read = read.withColumns({f"_s{k}": s for k, (s, _) in enumerate(pairs)})
+    strings = [F.col(f"_s{k}") for k in range(len(pairs))]
+    read = read.withColumn("_deep", _deep_texts([(s, v) for s, (_, v) in zip(strings, pairs)]))
+    names = ["_title", "_link", "_id", "_desc", "_start", "_end", "_image", "_url", *[f"_p{k}" for k in range(8)]]
+    read = read.select(*nodes.columns, "_place", "_offers", *[t.alias(n) for n, t in zip(names, _texts(strings, F.col("_deep")))])
+    # a generator keeps the filter on titles from computing the texts once more
+    title = F.col("_title")
+    read = read.withColumn("_title", F.explode(F.when(title.isNotNull(), F.array(title))))
+    read = read.withColumns({"place": _place_said(place, [F.col(n) for n in names[8:]]), "_offers": _offer_texts(node, F.col("_offers"))})
+    return read.withColumn("cost", _price_said(F.col("_offers"), F.col("_url"))).drop("_place", "_offers", "_url", *names[8:])
 
 
 def jsonld_events(pages: DataFrame, as_of: str, source: str | None = None) -> DataFrame:
@@ -231,21 +273,18 @@ def jsonld_events(pages: DataFrame, as_of: str, source: str | None = None) -> Da
     """
     label = F.lit(source) if source else F.col("source")
     node, page, now = F.col("node"), F.col("url"), dates.as_ntz(as_of)
-    names = ["title", "link", "id", "desc", "start", "end", "image"]
-    # a generator keeps the filter on titles from computing the texts once more
-    drawn = jsonld_nodes(pages).select(label.alias("source"), "url", "page_id", "block", "node_pos", "node", F.explode(
-        F.filter(F.array(_listing(node)), lambda x: x["texts"][0].isNotNull())).alias("r")).select(
-        "source", "url", "page_id", "block", "node_pos", "node", "r.place", "r.cost",
-        *[F.col("r.texts")[k].alias(f"_{n}") for k, n in enumerate(names)])
-    link = urls.absolute_url(page, F.col("_link"))
+    drawn = _drawn(jsonld_nodes(pages).select(label.alias("source"), "url", "page_id", "block", "node_pos", "node"))
+    # what the calls of Python read more than once is a column, and all of them are made in one pass
+    drawn = drawn.select("*", "place.*", "cost.*").withColumns({
+        "_link": urls.joined(page, F.col("_link")), "_register": urls.joined(page, F.col("offer_url")), "_image": urls.joined(page, F.col("_image")),
+        "_start": dates.event_text(F.col("_start")), "_end": dates.event_text(F.col("_end")), "_desc": text.strip_tags(F.col("_desc"))})
+    drawn = drawn.withColumns({
+        **{c: urls.resolved(page, F.col(c)) for c in ("_link", "_register", "_image")}, "_desc": text.unescape(F.col("_desc")),
+        **{c: dates.read_event_text(F.col(c), now) for c in ("_start", "_end")}})
     listing = drawn.select(
-        "source", F.coalesce("_id", link, page).alias("source_id"), F.coalesce(link, page).alias("url"),
-        F.col("_title").alias("title"), text.strip_html(F.col("_desc")).alias("description"),
-        dates.parse_event_dt(F.col("_start"), now).alias("start_dt"),
-        dates.parse_event_dt(F.col("_end"), now).alias("end_dt"),
-        F.col("place.venue_name").alias("venue_name"), F.col("place.venue_address").alias("venue_address"),
-        F.col("cost.price").alias("price"), urls.absolute_url(page, F.col("cost.offer_url")).alias("register_url"),
-        urls.absolute_url(page, F.col("_image")).alias("image_url"),
+        "source", F.coalesce("_id", "_link", page).alias("source_id"), F.coalesce("_link", page).alias("url"),
+        F.col("_title").alias("title"), F.col("_desc").alias("description"), F.col("_start").alias("start_dt"), F.col("_end").alias("end_dt"),
+        "venue_name", "venue_address", "price", F.col("_register").alias("register_url"), F.col("_image").alias("image_url"),
         structs.jsonable(F.struct(F.lit("json-ld").alias("_parser"), page.alias("_page_url"),
                                   F.to_json(node).alias("jsonld"))).alias("raw"),
         "page_id", "block", "node_pos")

@@ -164,6 +164,26 @@ def test_jsonld_plans_stay_small(spark):
     assert _plan_length(jsonld.jsonld_events(pages, AS_OF, "venue_site")) < 60_000
 
 
+def test_jsonld_calls_of_python_are_read_once(spark):
+    pages = spark.createDataFrame([(1, "https://x.example/p", "")], "page_id long, url string, html string")
+    plan = jsonld.jsonld_events(pages, AS_OF, "venue_site")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_resolve(") == 3 and len(re.findall("regexp_replace|RLIKE", plan)) < 170
+
+
+def test_jsonld_text_of_wide_values(spark):
+    wide = [{"name": [None, {"text": " "}]}] * 40 + [[[{"url": "x", "name": [[], {"@id": "First  one"}]}]], "Later"]
+    nodes = [{"@type": "Event", "name": wide, "image": [{"text": "t", "url": "/i.jpg"}], "offers": [5, [], {"price": [{"name": "7.50"}]}, {"price": "9"}]},
+             {"@type": "Event", "name": "Plain", "photo": "", "image": {}, "url": None, "@id": ["", {"url": "/e"}],
+              "location": {"name": "Hall", "address": ["x", {"streetAddress": {"name": "1 A St"}, "postalCode": 98101}]}},
+             {"@type": None, "type": ["Thing", "event"], "name": [[], [{}]], "location": [[{"name": "no"}]]}]
+    html = "".join(f'<script type="application/ld+json">{json.dumps(n)}</script>' for n in nodes)
+    pages = spark.createDataFrame([(1, "https://x.example/p/", html)], "page_id long, url string, html string")
+    got = [(r.title, r.url, r.price, r.image_url, r.venue_name, r.venue_address) for r in jsonld.jsonld_events(pages, AS_OF, "venue_site").orderBy("title").collect()]
+    assert got == [("First one", "https://x.example/p/", "$7.5 - $9", "https://x.example/i.jpg", None, None),
+                   ("Plain", "https://x.example/e", None, None, "Hall", "1 A St, 98101")]
+    assert jsonld.jsonld_nodes(pages).count() == 3
+
+
 def test_selector_steps_are_read_once():
     cards._steps.cache_clear()
     spec = {**{k: [] for k in ("title", "description", "venue", "address", "price", "date", "image")},
