@@ -1,5 +1,7 @@
 """Snapshots, repeated runs, plans and streams."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +188,65 @@ def test_stream_and_batch_hash_alike(t, spark):
     empty = t.fingerprints.filter(F.lit(False))
     assert st.merge_seen(AS_OF)(empty, row).first()["content_hash"] == batch
     assert st.change_step(AS_OF)(empty, row).first()["content_hash"] == batch
+
+
+class _Held:
+    """List state of one key, as a stateful processor sees it, counting the calls."""
+
+    def __init__(self):
+        self.rows, self.calls = [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter([*self.rows])
+
+    def put(self, rows):
+        self.calls += 1
+        self.rows = [*rows]
+
+    def appendValue(self, row):
+        self.calls += 1
+        self.rows.append(row)
+
+
+def test_keys_of_a_bucket_share_the_exchanges_with_the_state():
+    held, processor, known = _Held(), st._Changes(), {}
+    processor.init(held)
+    for n in range(120):
+        rows = [(7, f"a:{k}", pos, f"h{(n * k // 50 + pos) % 5}") for k in (range(40) if n % 30 == 0 else [n % 50]) for pos in (1, 0)]
+        want = {f: (p, h) for _, f, p, h in rows if p == 0 and known.get(f) != h}
+        held.calls = 0
+        got = [*processor.handleInputRows((7,), iter(rows), None)]
+        assert {r.fingerprint: (r.pos, r.content_hash) for r in got} == want and len(got) == len(want)
+        assert all(r.change == ("changed" if r.fingerprint in known else "new") for r in got)
+        known |= {f: h for f, (_, h) in want.items()}
+        assert held.calls == (2 if want else 1)
+        assert len(held.rows) <= 16 and sum(len(s[0]) for s in held.rows) <= 2 * len(known)
+
+
+def test_keyed_changes_of_buckets_with_many_keys(t, spark, monkeypatch):
+    monkeypatch.setattr(st, "_BUCKETS", 3)
+    landed, out, mark = (scratch_path(spark, x) for x in ("landed", "out", "mark"))
+    fields = "source string, source_id string, pos long, price string"
+    blank = [F.lit(None).cast("string").alias(c) for c in ("url", "title", "description", "venue_name", "venue_address", "register_url", "image_url")]
+    many = [("b", str(k), 100 + k, "$5") for k in range(40)]
+    big = 2**60 + 1
+    runs = [
+        ([("a", "1", 5, "$2"), ("a", "1", 1, "$1"), (None, "2", 2, "$1"), ("a", "3", None, "$1"), ("a", "4", big, "$1"), ("a", "4", big, "$1"), *many],
+         {("a:1", 1, "new"), (None, 2, "new"), ("a:3", None, "new"), ("a:4", big, "new"), *((f"b:{k}", 100 + k, "new") for k in range(40))}),
+        ([("a", "1", 1, "$2"), (None, "2", 2, "$1"), ("a", "3", 0, "$9"), ("a", "3", None, "$1"), *many], {("a:1", 1, "changed")}),
+        ([("a", "1", 1, "$1"), (None, "2", 3, "$8"), ("b", "7", 7, None), ("c", "1", 8, "$1")],
+         {("a:1", 1, "changed"), (None, 3, "changed"), ("b:7", 7, "changed"), ("c:1", 8, "new")}),
+        ([("a", "1", 1, "$1"), ("b", "7", 7, None), *many[8:]], set()),
+    ]
+    before = Counter()
+    for rows, want in runs:
+        listings = spark.createDataFrame(rows, fields).select("*", F.lit(None).cast("timestamp_ntz").alias("start_dt"), *blank)
+        listings.coalesce(1).write.mode("append").parquet(landed)
+        st.run_available(st.stream_changes_keyed(spark.readStream.schema(listings.schema).parquet(landed)), out, mark)
+        found = Counter(map(tuple, spark.read.parquet(out).select("fingerprint", "pos", "change", "content_hash").collect()))
+        assert Counter(r[:3] for r in (found - before).elements()) == Counter(want)
+        before = found
